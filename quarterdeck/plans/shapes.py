@@ -149,7 +149,8 @@ def quarter_flows(spark: SparkSession, sf_dir: str, columns: list[str] | None =
 def bank_panel(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     """The entity-quarter panel: stocks as they are, flows as year-to-date."""
     wanted = list(STOCK_FIELDS) + list(FLOW_FIELDS) if columns is None else columns
-    base = quarter_flows(spark, sf_dir, wanted)
+    # One shuffle by entity on the aggregated rows serves this window and every later one.
+    base = quarter_flows(spark, sf_dir, wanted).repartition("CERT")
     year = W.partitionBy("CERT", F.year("REPDTE")).orderBy("REPDTE")
     return base.select(
         "CERT",

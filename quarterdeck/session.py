@@ -26,6 +26,7 @@ def local_session(name: str = "quarterdeck", cores: int | str = "*", shuffle_par
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.codegen.cache.maxEntries", "1000")
         .getOrCreate()
