@@ -6,7 +6,6 @@ division by zero, so every quotient goes through ``try_divide``.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -40,36 +39,44 @@ def null_ratio(num: ColumnLike, den: ColumnLike) -> Column:
     return F.when(den > 0, as_col(num) / den)
 
 
+# The same four rules over SQL text. One parsed expression per metric keeps the driver
+# fast when hundreds of ratios are built at once.
 RATIO_POLICIES = {
-    "zero": safe_div0,
-    "fill": safe_div_fill,
-    "null": safe_div_null,
-    "positive": null_ratio,
+    "zero": "CASE WHEN ({den}) = 0 THEN 0D ELSE try_divide({num}, {den}) END",
+    "fill": "coalesce(try_divide({num}, {den}), 0D)",
+    "null": "try_divide({num}, {den})",
+    "positive": "CASE WHEN ({den}) > 0 THEN try_divide({num}, {den}) END",
 }
 
 
+def ratio(num: str, den: str, policy: str = "zero") -> Column:
+    """Quotient of two SQL expressions under a named zero rule."""
+    return F.expr(RATIO_POLICIES[policy].format(num=num, den=den))
+
+
 def present(columns: Iterable[str], wanted: Iterable[str]) -> list[str]:
     """The wanted names that exist, in the wanted order (decided on the driver, never on data)."""
-    have = set(columns)
+    have = columns if isinstance(columns, (set, frozenset)) else set(columns)
     return [c for c in wanted if c in have]
 
 
-def sum_cols(df: DataFrame, names: Iterable[str]) -> Column:
-    """Sum where an absent column or a NULL counts as 0."""
-    cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in present(df.columns, names)]
-    return reduce(lambda a, b: a + b, cols, F.lit(0.0))
+def sum_cols(have: Iterable[str], names: Iterable[str]) -> Column:
+    """Sum where an absent column or a NULL counts as 0. ``have`` is the set of columns there are."""
+    terms = [f"coalesce(cast(`{c}` as double), 0D)" for c in present(have, names)]
+    return F.expr(" + ".join(terms) if terms else "0D")
 
 
-def best_of(df: DataFrame, names: Iterable[str]) -> Column:
+def best_of(have: Iterable[str], names: Iterable[str]) -> Column:
     """First candidate that is neither NULL nor 0, else 0."""
-    cols = [F.nullif(F.col(c).cast("double"), F.lit(0.0)) for c in present(df.columns, names)]
-    return F.coalesce(*cols, F.lit(0.0))
+    terms = [f"nullif(cast(`{c}` as double), 0D)" for c in present(have, names)]
+    return F.expr(f"coalesce({', '.join([*terms, '0D'])})")
 
 
-def first_non_null(df: DataFrame, names: Iterable[str], default: float | None = 0.0) -> Column:
+def first_non_null(have: Iterable[str], names: Iterable[str], default: float | None = 0.0) -> Column:
     """Plain coalesce; ``default=None`` keeps NULL when nothing is there."""
-    cols = [F.col(c).cast("double") for c in present(df.columns, names)]
-    return F.coalesce(*cols, F.lit(default).cast("double"))
+    terms = [f"cast(`{c}` as double)" for c in present(have, names)]
+    last = "cast(null as double)" if default is None else f"{default}D"
+    return F.expr(f"coalesce({', '.join([*terms, last])})")
 
 
 def with_missing(df: DataFrame, names: Iterable[str], value: float | None = None) -> DataFrame:

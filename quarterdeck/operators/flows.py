@@ -42,6 +42,9 @@ def discrete_flow(
     nothing is known; without it such rows stay NULL. ``strict`` accepts the previous
     row only when it is the quarter just before in the same year.
     """
+    if fallback and not strict:
+        step = f"`{c}` - lag(`{c}`) over (partition by `{entity}` order by `{period}`)"
+        return F.expr(f"coalesce(case when quarter(`{period}`) = 1 then `{c}` else {step} end, `{c}`, 0D)")
     w = by_entity(entity, period)
     ytd = F.col(c)
     before = F.lag(ytd).over(w)
@@ -49,8 +52,7 @@ def discrete_flow(
         adjacent = F.last_day(F.add_months(F.lag(period).over(w), 3)) == F.col(period)
         before = F.when(adjacent, before)
         return F.when(F.quarter(period) == 1, ytd).otherwise(ytd - before)
-    flow = F.when(F.quarter(period) == 1, ytd).otherwise(ytd - before)
-    return F.coalesce(flow, ytd, F.lit(0.0)) if fallback else flow
+    return F.when(F.quarter(period) == 1, ytd).otherwise(ytd - before)
 
 
 def ytd_to_discrete(

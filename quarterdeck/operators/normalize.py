@@ -11,7 +11,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quarterdeck.functions.missing import best_of, first_non_null, present, safe_div0, sum_cols
+from quarterdeck.functions.missing import best_of, first_non_null, present, ratio, sum_cols
 from quarterdeck.operators.flows import discrete_flow, rolling_sum
 
 # Public call-report codes, consolidated before domestic.
@@ -63,50 +63,51 @@ def resolve_codes(df: DataFrame) -> DataFrame:
     """Consolidated-else-domestic fields, synthetic fields and the residual consumer balance."""
     have = set(df.columns)
     out: dict[str, Column] = {
-        name: first_non_null(df, codes, None) for name, codes in CODE_PAIRS.items() if have & set(codes)
+        name: first_non_null(have, codes, None) for name, codes in CODE_PAIRS.items() if have & set(codes)
     }
     out |= {c: F.coalesce(F.col(c), F.lit(0.0)) for c in SPARSE_FIELDS if c in have}
-    out |= {name: first_non_null(df, codes) for name, codes in SYNTHETIC_FIELDS.items()}
-    rest = sum_cols(df, ["LNCON"]) - sum_cols(df, ["LNAUTO"]) - sum_cols(df, ["LNCRCD"])
+    out |= {name: first_non_null(have, codes) for name, codes in SYNTHETIC_FIELDS.items()}
+    rest = sum_cols(have, ["LNCON"]) - sum_cols(have, ["LNAUTO"]) - sum_cols(have, ["LNCRCD"])
     out["LNCONOTHX"] = F.greatest(rest, F.lit(0.0))
     return df.withColumns(out)
 
 
-def resolved_stack(df: DataFrame, prefix: str, suffix: str = "") -> Column:
+def resolved_stack(have: set[str], prefix: str, suffix: str = "") -> Column:
     """Multifamily plus the larger of the reported total and its owner-occupied parts."""
     mf, row, res, rot = (
-        sum_cols(df, [f"{prefix}{code}{suffix}"]) for code in ("REMULT", "RENROW", "RENRES", "RENROT")
+        sum_cols(have, [f"{prefix}{code}{suffix}"]) for code in ("REMULT", "RENROW", "RENRES", "RENROT")
     )
     return mf + F.greatest(rot, row + res)
 
 
-def parts_else_summary(df: DataFrame, parts: Sequence[Sequence[str]], summary: Sequence[str]) -> Column:
+def parts_else_summary(have: set[str], parts: Sequence[Sequence[str]], summary: Sequence[str]) -> Column:
     """Sum of granular parts where positive, else the summary line; decided per row."""
-    total = reduce(lambda a, b: a + b, [best_of(df, p) for p in parts])
-    return F.when(total > 0, total).otherwise(best_of(df, summary))
+    total = reduce(lambda a, b: a + b, [best_of(have, p) for p in parts])
+    return F.when(total > 0, total).otherwise(best_of(have, summary))
 
 
 def map_segments(df: DataFrame) -> DataFrame:
     """Cost, allowance, nonaccrual and past-due balances of the six segments, and their totals."""
+    have = set(df.columns)
     out: dict[str, Column] = {}
     for name, codes in SEGMENTS.items():
-        cost = best_of(df, codes["cost"]) if codes["cost"] else parts_else_summary(df, RESI_PARTS, ["LNRERES"])
+        cost = best_of(have, codes["cost"]) if codes["cost"] else parts_else_summary(have, RESI_PARTS, ["LNRERES"])
         out[f"RIC_{name}_Cost"] = cost
-        out[f"RIC_{name}_ACL"] = best_of(df, codes["acl"])
+        out[f"RIC_{name}_ACL"] = best_of(have, codes["acl"])
         for measure, prefix in STACK_PREFIXES.items():
             if codes["sum"] is None:
-                out[f"RIC_{name}_{measure}"] = resolved_stack(df, prefix)
+                out[f"RIC_{name}_{measure}"] = resolved_stack(have, prefix)
             else:
-                out[f"RIC_{name}_{measure}"] = sum_cols(df, [prefix + c for c in codes["sum"]])
+                out[f"RIC_{name}_{measure}"] = sum_cols(have, [prefix + c for c in codes["sum"]])
     for measure, prefix in STACK_PREFIXES.items():
-        out[f"RIC_CRE_Inv_{measure}"] = sum_cols(df, [f"{prefix}REMULT", f"{prefix}RENROT"])
-        out[f"RIC_CRE_OO_{measure}"] = sum_cols(df, [f"{prefix}RENROW", f"{prefix}RENRES"])
-    out["TopHouse_PD30"] = best_of(df, ["P3LNLS"])
-    out["TopHouse_PD90"] = best_of(df, ["P9LNLS"])
+        out[f"RIC_CRE_Inv_{measure}"] = sum_cols(have, [f"{prefix}REMULT", f"{prefix}RENROT"])
+        out[f"RIC_CRE_OO_{measure}"] = sum_cols(have, [f"{prefix}RENROW", f"{prefix}RENRES"])
+    out["TopHouse_PD30"] = best_of(have, ["P3LNLS"])
+    out["TopHouse_PD90"] = best_of(have, ["P9LNLS"])
     mapped = df.withColumns(out)
     segments = [f"RIC_{name}_Nonaccrual" for name in SEGMENTS]
     return mapped.withColumn(
-        "Total_Nonaccrual", sum_cols(mapped, [*segments, "NAREAG", "NAAG", "NALS", "NAOTHLN"])
+        "Total_Nonaccrual", sum_cols({*have, *out}, [*segments, "NAREAG", "NAAG", "NALS", "NAOTHLN"])
     )
 
 
@@ -122,10 +123,11 @@ def segment_flows(df: DataFrame) -> DataFrame:
     quarterly = df.withColumns(
         {f"{c}_Q": discrete_flow(c) if c in have else F.lit(0.0) for c in FLOW_COLUMNS}
     )
-    seg: dict[str, Column] = {"RIC_CRE_NCO_Q": resolved_stack(quarterly, "NT", "_Q")}
+    have |= {f"{c}_Q" for c in FLOW_COLUMNS}
+    seg: dict[str, Column] = {"RIC_CRE_NCO_Q": resolved_stack(have, "NT", "_Q")}
     for name, codes in SEGMENTS.items():
         if codes["nco"]:
-            seg[f"RIC_{name}_NCO_Q"] = sum_cols(quarterly, [f"{c}_Q" for c in codes["nco"]])
+            seg[f"RIC_{name}_NCO_Q"] = sum_cols(have, [f"{c}_Q" for c in codes["nco"]])
     quarterly = quarterly.withColumns(seg)
     ttm = {f"RIC_{name}_NCO_TTM": rolling_sum(f"RIC_{name}_NCO_Q") for name in SEGMENTS}
     ttm["Total_NCO_TTM"] = rolling_sum("NTLNLS_Q")
@@ -133,7 +135,8 @@ def segment_flows(df: DataFrame) -> DataFrame:
 
 
 def exclusion_balances(df: DataFrame, exclusions: Mapping[str, Mapping] = EXCLUSIONS) -> DataFrame:
-    out = {balance_name(k): best_of(df, codes["balance"]) for k, codes in exclusions.items()}
+    have = set(df.columns)
+    out = {balance_name(k): best_of(have, codes["balance"]) for k, codes in exclusions.items()}
     if "CI" in exclusions:
         out[balance_name("CI")] = F.greatest(out[balance_name("CI")], F.lit(0.0))
     return df.withColumns(out)
@@ -141,11 +144,12 @@ def exclusion_balances(df: DataFrame, exclusions: Mapping[str, Mapping] = EXCLUS
 
 def exclusion_losses(df: DataFrame, exclusions: Mapping[str, Mapping] = EXCLUSIONS) -> DataFrame:
     """Year-to-date losses per category, 0 without a balance, and the flag that says so."""
+    have = set(df.columns)
     raw: dict[str, Column] = {}
     for k, codes in exclusions.items():
-        loss = best_of(df, codes.get("nco", []))
+        loss = best_of(have, codes.get("nco", []))
         if codes.get("charge"):
-            net = best_of(df, codes["charge"]) - best_of(df, codes["recover"])
+            net = best_of(have, codes["charge"]) - best_of(have, codes["recover"])
             loss = F.when(net != 0, net).otherwise(loss)
         raw[f"_raw_{k}"] = loss
     out: dict[str, Column] = {}
@@ -159,9 +163,10 @@ def exclusion_losses(df: DataFrame, exclusions: Mapping[str, Mapping] = EXCLUSIO
 
 def exclusion_quality(df: DataFrame, exclusions: Mapping[str, Mapping] = EXCLUSIONS) -> DataFrame:
     """Nonaccrual and past-due balances per category."""
+    have = set(df.columns)
     return df.withColumns(
         {
-            f"Excl_{k}_{measure.upper()}": best_of(df, codes.get(measure, []))
+            f"Excl_{k}_{measure.upper()}": best_of(have, codes.get(measure, []))
             for k, codes in exclusions.items()
             for measure in ("na", "p3", "p9")
         }
@@ -170,13 +175,14 @@ def exclusion_quality(df: DataFrame, exclusions: Mapping[str, Mapping] = EXCLUSI
 
 def exclusion_totals(df: DataFrame, exclusions: Mapping[str, Mapping] = EXCLUSIONS) -> DataFrame:
     """Sums over the categories; NULL counts as 0."""
+    have = set(df.columns)
     return df.withColumns(
         {
-            "Excluded_Balance": sum_cols(df, [balance_name(k) for k in exclusions]),
-            "Excluded_NCO_YTD": sum_cols(df, [f"Excl_{k}_NCO_YTD" for k in exclusions]),
-            "Excluded_Nonaccrual_Raw": sum_cols(df, [f"Excl_{k}_NA" for k in exclusions]),
-            "Excluded_PD30": sum_cols(df, [f"Excl_{k}_P3" for k in exclusions]),
-            "Excluded_PD90": sum_cols(df, [f"Excl_{k}_P9" for k in exclusions]),
+            "Excluded_Balance": sum_cols(have, [balance_name(k) for k in exclusions]),
+            "Excluded_NCO_YTD": sum_cols(have, [f"Excl_{k}_NCO_YTD" for k in exclusions]),
+            "Excluded_Nonaccrual_Raw": sum_cols(have, [f"Excl_{k}_NA" for k in exclusions]),
+            "Excluded_PD30": sum_cols(have, [f"Excl_{k}_P3" for k in exclusions]),
+            "Excluded_PD90": sum_cols(have, [f"Excl_{k}_P9" for k in exclusions]),
         }
     )
 
@@ -246,12 +252,11 @@ def apply_residuals(df: DataFrame, tolerance: float = 0.05) -> DataFrame:
     return df.withColumns(structs).withColumns(out).drop(*structs)
 
 
-def normalized_allowance(df: DataFrame) -> Column:
+def normalized_allowance(have: set[str]) -> Column:
     """Total allowance minus the reserves of construction, cards and other consumer."""
-    removed = best_of(df, ["RCFDJJ12", "RCONJJ12"]) + best_of(df, ["RCFDJJ16", "RCONJJ16"]) + best_of(
-        df, ["RCFDJJ18", "RCFDJJ17", "RCONJJ17"]
-    )
-    return best_of(df, ["LNATRES", "RCFD3123", "RCON3123", "RCFDJJ19"]) - removed
+    reserves = [["RCFDJJ12", "RCONJJ12"], ["RCFDJJ16", "RCONJJ16"], ["RCFDJJ18", "RCFDJJ17", "RCONJJ17"]]
+    removed = reduce(lambda a, b: a + b, [best_of(have, codes) for codes in reserves])
+    return best_of(have, ["LNATRES", "RCFD3123", "RCON3123", "RCFDJJ19"]) - removed
 
 
 # Candidate past-due codes (30-day; the 90-day code swaps the prefix).
@@ -266,13 +271,14 @@ SHARE_EXCLUDED = [["CI"], ["RECONS"], ["CRC", "CRCD"], ["AUT", "AUTO"], ["AG", "
 
 def past_due_shares(df: DataFrame) -> DataFrame:
     """Share of a segment in total past dues, standard and normalised, by horizon."""
+    have = set(df.columns)
 
     def amount(prefix: str, parts) -> Column:
-        return reduce(lambda a, b: a + b, [best_of(df, [prefix + c for c in codes]) for codes in parts])
+        return reduce(lambda a, b: a + b, [best_of(have, [prefix + c for c in codes]) for codes in parts])
 
     base: dict[str, Column] = {}
     for horizon, prefix in (("PD30", "P3"), ("PD90", "P9")):
-        total = best_of(df, [f"{prefix}ASTOT", f"{prefix}ASSET"])
+        total = best_of(have, [f"{prefix}ASTOT", f"{prefix}ASSET"])
         base[f"_t_{horizon}"] = total
         base[f"_n_{horizon}"] = total - amount(prefix, SHARE_EXCLUDED)
         for seg, parts in SHARE_SEGMENTS.items():
@@ -282,9 +288,9 @@ def past_due_shares(df: DataFrame) -> DataFrame:
     for seg in SHARE_SEGMENTS:
         for label, kind in (("", "t"), ("Norm_", "n")):
             for horizon in ("PD30", "PD90"):
-                out[f"{label}{seg}_Share_of_Total_{horizon}"] = safe_div0(f"_{seg}_{horizon}", f"_{kind}_{horizon}")
-            out[f"{label}{seg}_Share_of_Total_PD"] = safe_div0(
-                F.col(f"_{seg}_PD30") + F.col(f"_{seg}_PD90"), F.col(f"_{kind}_PD30") + F.col(f"_{kind}_PD90")
+                out[f"{label}{seg}_Share_of_Total_{horizon}"] = ratio(f"_{seg}_{horizon}", f"_{kind}_{horizon}")
+            out[f"{label}{seg}_Share_of_Total_PD"] = ratio(
+                f"_{seg}_PD30 + _{seg}_PD90", f"_{kind}_PD30 + _{kind}_PD90"
             )
     return staged.withColumns(out).drop(*base)
 

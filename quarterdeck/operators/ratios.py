@@ -6,7 +6,7 @@ from typing import Iterable, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quarterdeck.functions.missing import RATIO_POLICIES, best_of, first_non_null, sum_cols
+from quarterdeck.functions.missing import best_of, first_non_null, ratio, sum_cols
 from quarterdeck.operators.flows import annualize_ytd, delta, discrete_flow, lagged
 from quarterdeck.operators.normalize import SEGMENTS, normalized_allowance, parts_else_summary
 
@@ -40,33 +40,34 @@ TOTAL_CODES = {
 
 def add_totals(df: DataFrame) -> DataFrame:
     """Totals and denominators, each with its fallback when the reported total is not positive."""
-    out: dict[str, Column] = {name: best_of(df, codes) for name, codes in TOTAL_CODES.items()}
-    out["CRE_Investment_Pure_Balance"] = best_of(df, ["LNREMULT"]) + best_of(df, ["LNRENROT"])
-    out["Other_Balance"] = best_of(df, ["RCFDJ451", "RCONJ451"]) + sum_cols(df, ["RCFDF162", "RCFDF163"])
-    out["Total_ACL"] = sum_cols(df, ["LNATRES"])
-    out["Total_Reg_ACL"] = sum_cols(df, ["RB2LNRES"])
-    out["Gross_Loans"] = first_non_null(df, ["LNLS"], None)
+    have = set(df.columns)
+    out: dict[str, Column] = {name: best_of(have, codes) for name, codes in TOTAL_CODES.items()}
+    out["CRE_Investment_Pure_Balance"] = best_of(have, ["LNREMULT"]) + best_of(have, ["LNRENROT"])
+    out["Other_Balance"] = best_of(have, ["RCFDJ451", "RCONJ451"]) + sum_cols(have, ["RCFDF162", "RCFDF163"])
+    out["Total_ACL"] = sum_cols(have, ["LNATRES"])
+    out["Total_Reg_ACL"] = sum_cols(have, ["RB2LNRES"])
+    out["Gross_Loans"] = first_non_null(have, ["LNLS"], None)
     out["Wealth_Resi_Balance"] = F.greatest(
-        parts_else_summary(df, [["RCON1797", "RCFD1797"], ["RCON5367", "RCFD5367"], ["RCON5368", "RCFD5368"]], ["LNRERES"]),
+        parts_else_summary(have, [["RCON1797", "RCFD1797"], ["RCON5367", "RCFD5367"], ["RCON5368", "RCFD5368"]], ["LNRERES"]),
         F.lit(0.0),
     )
     rcc = ["RCFD1797", "RCON1797", "RCFD5367", "RCON5367", "RCFD5368", "RCON5368"]
-    out["_audit_resi_balance_fallback_used"] = sum_cols(df, rcc) == 0
-    out["Norm_ACL_Balance"] = normalized_allowance(df)
-    out["Int_Inc_Loans_YTD"] = sum_cols(df, ["ILNDOM", "ILNFOR"])
+    out["_audit_resi_balance_fallback_used"] = sum_cols(have, rcc) == 0
+    out["Norm_ACL_Balance"] = normalized_allowance(have)
+    out["Int_Inc_Loans_YTD"] = sum_cols(have, ["ILNDOM", "ILNFOR"])
     staged = df.withColumns(out)
     names = list(SEGMENTS)
     staged = staged.withColumns(
         {
-            "RIC_Calculated_ACL": sum_cols(staged, [f"RIC_{s}_ACL" for s in names]) + F.col("RIC_Unalloc_ACL"),
-            "RIC_Calculated_Cost": sum_cols(staged, [f"RIC_{s}_Cost" for s in names]),
+            "RIC_Calculated_ACL": sum_cols(have, [f"RIC_{s}_ACL" for s in names]) + F.col("RIC_Unalloc_ACL"),
+            "RIC_Calculated_Cost": sum_cols(have, [f"RIC_{s}_Cost" for s in names]),
             "Liquid_Assets": F.expr("Cash_and_Balances + Fed_Funds_Sold + Securities_AFS"),
             "HQLA": F.expr("Cash_and_Balances + Fed_Funds_Sold + Securities_HTM + Securities_AFS"),
             "Total_Assets_Used": F.when(F.col("Total_Assets_Raw") > 0, F.col("Total_Assets_Raw")).otherwise(
-                first_non_null(df, ["ASSET"], 1.0)
+                first_non_null(have, ["ASSET"], 1.0)
             ),
             "Total_Equity_Used": F.when(F.col("Total_Equity_Raw") > 0, F.col("Total_Equity_Raw")).otherwise(
-                first_non_null(df, ["EQ"], 1.0)
+                first_non_null(have, ["EQ"], 1.0)
             ),
         }
     )
@@ -177,7 +178,7 @@ NORM_RATIOS = [
 
 
 def quotient(spec: Ratio) -> Column:
-    return RATIO_POLICIES[spec.policy](F.expr(spec.num), F.expr(spec.den))
+    return ratio(spec.num, spec.den, spec.policy)
 
 
 def apply_ratios(df: DataFrame, specs: Iterable[Ratio]) -> DataFrame:
@@ -223,19 +224,18 @@ def segment_ratios(df: DataFrame, segments: Iterable[str] = tuple(SEGMENTS)) ->
     for seg in segments:
         p = f"RIC_{seg}"
         # least() would turn NULL into the cap
-        second[f"{p}_Years_of_Reserves"] = F.when(F.col(f"{p}_Years_of_Reserves") > 100, F.lit(100.0)).otherwise(
-            F.col(f"{p}_Years_of_Reserves")
-        )
-        second[f"{p}_Loss_Adj_Yield"] = F.col("Loan_Yield_Proxy") - F.col(f"{p}_NCO_Rate")
-        second[f"{p}_Alloc_Mismatch"] = F.col(f"{p}_ACL_Share") - F.col(f"{p}_Loan_Share")
-        second[f"{p}_Risk_Mismatch"] = F.col(f"{p}_ACL_Share") - F.col(f"_{p}_NA_Share")
+        years = f"{p}_Years_of_Reserves"
+        second[years] = F.expr(f"CASE WHEN {years} > 100 THEN 100D ELSE {years} END")
+        second[f"{p}_Loss_Adj_Yield"] = F.expr(f"Loan_Yield_Proxy - {p}_NCO_Rate")
+        second[f"{p}_Alloc_Mismatch"] = F.expr(f"{p}_ACL_Share - {p}_Loan_Share")
+        second[f"{p}_Risk_Mismatch"] = F.expr(f"{p}_ACL_Share - _{p}_NA_Share")
     return first.withColumns(second).drop(*[f"_RIC_{seg}_NA_Share" for seg in segments])
 
 
 def group_shares(df: DataFrame, composite_floor: int = 90000) -> DataFrame:
     """Grouped allowance shares, allowance integrity and divergence from the regulatory figure."""
     staged = df.withColumn("_diff", F.expr("Total_ACL - RIC_Calculated_ACL"))
-    pct = RATIO_POLICIES["zero"](F.col("_diff"), F.col("Total_ACL"))
+    pct = ratio("_diff", "Total_ACL")
     status = (
         F.when(F.col("CERT") > composite_floor, "NO_BENCHMARK")
         .when(F.abs(pct) < 0.05, "MATCH")
@@ -249,7 +249,7 @@ def group_shares(df: DataFrame, composite_floor: int = 90000) -> DataFrame:
             "Group_Residential_ACL_Share": F.col("RIC_Resi_ACL_Share"),
             "Group_OtherSBL_ACL_Share": F.expr("RIC_OthCons_ACL_Share + RIC_Card_ACL_Share"),
             "ACL_Integrity_Status": status,
-            "ACL_Reg_Divergence": RATIO_POLICIES["zero"](F.expr("Total_Reg_ACL - Total_ACL"), F.col("Total_ACL")),
+            "ACL_Reg_Divergence": ratio("Total_Reg_ACL - Total_ACL", "Total_ACL"),
         }
     ).drop("_diff")
 

@@ -9,7 +9,7 @@ map-side-combined aggregate builds the whole panel.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 LINE_MEASURES = {
     # name: expression over lineitem, exact in 64-bit integers
@@ -141,7 +141,8 @@ def quarter_flows(spark: SparkSession, sf_dir: str, columns: list[str] | None =
         *[f"{expr} as {name}" for name, expr in LINE_MEASURES.items()],
     )
     sums = [
-        F.sum(F.when(F.expr(fields[name][1]), F.col(fields[name][0]))).cast("double").alias(name) for name in wanted
+        F.expr(f"cast(sum(case when {fields[name][1]} then {fields[name][0]} end) as double) as {name}")
+        for name in wanted
     ]
     return lines.groupBy("CERT", quarter_end("l_shipdate").alias("REPDTE")).agg(*sums)
 
@@ -151,12 +152,8 @@ def bank_panel(spark: SparkSession, sf_dir: str, columns: list[str] | None = Non
     wanted = list(STOCK_FIELDS) + list(FLOW_FIELDS) if columns is None else columns
     # One shuffle by entity on the aggregated rows serves this window and every later one.
     base = quarter_flows(spark, sf_dir, wanted).repartition("CERT")
-    year = W.partitionBy("CERT", F.year("REPDTE")).orderBy("REPDTE")
-    return base.select(
-        "CERT",
-        "REPDTE",
-        *[F.sum(c).over(year).alias(c) if c in FLOW_FIELDS else F.col(c) for c in wanted],
-    )
+    running = "sum({0}) over (partition by CERT, year(REPDTE) order by REPDTE) as {0}"
+    return base.selectExpr("CERT", "REPDTE", *[running.format(c) if c in FLOW_FIELDS else c for c in wanted])
 
 
 def peer_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
