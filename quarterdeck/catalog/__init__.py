@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["panel", "heal", "normalization"]
+MODULES = ["panel", "heal", "normalization", "composites", "comparison"]
 
 
 def _load():

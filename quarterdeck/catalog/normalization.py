@@ -9,6 +9,7 @@ from quarterdeck.catalog.sql import register, with_ctes
 from quarterdeck.operators import normalize, ratios
 from quarterdeck.plans.panel_run import derive_panel, exclusions
 from quarterdeck.plans.shapes import bank_panel
+from quarterdeck.session import materialize
 
 KEYS = ["CERT", "REPDTE"]
 SEGS = list(normalize.SEGMENTS)
@@ -18,6 +19,11 @@ def derived(spark, sf):
     return derive_panel(bank_panel(spark, sf))
 
 
+def derived_table(spark, sf, columns):
+    """Some derived columns, computed once and written, for queries that read them in several branches."""
+    return materialize(derived(spark, sf).select(*KEYS, *columns), "panel")
+
+
 def select_from(builder, columns):
     """A query that keeps the keys and some columns of a derivation; Catalyst prunes the rest."""
 
@@ -52,7 +58,8 @@ def normalized_residual(spark, sf):
 
 
 def reconciliation(spark, sf):
-    df = normalize.reconciliation(derived(spark, sf))
+    df = derived_table(spark, sf, [*RECON_INPUTS])
+    df = normalize.reconciliation(df)
     return df.filter(F.col("REPDTE") == df.agg(F.max("REPDTE")).scalar()).select(*KEYS, *RECON)
 
 
@@ -86,6 +93,7 @@ RECON = [
     "Total_NCO_TTM", "Excluded_NCO_TTM", "Norm_Total_NCO", "_Norm_NCO_Severity", "Gross_Loans", "Excluded_Balance", "Norm_Gross_Loans",
     "NCO_Check_ExclPlusNormMinusTotal", "NCO_Flag_Excl_GT_Total", "Loans_Check_ExclPlusNormMinusTotal", "Loans_Flag_Excl_GT_Total",
 ]
+RECON_INPUTS = RECON[:7]
 AUDIT = ["category_balance_zero_but_nco_nonzero_flag", "dominant_exclusion_category", "dominant_exclusion_share"]
 TOTALS = [
     "SBL_Balance", "Fund_Finance_Balance", "Other_Balance", "CRE_Investment_Pure_Balance", "RIC_Calculated_ACL", "RIC_Calculated_Cost",

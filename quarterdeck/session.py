@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for every job here. Sizes are left to the cluster: AQE
 # coalesces small shuffle partitions and splits skewed ones.
@@ -47,3 +47,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="quarterdeck-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write a frame once to the shared folder and go on from the files.
+
+    For results that several branches of one plan read: the work behind them is done once, the
+    lineage ends at files every executor can reach, and a lost executor costs a re-read only.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
