@@ -30,7 +30,7 @@ def strip_dash_pad12(c: ColumnLike) -> Column:
 def drop_padded_nulls(c: ColumnLike) -> Column:
     """NULL for null words that an earlier step already zero-padded (``000000000nan``)."""
     text = as_col(c)
-    noise = F.lower(F.trim(text)).rlike(r"^0*(nan|none|nat|null|<na>)?$")
+    noise = F.lower(F.trim(text)).rlike(r"^(0*(nan|none|nat|null|<na>).*)?$")
     return F.when(~noise, text)
 
 
