@@ -304,7 +304,7 @@ def indicator_long(df: DataFrame, indicators: Sequence[str], dimension: DataFram
 
 def sector_bridge(dimension: DataFrame, sectors: str = "sectors") -> DataFrame:
     """One row per series and sector of a comma-separated list."""
-    parts = F.transform(F.split(F.coalesce(F.col(sectors), F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(F.col(sectors), F.lit("")), ","), lambda part: F.trim(part))
     return dimension.select(ID, F.explode(F.array_distinct(parts)).alias("sector")).filter(F.col("sector") != "")
 
 
