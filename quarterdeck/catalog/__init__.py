@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["panel", "heal", "normalization", "composites", "comparison", "loans", "tracker", "series", "local", "checks"]
+MODULES = ["panel", "heal", "normalization", "composites", "comparison", "loans", "tracker", "series", "local", "checks", "files", "forecasting"]
 
 
 def _load():

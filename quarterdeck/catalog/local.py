@@ -16,7 +16,7 @@ COUNTIES = """select r_name as region, lpad(cast(n_nationkey as varchar(5)), 5,
 XWALK = """select cast(c_custkey as varchar(20)) || '.0' as zip_code, cast(c_nationkey as varchar(20)) as geoid, cast(o_totalprice as varchar(30)) as residential_ratio, cast(c_acctbal as varchar(30)) as bus_ratio, cast(null as varchar(30)) as other_ratio, '0.5' as total_ratio, year(o_orderdate) as year, quarter(o_orderdate) as quarter, o_orderkey from {orders} join {customer} on o_custkey = c_custkey"""
 ZIP_METRO = """select lpad(cast(o_custkey as varchar(20)), 5, '0') as zip, case o_orderpriority when '1-URGENT' then '10001' when '2-HIGH' then '10002' when '3-MEDIUM' then '10003' when '4-NOT SPECIFIED' then '' else '10004' end as cbsa_code, cast(round(o_totalprice * 100) as bigint) / 50000000.0 as tot_ratio from {orders}"""
 GDP = """select cast(10000 + c_nationkey as varchar(10)) as cbsa_code, cast(date_trunc('year', o_orderdate) as date) as date, cast(sum(cast(round(o_totalprice * 100) as bigint)) as double) as value from {orders} join {customer} on o_custkey = c_custkey where c_nationkey <> 7 group by 1, 2"""
-POPULATION = """select cast(10000 + c_nationkey as varchar(10)) as cbsa_code, cast(date_trunc('year', o_orderdate) as date) as date, case when c_nationkey = 9 then 0.0 else cast(count(*) * 1000 as double) end as value from {orders} join {customer} on o_custkey = c_custkey where c_nationkey <> 11 group by c_nationkey, 2"""
+POPULATION = """select cast(10000 + c_nationkey as varchar(10)) as cbsa_code, cast(date_trunc('year', o_orderdate) as date) as date, case when c_nationkey = 9 then 0.0 else cast(count(*) * 1000 + 7 as double) end as value from {orders} join {customer} on o_custkey = c_custkey where c_nationkey <> 11 group by c_nationkey, 2"""
 RATES = """select cast(10000 + c_nationkey as varchar(10)) as cbsa_code, cast(date_trunc('month', o_orderdate) as date) as date, cast(sum(case when o_orderpriority = '1-URGENT' then 1 else 0 end) as double) * 8 / count(*) as value from {orders} join {customer} on o_custkey = c_custkey where c_nationkey <> 13 group by 1, 2"""
 REQUESTS = """select 'cbsa' as geo_type, cast(10000 + n_nationkey as varchar(20)) as geo_value from {nation} union all select 'cbsa', 'not a code' from {region}
  union all select 'zip', ' ' || cast(c_custkey as varchar(20)) from {customer} union all select 'county_fips', cast(c_nationkey as varchar(20)) from {customer} union all select 'state', lower(substr(r_name, 1, 2)) from {region}"""
@@ -94,7 +94,7 @@ def zip_prefix_metro(spark, sf):
 
 
 def gdp_metrics(spark, sf):
-    return rounded(geo.gdp_metrics(shape(spark, sf, GDP), shape(spark, sf, POPULATION)), "value", digits=4)
+    return rounded(geo.gdp_metrics(shape(spark, sf, GDP), shape(spark, sf, POPULATION)), "value", digits=3)
 
 
 def invalid_population(spark, sf):
@@ -224,7 +224,7 @@ ORACLES = {
     "attach_spine": with_ctes("select cbsa_code, date, value, msa_name, state_abbrev from gdp left join spine1 using (cbsa_code)", "gdp", "spine1"),
     "zip_prefix_metro": with_ctes(f"select o_orderkey, {_ZIP} as zip, left({_ZIP}, 3) as zip_prefix, n_name as metro from xwalk left join nation on lpad(cast(n_nationkey as varchar), 3, '0') = left({_ZIP}, 3)", "xwalk"),
     "gdp_metrics": with_ctes(
-        """select cbsa_code, date, f as population_flag, unnest(['real_gdp_per_capita', 'real_gdp_per_100k', 'real_gdp_per_100k_yoy_pct']) as metric_name, round(unnest([c, k, g]), 4) as value, unnest(['dollars_per_person', 'dollars_per_100k', 'pct']) as units from gdpm where f <> 'missing'
+        """select cbsa_code, date, f as population_flag, unnest(['real_gdp_per_capita', 'real_gdp_per_100k', 'real_gdp_per_100k_yoy_pct']) as metric_name, round(unnest([c, k, g]), 3) as value, unnest(['dollars_per_person', 'dollars_per_100k', 'pct']) as units from gdpm where f <> 'missing'
            union all select cbsa_code, date, f, unnest(['real_gdp_per_capita', 'real_gdp_per_100k']), null, unnest(['dollars_per_person', 'dollars_per_100k']) from gdpm where f = 'missing'""",
         "gdpm",
     ),
