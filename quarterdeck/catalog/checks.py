@@ -110,7 +110,7 @@ def tiers(spark, sf):
 
 
 def dictionary_waterfall(spark, sf):
-    codes = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").selectExpr("' ' || case o_orderstatus when 'F' then 'rcfd' when 'O' then 'RIAD' else 'RCON' end || cast(o_custkey as string) as code")
+    codes = table(spark, sf, "orders").selectExpr("' ' || case o_orderstatus when 'F' then 'rcfd' when 'O' then 'RIAD' else 'RCON' end || cast(o_custkey as string) as code")
     return dictionary.lookup(codes, tiers(spark, sf))
 
 
@@ -253,7 +253,7 @@ ORACLES = {
         "flagged",
     ),
     "dictionary_waterfall": f"""with t1 as ({_P1}), t2 as ({_P2}), t3 as ({_P3}),
-        w as (select distinct code as metric_code, upper(trim(code)) as k from (select ' ' || case o_orderstatus when 'F' then 'rcfd' when 'O' then 'RIAD' else 'RCON' end || o_custkey as code from orders where o_orderpriority = '1-URGENT')),
+        w as (select distinct code as metric_code, upper(trim(code)) as k from (select ' ' || case o_orderstatus when 'F' then 'rcfd' when 'O' then 'RIAD' else 'RCON' end || o_custkey as code from orders)),
         h as (select metric_code, 1 as r, name, 'Tier 1' as s from w join t1 on k = t1.code union all select metric_code, 2, name, 'Tier 1 (base item)' from w join t1 on {_STRIP} = t1.code and {_STRIP} <> k
           union all select metric_code, 3, name, 'Tier 2' from w join t2 on k = t2.code union all select metric_code, 4, name, 'Tier 2 (base item)' from w join t2 on {_STRIP} = t2.code and {_STRIP} <> k union all select metric_code, 5, name, 'Tier 3' from w join t3 on k = t3.code)
         select metric_code, coalesce(name, k) as name, coalesce('about ' || name, 'Definition Not Found') as description, coalesce(s, 'Not Found') as source, coalesce(r = 5, false) as is_derived

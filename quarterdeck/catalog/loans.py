@@ -20,7 +20,7 @@ def flagged(spark, sf):
 
 def clean_keys(spark, sf):
     df = tagging.clean_extract(shapes.loan_extract(spark, sf))
-    return df.select("LOAN_ID", "TL_FACILITY_DIGITS12", "ACCOUNT_NUMBER", "IS_LAL_NFP", "CREDIT_LII", "SBL_PERC", "NEW_COMMITMENT_AMOUNT")
+    return df.select("LOAN_ID", "TL_FACILITY_DIGITS12", "FACILITY_ID", "ACCOUNT_NUMBER", "IS_LAL_NFP", "CREDIT_LII", "SBL_PERC", "NEW_COMMITMENT_AMOUNT")
 
 
 def bucket_ladder(spark, sf):
@@ -109,7 +109,7 @@ _LADDER = "case " + " ".join(f"when CREDIT_LII >= {f} then {f}" for f in tagging
 _LABEL = "case " + " ".join(f"when CREDIT_LII >= {f} then '${f:,}'" for f in tagging.BUCKET_FLOORS) + " else '$1' end"
 register(
     "loans",
-    f"""select LOAN_ID, coalesce({pad12('TL_FACILITY_DIGITS12')}, {pad12('FACILITY_ID')}) as TL_FACILITY_DIGITS12, {pad12("replace(ACCOUNT_NUMBER, '-', '')")} as ACCOUNT_NUMBER,
+    f"""select LOAN_ID, {pad12('TL_FACILITY_DIGITS12')} as TL_FACILITY_DIGITS12, coalesce({pad12('FACILITY_ID')}, {pad12('TL_FACILITY_DIGITS12')}) as FACILITY_ID, {pad12("replace(ACCOUNT_NUMBER, '-', '')")} as ACCOUNT_NUMBER,
   BORROWER, PRODUCT_BUCKET, coalesce(lower(trim(IS_LAL_NFP)) in ('true', '1'), false) as IS_LAL_NFP, FOCUS_LIST, TXT_MSTR_FACIL_COLLATERAL_DESC, {number('SBL_PERC')} as SBL_PERC,
   {number('CREDIT_LII')} as CREDIT_LII, {number('NEW_COMMITMENT_AMOUNT')} as NEW_COMMITMENT_AMOUNT, NEW_COMMITMENT_REASON, NEW_CAMP_YN as OLD_YN from extract""",
     ("extract",),
@@ -164,7 +164,7 @@ def _conc(den):
 
 
 ORACLES = {
-    "clean_keys": with_ctes("select LOAN_ID, TL_FACILITY_DIGITS12, ACCOUNT_NUMBER, IS_LAL_NFP, CREDIT_LII, SBL_PERC, NEW_COMMITMENT_AMOUNT from loans", "loans"),
+    "clean_keys": with_ctes("select LOAN_ID, TL_FACILITY_DIGITS12, FACILITY_ID, ACCOUNT_NUMBER, IS_LAL_NFP, CREDIT_LII, SBL_PERC, NEW_COMMITMENT_AMOUNT from loans", "loans"),
     "bucket_ladder": with_ctes("select LOAN_ID, CREDIT_LII_COMMITMENT_FLOOR, CREDIT_LII_COMMITMENT_BUCKET, NEW_CAMP_YN from prepared", "prepared"),
     "semi_join_tags": with_ctes("select LOAN_ID, IS_NTC, IS_OFFICE, HAS_CREDIT_POLICY_EXCEPTION from tagged", "tagged"),
     "semi_join_tags_salted": with_ctes("select LOAN_ID, IS_NTC, IS_OFFICE, HAS_CREDIT_POLICY_EXCEPTION from tagged", "tagged"),

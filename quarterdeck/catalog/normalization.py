@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import functions as F
 
 from quarterdeck.catalog.panel import E, E4, sql_flow, sql_growth
@@ -15,8 +17,18 @@ KEYS = ["CERT", "REPDTE"]
 SEGS = list(normalize.SEGMENTS)
 
 
+_PLANS: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def derived(spark, sf):
-    return derive_panel(bank_panel(spark, sf))
+    """The derived panel. Its plan (not its rows) is built once per session and input folder.
+
+    Analysing some 475 columns takes the driver seconds whatever the data size.
+    """
+    plans = _PLANS.setdefault(spark, {})
+    if sf not in plans:
+        plans[sf] = derive_panel(bank_panel(spark, sf))
+    return plans[sf]
 
 
 def derived_table(spark, sf, columns):

@@ -6,25 +6,27 @@ from pyspark.sql import Column, functions as F
 
 from quarterdeck.functions.missing import ColumnLike, as_col
 
-# Texts that stand for a missing key.
-NULL_WORDS = ["", "nan", "none", "nat", "null", "<na>"]
-
-
 def left_pad(c: Column, width: int) -> Column:
     """Zero-pad without cutting: ``lpad`` alone would truncate longer keys."""
     return F.when(F.length(c) > width, c).otherwise(F.lpad(c, width, "0"))
 
 
+def zero_pad(digits: Column, width: int) -> Column:
+    """Digits padded to ``width``, longer ones kept, the empty text as NULL."""
+    return F.concat(F.repeat(F.lit("0"), F.lit(width) - F.length(digits)), F.nullif(digits, F.lit("")))
+
+
 def pad12(c: ColumnLike) -> Column:
-    """Digits of a key, padded to 12. A trailing ``.0`` is float noise; null words and digit-free text are NULL."""
-    text = F.trim(as_col(c).cast("string"))
-    digits = F.regexp_replace(F.regexp_replace(text, r"\.0$", ""), "[^0-9]", "")
-    known = ~F.lower(text).isin(NULL_WORDS) & (digits != "")
-    return F.when(known, left_pad(digits, 12))
+    """Digits of a key, padded to 12. A trailing ``.0`` is float noise.
+
+    Words for a missing key (nan, none, null ...) hold no digit, so they end as NULL. One regular
+    expression does both removals: this runs on every loan.
+    """
+    return zero_pad(F.regexp_replace(F.trim(as_col(c).cast("string")), r"\.0$|[^0-9]", ""), 12)
 
 
 def strip_dash_pad12(c: ColumnLike) -> Column:
-    return pad12(F.regexp_replace(as_col(c).cast("string"), "-", ""))
+    return pad12(F.replace(as_col(c).cast("string"), F.lit("-"), F.lit("")))
 
 
 def drop_padded_nulls(c: ColumnLike) -> Column:

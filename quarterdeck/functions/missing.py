@@ -87,8 +87,8 @@ def with_missing(df: DataFrame, names: Iterable[str], value: float | None = None
 
 def to_number(c: ColumnLike) -> Column:
     """Text to double. Thousands commas are dropped; anything else unreadable is NULL, and so is NaN."""
-    value = F.regexp_replace(F.trim(as_col(c).cast("string")), ",", "").try_cast("double")
-    return F.when(~F.isnan(value), value)
+    value = F.replace(F.trim(as_col(c).cast("string")), F.lit(","), F.lit("")).try_cast("double")
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def to_flag(c: ColumnLike) -> Column:

@@ -13,32 +13,40 @@ TIME_PATTERN = r"(?i)(\d+:\d+)\s*([ap]m)(?:\s*[–-]\s*(\d+:\d+)\s*([ap]m))?"
 DEFAULT_HOURS = 2
 
 
-def event_date(text: str) -> Column:
-    """Date of the first 'Weekday, Month d, yyyy'; NULL when there is none or it is no date."""
-    part = lambda i: F.regexp_extract(text, DATE_PATTERN, i)
+def dated_header(text: str) -> Column:
+    """The first 'Weekday, Month d, yyyy' of a text, empty when there is none."""
+    return F.regexp_extract(text, DATE_PATTERN, 0)
+
+
+def header_date(header: str) -> Column:
+    """Date of a header; NULL when it is no date."""
+    part = lambda i: F.regexp_extract(header, DATE_PATTERN, i)
     return F.try_to_timestamp(F.concat_ws(" ", part(2), part(3), part(4)), F.lit("MMMM d yyyy")).cast("date")
 
 
-def _clock(date: Column, text: Column, time_group: int, half_group: int) -> Column:
-    t = F.regexp_extract(text, TIME_PATTERN, time_group)
-    half = F.upper(F.regexp_extract(text, TIME_PATTERN, half_group))
+def _clock(date: str, times: str, time_group: int, half_group: int) -> Column:
+    t = F.regexp_extract(times, TIME_PATTERN, time_group)
+    half = F.upper(F.regexp_extract(times, TIME_PATTERN, half_group))
     stamp = F.concat_ws(" ", F.date_format(date, "yyyy-MM-dd"), t, half)
     return F.when(t != "", F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd h:mm a")))
 
 
 def extract_events(df: DataFrame, text: str) -> DataFrame:
-    """Add event_date, starts_at and ends_at; a missing end is two hours after the start."""
-    clean = F.regexp_replace(F.col(text), r"\.", "")
-    dated = df.withColumns({"event_date": event_date(text), "_clean": clean})
-    timed = dated.withColumns(
-        {
-            "starts_at": _clock(F.col("event_date"), F.col("_clean"), 1, 2),
-            "_end": _clock(F.col("event_date"), F.col("_clean"), 3, 4),
-        }
+    """Add event_date, starts_at and ends_at; a missing end is two hours after the start.
+
+    A whole text is searched once for the header and, when that is a date, once for the times;
+    the groups are then taken from those short matches.
+    """
+    dated = df.withColumn("_header", dated_header(text)).withColumn("event_date", header_date("_header"))
+    plain = F.replace(F.col(text), F.lit("."), F.lit(""))
+    times = F.when(F.col("event_date").isNotNull(), F.regexp_extract(plain, TIME_PATTERN, 0))
+    timed = dated.withColumn("_times", times)
+    timed = timed.withColumns(
+        {"starts_at": _clock("event_date", "_times", 1, 2), "_end": _clock("event_date", "_times", 3, 4)}
     )
     default_end = F.col("starts_at") + F.expr(f"interval {DEFAULT_HOURS} hours")
     end = F.when(F.col("starts_at").isNotNull(), F.coalesce("_end", default_end))
-    return timed.withColumn("ends_at", end).drop("_clean", "_end")
+    return timed.withColumn("ends_at", end).drop("_header", "_times", "_end")
 
 
 def matches_place(place: str, terms: Sequence[str]) -> Column:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quarterdeck.functions.keys import drop_padded_nulls, pad12, strip_dash_pad12
+from quarterdeck.functions.keys import pad12, strip_dash_pad12
 from quarterdeck.functions.missing import present, to_flag, to_number
 
 # Product families.
@@ -67,13 +67,21 @@ KEYWORDS = {
 
 
 def clean_extract(df: DataFrame) -> DataFrame:
-    """Typed loan rows: 12-digit keys, facility filled from its alternate, numbers and booleans."""
-    return df.withColumns(
+    """Typed loan rows: 12-digit keys, numbers and booleans.
+
+    The facility id is filled from the 12-digit facility key. The tags join on that key itself,
+    so it is not filled from anything.
+    """
+    padded = df.withColumns(
+        {
+            "TL_FACILITY_DIGITS12": pad12("TL_FACILITY_DIGITS12"),
+            "FACILITY_ID": pad12("FACILITY_ID"),
+            "ACCOUNT_NUMBER": pad12("ACCOUNT_NUMBER"),
+        }
+    )
+    return padded.withColumns(
         {
-            "TL_FACILITY_DIGITS12": F.coalesce(
-                drop_padded_nulls(pad12("TL_FACILITY_DIGITS12")), drop_padded_nulls(pad12("FACILITY_ID"))
-            ),
-            "ACCOUNT_NUMBER": drop_padded_nulls(strip_dash_pad12("ACCOUNT_NUMBER")),
+            "FACILITY_ID": F.coalesce("FACILITY_ID", "TL_FACILITY_DIGITS12"),
             "IS_LAL_NFP": to_flag("IS_LAL_NFP"),
             "CREDIT_LII": to_number("CREDIT_LII"),
             "BALANCE": to_number("BALANCE"),
@@ -83,23 +91,26 @@ def clean_extract(df: DataFrame) -> DataFrame:
     )
 
 
-def assign_bucket(amount: Column | str) -> Column:
-    """Floor of the ladder step holding the amount; NULL and anything below the ladder get the lowest."""
+def _ladder(amount: Column | str, step: Callable[[int], Column]) -> Column:
+    """``step`` of the first floor at or under the amount; NULL and anything below get the lowest."""
     amount = F.col(amount) if isinstance(amount, str) else amount
-    chain = F.when(amount >= BUCKET_FLOORS[0], F.lit(BUCKET_FLOORS[0]))
+    chain = F.when(amount >= BUCKET_FLOORS[0], step(BUCKET_FLOORS[0]))
     for floor in BUCKET_FLOORS[1:]:
-        chain = chain.when(amount >= floor, F.lit(floor))
-    return chain.otherwise(F.lit(BUCKET_FLOORS[-1])).cast("long")
+        chain = chain.when(amount >= floor, step(floor))
+    return chain.otherwise(step(BUCKET_FLOORS[-1]))
 
 
-def bucket_label(floor: Column | str) -> Column:
-    return F.concat(F.lit("$"), F.format_number(floor, 0))
+def assign_bucket(amount: Column | str) -> Column:
+    return _ladder(amount, lambda floor: F.lit(floor).cast("long"))
+
+
+def bucket_label(amount: Column | str) -> Column:
+    return _ladder(amount, lambda floor: F.lit(f"${floor:,}"))
 
 
 def with_buckets(df: DataFrame, amount: str = "CREDIT_LII") -> DataFrame:
-    floor = assign_bucket(amount)
     return df.withColumns(
-        {"CREDIT_LII_COMMITMENT_FLOOR": floor, "CREDIT_LII_COMMITMENT_BUCKET": bucket_label(floor)}
+        {"CREDIT_LII_COMMITMENT_FLOOR": assign_bucket(amount), "CREDIT_LII_COMMITMENT_BUCKET": bucket_label(amount)}
     )
 
 
@@ -118,16 +129,18 @@ def expand_new_commitment(df: DataFrame) -> DataFrame:
 SPREAD_COLUMNS = ["LOAN_ID", "KEY_ACCT", "ACCOUNT_NUMBER", "TL_FACILITY_DIGITS12", "BORROWER", "CREDIT_LII"]
 
 
-def tag_by_key(df: DataFrame, keys: DataFrame, key: str, out: str, salts: int = 1) -> DataFrame:
-    """Boolean column: is ``df[key]`` among the single column of ``keys``? A NULL key never is.
+def tag_by_key(df: DataFrame, marks: DataFrame, key: str, salts: int = 1) -> DataFrame:
+    """Left join of boolean marks: ``marks`` holds a ``key`` column and one boolean per tag.
 
-    The lookup is reduced to distinct keys first and never forced into a broadcast: Spark
-    broadcasts it when its measured size allows, else shuffles both sides and AQE splits hot
-    partitions. Rows without a key are spread over made-up keys so that they do not meet in
-    one task; ``salts`` > 1 also splits every real key, for clusters that run without AQE.
+    A key without any mark, and a NULL key, get False. The marks are reduced to one row per key
+    first and never forced into a broadcast: Spark broadcasts them when their measured size
+    allows, else shuffles both sides and AQE splits hot partitions. Rows without a key are
+    spread over made-up keys so that they do not meet in one task; ``salts`` > 1 also splits
+    every real key, for clusters that run without AQE.
     """
-    name = keys.columns[0]
-    hits = keys.select(F.col(name).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
+    names = [c for c in marks.columns if c != "key"]
+    known = marks.filter(F.col("key").isNotNull() & reduce(lambda a, b: a | b, [F.col(n) for n in names]))
+    hits = known.groupBy(F.col("key").alias("_k")).agg(*[F.bool_or(n).alias(f"_hit_{n}") for n in names])
     row_hash = F.xxhash64(*[F.col(c) for c in present(df.columns, SPREAD_COLUMNS) or df.columns])
     left = df.withColumn("_j", F.coalesce(F.col(key), F.concat(F.lit("\u0000"), row_hash.cast("string"))))
     on = F.col("_j") == F.col("_k")
@@ -135,73 +148,89 @@ def tag_by_key(df: DataFrame, keys: DataFrame, key: str, out: str, salts: int =
         left = left.withColumn("_s", F.pmod(row_hash, F.lit(salts)).cast("int"))
         hits = hits.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on = on & (F.col("_s") == F.col("_t"))
-    joined = left.join(hits.withColumn("_hit", F.lit(True)), on, "left")
-    return joined.withColumn(out, F.coalesce("_hit", F.lit(False))).drop("_j", "_k", "_hit", "_s", "_t")
+    joined = left.join(hits, on, "left")
+    tags = {n: F.coalesce(f"_hit_{n}", F.lit(False)) for n in names}
+    return joined.withColumns(tags).drop("_j", "_k", "_s", "_t", *[f"_hit_{n}" for n in names])
 
 
 def _yes(c: str) -> Column:
     return F.coalesce(F.lower(F.trim(c)) == "yes", F.lit(False))
 
 
-def family_a_accounts(credit: DataFrame) -> DataFrame:
+def operating_or_charity(credit: DataFrame) -> Column:
     """Accounts of operating companies and charities."""
     charity = next((c for c in credit.columns if "CHARITY" in c and "ORGANIZATION" in c), None)
     wanted = _yes("OPERATING_COMPANY") if "OPERATING_COMPANY" in credit.columns else F.lit(False)
-    if charity:
-        wanted = wanted | _yes(charity)
-    return credit.filter(wanted).select(strip_dash_pad12("ACCOUNT_NUMBER").alias("key"))
+    return wanted | _yes(charity) if charity else wanted
 
 
-def family_b_facilities(reserve: DataFrame) -> DataFrame:
-    """Facilities with a corporate purpose and an entity relationship."""
-    purpose = F.col("PURPOSE_CODE_DESCRIPTION").rlike("(?i)corp")
-    entity = F.col("ACCOUNT_RELATIONSHIP_CODE_DESCRIPTION").rlike("(?i)" + "|".join(ENTITY_WORDS))
-    return reserve.filter(purpose & entity).select(pad12("FACILITY_ACCOUNT_NUMBER").alias("key"))
+def any_exception(credit: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """Yes in any exception column."""
+    columns = [c for c in (columns or credit.columns) if c in credit.columns and (columns or "EXCEPTION" in c)]
+    return reduce(lambda a, b: a | b, [_yes(c) for c in columns], F.lit(False))
 
 
-def office_facilities(properties: DataFrame) -> DataFrame:
-    return properties.filter(F.lower("PROPERTY_TYPE").contains("office")).select(pad12("FACILITY_ID").alias("key"))
+def account_marks(credit: DataFrame) -> DataFrame:
+    """Both account tags from one pass over the credit lookup."""
+    return credit.select(
+        strip_dash_pad12("ACCOUNT_NUMBER").alias("key"),
+        operating_or_charity(credit).alias("_in_credit"),
+        any_exception(credit).alias("HAS_CREDIT_POLICY_EXCEPTION"),
+    )
 
 
-def exception_accounts(credit: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Accounts with yes in any exception column."""
-    columns = [c for c in (columns or credit.columns) if c in credit.columns and (columns or "EXCEPTION" in c)]
-    any_yes = reduce(lambda a, b: a | b, [_yes(c) for c in columns], F.lit(False))
-    return credit.filter(any_yes).select(strip_dash_pad12("ACCOUNT_NUMBER").alias("key"))
+def facility_marks(reserve: DataFrame, properties: DataFrame) -> DataFrame:
+    """Facilities with a corporate purpose and an entity relationship, and facilities on offices."""
+    purpose = F.col("PURPOSE_CODE_DESCRIPTION").rlike("(?i)corp")
+    entity = F.col("ACCOUNT_RELATIONSHIP_CODE_DESCRIPTION").rlike("(?i)" + "|".join(ENTITY_WORDS))
+    office = F.lower("PROPERTY_TYPE").contains("office")
+    corporate = reserve.select(
+        pad12("FACILITY_ACCOUNT_NUMBER").alias("key"),
+        F.coalesce(purpose & entity, F.lit(False)).alias("_in_reserve"),
+        F.lit(False).alias("IS_OFFICE"),
+    )
+    offices = properties.select(
+        pad12("FACILITY_ID").alias("key"), F.lit(False).alias("_in_reserve"), F.coalesce(office, F.lit(False)).alias("IS_OFFICE")
+    )
+    return corporate.unionByName(offices)
 
 
 def with_tags(df: DataFrame, credit: DataFrame, reserve: DataFrame, properties: DataFrame, salts: int = 1) -> DataFrame:
-    """The three tags. An empty lookup just yields False, so optional inputs may be empty frames."""
-    tagged = tag_by_key(df, family_a_accounts(credit), "ACCOUNT_NUMBER", "_in_credit", salts)
-    tagged = tag_by_key(tagged, family_b_facilities(reserve), "TL_FACILITY_DIGITS12", "_in_reserve", salts)
-    tagged = tag_by_key(tagged, office_facilities(properties), "TL_FACILITY_DIGITS12", "IS_OFFICE", salts)
-    tagged = tag_by_key(
-        tagged, exception_accounts(credit), "ACCOUNT_NUMBER", "HAS_CREDIT_POLICY_EXCEPTION", salts
-    )
+    """The three tags, with one join per key: all account tags together, all facility tags together.
+
+    An empty lookup just yields False, so optional inputs may be empty frames.
+    """
+    tagged = tag_by_key(df, account_marks(credit), "ACCOUNT_NUMBER", salts)
+    tagged = tag_by_key(tagged, facility_marks(reserve, properties), "TL_FACILITY_DIGITS12", salts)
     a = F.col("PRODUCT_BUCKET").isin(LAL_PRODUCTS) & (F.col("IS_LAL_NFP") | F.col("_in_credit"))
     b = F.col("PRODUCT_BUCKET").isin(TL_PRODUCTS) & F.col("_in_reserve")
     return tagged.withColumn("IS_NTC", F.coalesce(a | b, F.lit(False))).drop("_in_credit", "_in_reserve")
 
 
 def apply_flags(df: DataFrame) -> DataFrame:
-    """All flags as an array, as pipe-joined text, their number, and whether there is any. One projection each."""
+    """All flags as an array, as pipe-joined text, their number, and whether there is any.
+
+    Keyword hits, then one boolean per rule, then the outputs: each rule is evaluated once.
+    """
     text = F.lower("TXT_MSTR_FACIL_COLLATERAL_DESC")
     inputs = {name: F.coalesce(text.contains(word), F.lit(False)) for name, word in KEYWORDS.items()}
     inputs["amount"] = F.coalesce(F.col("CREDIT_LII"), F.lit(0.0))
     inputs["share"] = F.coalesce(F.col("SBL_PERC"), F.lit(0.0))
-    flags = ", ".join(f"CASE WHEN {rule} THEN '{name}' END" for name, rule in FLAG_RULES.items())
-    out = df.withColumns(inputs).withColumn("FLAG_LIST", F.expr(f"array_compact(array({flags}))"))
-    return out.withColumns(
-        {
-            "FLAGS": F.array_join("FLAG_LIST", "|"),
-            "FLAG_COUNT": F.size("FLAG_LIST"),
-            "QUALIFIED": F.size("FLAG_LIST") > 0,
-        }
-    ).drop(*inputs)
+    hits = {f"_f{i}": F.expr(f"coalesce({rule}, false)") for i, rule in enumerate(FLAG_RULES.values())}
+    out = df.withColumns(inputs).withColumns(hits)
+    joined = F.concat_ws("|", *[F.when(F.col(f), F.lit(name)) for f, name in zip(hits, FLAG_NAMES)])
+    out = out.withColumns(
+        {"FLAGS": joined, "FLAG_COUNT": reduce(lambda a, b: a + b, [F.col(f).cast("int") for f in hits])}
+    )
+    listed = F.when(F.col("FLAG_COUNT") == 0, F.array().cast("array<string>")).otherwise(F.split("FLAGS", "[|]"))
+    return out.withColumns({"FLAG_LIST": listed, "QUALIFIED": F.col("FLAG_COUNT") > 0}).drop(*inputs, *hits)
 
 
 def join_rates(df: DataFrame, credit: DataFrame, reserve: DataFrame, properties: DataFrame) -> DataFrame:
-    """Per lookup: rows in scope, rows whose key the lookup knows, and the share."""
+    """Per lookup: rows in scope, rows whose key the lookup knows, and the share.
+
+    Rows are counted per key before the join, so both sides hold a key once and none is hot.
+    """
     plans = [
         ("credit", credit.select(strip_dash_pad12("ACCOUNT_NUMBER").alias("key")), "ACCOUNT_NUMBER", LAL_PRODUCTS),
         ("reserve", reserve.select(pad12("FACILITY_ACCOUNT_NUMBER").alias("key")), "TL_FACILITY_DIGITS12", TL_PRODUCTS),
@@ -209,13 +238,17 @@ def join_rates(df: DataFrame, credit: DataFrame, reserve: DataFrame, properties:
     ]
     audits = []
     for name, keys, key, scope in plans:
-        hit = tag_by_key(df.filter(F.col("PRODUCT_BUCKET").isin(scope)).select(key), keys, key, "_m")
+        in_scope = df.filter(F.col("PRODUCT_BUCKET").isin(scope))
+        per_key = in_scope.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        hit = per_key.join(keys.distinct().withColumn("_hit", F.lit(True)), "key", "left")
+        total = F.coalesce(F.sum("n"), F.lit(0))
+        matched = F.coalesce(F.sum(F.when(F.col("_hit"), F.col("n"))), F.lit(0))
         audits.append(
             hit.agg(
                 F.lit(name).alias("lookup"),
-                F.count(F.lit(1)).alias("total"),
-                F.count_if("_m").alias("matched"),
-                F.try_divide(F.count_if("_m") * F.lit(100.0), F.count(F.lit(1))).alias("join_rate_pct"),
+                total.alias("total"),
+                matched.alias("matched"),
+                F.try_divide(matched * F.lit(100.0), total).alias("join_rate_pct"),
             )
         )
     return reduce(DataFrame.unionByName, audits)

@@ -214,7 +214,7 @@ case o_orderpriority
 LOAN_FIELDS = {
     "LOAN_ID": "o_orderkey",
     "TL_FACILITY_DIGITS12": "case o_orderstatus when 'P' then cast(o_orderkey as varchar(20)) || '.0' when 'O' then cast(o_orderkey as varchar(20)) else 'nan' end",
-    "FACILITY_ID": "cast(o_orderkey as varchar(20))",
+    "FACILITY_ID": "case when o_orderpriority = '1-URGENT' then 'None' else cast(o_orderkey as varchar(20)) end",
     "ACCOUNT_NUMBER": "'001-' || cast(c_custkey as varchar(20))",
     "BORROWER": "c_name",
     "PRODUCT_BUCKET": PRODUCT_CASE,

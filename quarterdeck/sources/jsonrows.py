@@ -7,42 +7,48 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _array(doc: Column, path: str) -> Column:
-    """The JSON array at a path as an array of JSON texts; NULL when there is none."""
-    text = F.get_json_object(doc, path)
+def _list(text: Column) -> Column:
+    """A JSON array as an array of JSON texts; NULL for anything else."""
     return F.when(text.startswith("["), F.from_json(text, "array<string>"))
 
 
-def payload_rows(doc: Column) -> Column:
-    """Top-level rows of the accepted shapes: a list, ``data``, ``data.results``, ``results.rows`` or ``results``; else the document."""
-    bare = F.when(F.trim(doc).startswith("["), F.from_json(doc, "array<string>"))
+def _fields(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n}` string" for n in dict.fromkeys(names))
+
+
+def payload_rows(doc: Column, envelope: Column) -> Column:
+    """Top-level rows of the accepted shapes: a list, ``data``, ``data.results``, ``results.rows`` or ``results``; else the document.
+
+    ``envelope`` is the parsed document with its ``data`` and ``results`` as JSON texts.
+    """
+    inside = lambda text, name: _list(F.from_json(text, _fields([name]))[name])
+    data, results = envelope["data"], envelope["results"]
     return F.coalesce(
-        bare, _array(doc, "$.data"), _array(doc, "$.data.results"), _array(doc, "$.results.rows"), _array(doc, "$.results"), F.array(doc)
+        _list(F.trim(doc)), _list(data), inside(data, "results"), inside(results, "rows"), _list(results), F.array(doc)
     )
 
 
 def flatten_results(df: DataFrame, json_col: str, fields: Sequence[str], keep: Sequence[str] = (), depth: int = 3) -> DataFrame:
     """Explode nested ``results`` lists; a child's field overrides its parent's.
 
-    The plan has a fixed number of passes (``depth``, at most 10). Rows that are already
-    flat pass through. Children that are no objects are skipped; an empty list leaves its row.
+    The plan has a fixed number of passes (``depth``, at most 10), and every node is parsed once
+    per pass. Rows that are already flat pass through. Children that are no objects are
+    skipped; an empty list leaves its row.
     """
     if not 1 <= depth <= 10:
         raise ValueError("depth must be between 1 and 10")
     doc = F.col(json_col)
+    head = df.select(*keep, doc.alias("_doc"), F.from_json(doc, _fields([*fields, "data", "results"])).alias("_p"))
     # fields of the envelope itself are the outermost parents
-    envelope = F.when(~F.trim(doc).startswith("["), doc)
-    rows = df.select(
-        *keep,
-        *[F.get_json_object(envelope, f"$.{f}").alias(f) for f in fields],
-        F.explode(payload_rows(doc)).alias("_node"),
+    rows = head.select(
+        *keep, *[F.col(f"_p.{f}").alias(f) for f in fields], F.explode(payload_rows(F.col("_doc"), F.col("_p"))).alias("_node")
     )
+    own = [F.coalesce(F.col(f"_p.{f}"), F.col(f)).alias(f) for f in fields]
     for _ in range(depth):
-        own = [F.coalesce(F.get_json_object("_node", f"$.{f}"), F.col(f)).alias(f) for f in fields]
-        children = F.filter(_array(F.col("_node"), "$.results"), lambda c: c.startswith("{"))
-        inner = _array(F.col("_node"), "$.results")
-        nested = F.coalesce(F.size(inner), F.lit(0)) > 0
-        rows = rows.select(*keep, *own, F.when(nested, children).otherwise(F.array("_node")).alias("_kids"))
-        rows = rows.select(*keep, *fields, F.explode("_kids").alias("_node"))
-    last = [F.coalesce(F.get_json_object("_node", f"$.{f}"), F.col(f)).alias(f) for f in fields]
-    return rows.select(*keep, *last)
+        parsed = rows.select(*keep, *fields, "_node", F.from_json("_node", _fields([*fields, "results"])).alias("_p"))
+        listed = parsed.select(*keep, *own, "_node", _list(F.col("_p.results")).alias("_inner"))
+        children = F.filter("_inner", lambda c: c.startswith("{"))
+        kids = F.when(F.coalesce(F.size("_inner"), F.lit(0)) > 0, children).otherwise(F.array("_node"))
+        rows = listed.select(*keep, *fields, F.explode(kids).alias("_node"))
+    last = rows.select(*keep, *fields, F.from_json("_node", _fields(fields)).alias("_p"))
+    return last.select(*keep, *own)
