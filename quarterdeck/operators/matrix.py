@@ -10,7 +10,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quarterdeck.operators.tagging import BUCKET_FLOORS, LAL_PRODUCTS, PRODUCTS
+from quarterdeck.operators.tagging import BUCKET_FLOORS, LAL_PRODUCTS, PRODUCTS, flag_list
 
 BUCKET = "CREDIT_LII_COMMITMENT_FLOOR"
 PRODUCT = "PRODUCT_BUCKET"
@@ -102,7 +102,8 @@ def qualified_split(df: DataFrame) -> DataFrame:
 
 def flag_sets(df: DataFrame) -> DataFrame:
     """Distinct flag combinations with their rows and amount - the small table behind every flag report."""
-    return df.groupBy("FLAG_LIST").agg(F.count(F.lit(1)).alias("loans"), F.sum(amount()).alias("amount"))
+    sets = df.groupBy("FLAGS").agg(F.count(F.lit(1)).alias("loans"), F.sum(amount()).alias("amount"))
+    return sets.withColumn("FLAG_LIST", flag_list("FLAGS"))
 
 
 def flag_breakdown(df: DataFrame, top: int = 12) -> DataFrame:

@@ -23,7 +23,10 @@ def exact_quantile(
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
+    # The sketch is off by at most n / accuracy ranks. Below ``whole`` rows ten times that is under
+    # two ranks, too little for both neighbours, so such small groups are taken as they are.
     margin = 10.0 / accuracy
+    whole = int(2 / margin)
     lo, hi = max(0.0, prob - margin), min(1.0, prob + margin)
     sketch = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -34,8 +37,8 @@ def exact_quantile(
     sketch = sketch.select(
         *keys,
         "n",
-        (F.col("_min") if lo == 0 else F.col("_b")[0]).alias("_lo"),
-        (F.col("_max") if hi == 1 else F.col("_b")[1]).alias("_hi"),
+        F.when((F.col("n") < whole) | F.lit(lo == 0), F.col("_min")).otherwise(F.col("_b")[0]).alias("_lo"),
+        F.when((F.col("n") < whole) | F.lit(hi == 1), F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"),
     )
     if keys:
         # <=> keeps NULL keys; the sketch has one row per key, AQE broadcasts it when small.

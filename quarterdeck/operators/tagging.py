@@ -207,6 +207,11 @@ def with_tags(df: DataFrame, credit: DataFrame, reserve: DataFrame, properties:
     return tagged.withColumn("IS_NTC", F.coalesce(a | b, F.lit(False))).drop("_in_credit", "_in_reserve")
 
 
+def flag_list(flags: str) -> Column:
+    """Pipe-joined flags as an array; the empty text is the empty array."""
+    return F.when(F.col(flags) == "", F.array().cast("array<string>")).otherwise(F.split(flags, "[|]"))
+
+
 def apply_flags(df: DataFrame) -> DataFrame:
     """All flags as an array, as pipe-joined text, their number, and whether there is any.
 
@@ -222,8 +227,7 @@ def apply_flags(df: DataFrame) -> DataFrame:
     out = out.withColumns(
         {"FLAGS": joined, "FLAG_COUNT": reduce(lambda a, b: a + b, [F.col(f).cast("int") for f in hits])}
     )
-    listed = F.when(F.col("FLAG_COUNT") == 0, F.array().cast("array<string>")).otherwise(F.split("FLAGS", "[|]"))
-    return out.withColumns({"FLAG_LIST": listed, "QUALIFIED": F.col("FLAG_COUNT") > 0}).drop(*inputs, *hits)
+    return out.withColumns({"FLAG_LIST": flag_list("FLAGS"), "QUALIFIED": F.col("FLAG_COUNT") > 0}).drop(*inputs, *hits)
 
 
 def join_rates(df: DataFrame, credit: DataFrame, reserve: DataFrame, properties: DataFrame) -> DataFrame:
@@ -270,7 +274,7 @@ def flag_counts(df: DataFrame) -> DataFrame:
 
 def flag_summary(df: DataFrame) -> DataFrame:
     """Qualified rows, their share, rows with several flags and distinct flags, in one row."""
-    distinct = F.size(F.array_distinct(F.flatten(F.collect_set("FLAG_LIST"))))
+    distinct = sum((F.max(F.array_contains("FLAG_LIST", name).cast("int")) for name in FLAG_NAMES[1:]), F.max(F.array_contains("FLAG_LIST", FLAG_NAMES[0]).cast("int")))
     return df.agg(
         F.count(F.lit(1)).alias("loans"),
         F.count_if("QUALIFIED").alias("qualified"),
