@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,10 +22,12 @@ SETTINGS = {
 }
 
 
-def local_session(name: str = "quarterdeck", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    name: str = "quarterdeck", cores: int | str = "*", shuffle_partitions: int = 8, extra: Mapping[str, str] | None = None
+) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -6,7 +6,6 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from quarterdeck.functions.missing import present
 from quarterdeck.functions.names import find_column, normalize_names
 from quarterdeck.sources.delimited import read_extract
 
@@ -69,8 +68,5 @@ def build_crosswalk(spark: SparkSession, path: str, ids: DataFrame | None = None
         raise ValueError(f"no id columns among {raw.columns}")
     pairs = raw.select(F.col(rssd).try_cast("long").alias("IDRSSD"), F.col(cert).try_cast("long").alias("CERT"))
     pairs = pairs.filter(F.col("IDRSSD").isNotNull() & (F.col("CERT") > 0)).groupBy("IDRSSD").agg(F.min("CERT").alias("CERT"))
-    return pairs if ids is None else pairs.join(ids.select("CERT").distinct(), "CERT", "left_semi")
-
-
-def usable_fields(df: DataFrame, targets: Sequence[str]) -> list[str]:
-    return present(df.columns, targets)
+    wanted = pairs if ids is None else pairs.join(ids.select("CERT").distinct(), "CERT", "left_semi")
+    return wanted.select("IDRSSD", "CERT")

@@ -11,8 +11,9 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", 8, shuffle_partitions=8)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("tests", 8, shuffle_partitions=8, extra={"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 
