@@ -34,7 +34,7 @@ def quarter_cache(spark, sf):
     """Panel codes stored by quarter, read for a range of quarters and the ids of one region."""
     root = scratch_path(spark, "cache")
     fields = ["RCFD1545", "RCFDJJ04", "LNAG"]
-    bank_panel(spark, sf, fields).repartition("REPDTE").write.partitionBy("REPDTE").option("header", True).csv(root)
+    sinks.by_period(bank_panel(spark, sf, fields), "REPDTE").write.partitionBy("REPDTE").option("header", True).csv(root)
     ids = table(spark, sf, "supplier").join(table(spark, sf, "nation").filter("n_regionkey = 2"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("CERT"))
     return callreport.read_quarter_cache(spark, root, fields, ids, "1996-03-31", "1999-12-31")
 

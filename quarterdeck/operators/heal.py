@@ -68,8 +68,8 @@ def heal_status(df: DataFrame, checks: Sequence[str] = STATUS_COLUMNS) -> DataFr
     cols = present(df.columns, checks)
     if not cols:
         return df.withColumns({"RIC_SOURCE_AVAILABLE": F.lit(0), "RIC_Source_Status": F.lit("NO_FIELDS")})
-    # A scalar subquery per check column: one value each, planned once.
-    filled = {c: df.agg((F.count(c) > 0).alias("filled")).scalar() for c in cols}
+    # One scalar subquery for all check columns.
+    filled = df.agg(F.struct(*[(F.count(c) > 0).alias(c) for c in cols]).alias("filled")).scalar()
     chain = F.lit(0)
     for c in reversed(cols):
         chain = F.when(filled[c], F.when(F.col(c).isNotNull(), 1).otherwise(0)).otherwise(chain)

@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 REQUIRED_TAGS = ["IS_NTC", "IS_OFFICE", "HAS_CREDIT_POLICY_EXCEPTION", "FLAGS", "FLAG_COUNT", "QUALIFIED"]
 # The panel is read by period, so it is stored by period.
 PARTITIONS = {"panel": ["REPDTE"]}
 
 
+def by_period(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of one period together, so that not every task writes every period.
+
+    A rebalance, not a repartition: AQE splits a period that is too large for one task.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def write_extract(df: DataFrame, path: str, fmt: str = "csv", required: Sequence[str] = tuple(REQUIRED_TAGS)) -> None:
     """Write the tagged loans; refuses a frame that lacks a required column."""
     missing = [c for c in required if c not in set(df.columns)]
@@ -27,7 +35,5 @@ def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
     for name, df in tables.items():
         paths[name] = f"{root.rstrip('/')}/{name}"
         by = [c for c in PARTITIONS.get(name, []) if c in set(df.columns)]
-        # Rows of one period go to one set of files; without this every task writes every period.
-        out = df.repartition(*by) if by else df
-        out.write.mode("errorifexists").partitionBy(*by).parquet(paths[name])
+        (by_period(df, *by) if by else df).write.mode("errorifexists").partitionBy(*by).parquet(paths[name])
     return paths

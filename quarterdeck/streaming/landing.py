@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quarterdeck.operators.flows import ENTITY, PERIOD
 from quarterdeck.operators.heal import heal
 from quarterdeck.sources.callreport import cache_schema
+from quarterdeck.sources.sinks import by_period
 
 
 def patch_stream(spark: SparkSession, landing: str, fields: Sequence[str]) -> DataFrame:
@@ -30,7 +31,7 @@ def heal_stream(spark: SparkSession, landing: str, panel_path: str, out_path: st
         touched = panel.join(patch.select(PERIOD).distinct(), PERIOD, "left_semi")
         healed = heal(touched, patch, fields)
         (
-            healed.repartition(PERIOD)
+            by_period(healed, PERIOD)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PERIOD)
