@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import Mapping
 
@@ -41,18 +40,15 @@ def local_session(
     return spark
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name under the cluster's shared folder.
+def shared_root(spark: SparkSession) -> str:
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or else a folder inside the session's warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return root.rstrip("/")
 
-    ``spark.checkpoint.dir`` names that folder on a cluster. Only a local master
-    may fall back to the machine's own temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="quarterdeck-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder name under the shared folder."""
+    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
