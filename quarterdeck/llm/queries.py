@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import language, pieces, token_counts, url_filter
+from quarterdeck.llm import language, pieces, suffix_dedup, token_counts, url_filter, window_dedup
 from quarterdeck.plans.shapes import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -26,6 +26,12 @@ def n_bytes(text: str = "text"):
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+def op1_suffix_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeated_bytes(docs).select("doc_id", "removed.*")
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op2_token_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     counted = token_counts.token_counts(docs, tokenizer_file(WORD_BPE))
@@ -37,6 +43,11 @@ def op3_url_filter(spark, sf):
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_window_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return window_dedup.remove_repeated_words(docs).select("doc_id", "removed.n_words", "removed.n_removed", "removed.kept_sha256")
+
+
 def op9_sentence_pieces(spark, sf):
     path = tokenizer_file(PIECES)
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -65,6 +76,8 @@ def op10_language(spark, sf):
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op5_window_dedup": op5_window_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_url_filter": op3_url_filter,
     "op9_sentence_pieces": op9_sentence_pieces,
