@@ -5,9 +5,11 @@ Each query applies its operator, with production parameters, to the whole table.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import language, pieces, suffix_dedup, token_counts, url_filter, window_dedup
+from quarterdeck.llm import decontam, language, lines, near_dup, order_minhash, pieces, suffix_dedup, token_counts, url_filter, window_dedup
 from quarterdeck.plans.shapes import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -43,11 +45,30 @@ def op3_url_filter(spark, sf):
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_decontamination(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return decontam.contaminated(docs, table(spark, sf, "benchmark"))
+
+
 def op5_window_dedup(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return window_dedup.remove_repeated_words(docs).select("doc_id", "removed.n_words", "removed.n_removed", "removed.kept_sha256")
 
 
+def op6_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lines.remove_repeated_lines(docs).select("doc_id", "lines.n_lines", "lines.n_removed", "lines.kept_sha256")
+
+
+def op7_near_dup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return near_dup.components(docs, words=3, similarity=Fraction(85, 100)).drop("set_key")
+
+
+def op8_order_minhash(spark, sf):
+    return order_minhash.fingerprints(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op9_sentence_pieces(spark, sf):
     path = tokenizer_file(PIECES)
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -77,9 +98,13 @@ def op10_language(spark, sf):
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
-    "op5_window_dedup": op5_window_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_url_filter": op3_url_filter,
+    "op4_decontamination": op4_decontamination,
+    "op5_window_dedup": op5_window_dedup,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_near_dup": op7_near_dup,
+    "op8_order_minhash": op8_order_minhash,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_language": op10_language,
 }

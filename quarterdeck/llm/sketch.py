@@ -63,8 +63,8 @@ class Sketch:
 class Repeated:
     """The merged maps: ``test`` tells which hashes may occur more than once."""
 
-    def __init__(self, more: list[bytes], bits: int, hot: np.ndarray):
-        self.more, self.bits, self.hot = [np.frombuffer(m, np.uint8) for m in more], bits, hot
+    def __init__(self, more: list[bytes], bits: int, hot: np.ndarray, total: int):
+        self.more, self.bits, self.hot, self.total = [np.frombuffer(m, np.uint8) for m in more], bits, hot, total
 
     def test(self, hashes: np.ndarray) -> np.ndarray:
         out = np.ones(len(hashes), bool)
@@ -132,7 +132,7 @@ def _merge(rows: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch([out])])
 
 
-def repeated(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int = BITS, hot_least: int = 2000) -> Repeated:
+def repeated(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int = BITS, hot_least: int = 100_000) -> Repeated:
     """Sketch of the hashes that ``hashes`` gives for each batch of ``df``."""
 
     def sketch(batches):
@@ -163,4 +163,4 @@ def repeated(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarr
             row, b = divmod(r["block"], BLOCKS)
             more[row][b * size : (b + 1) * size] = _unpack(bytes(r["more"]))
     listed = np.sort(hot["hash"][hot["n"] >= max(hot_least, total // HOT_MOST)])
-    return Repeated([m.tobytes() for m in more], bits, listed)
+    return Repeated([m.tobytes() for m in more], bits, listed, total)

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from quarterdeck.llm import passages
 from quarterdeck.llm.hashing import ngrams, range_hash, sliding_min, sums, word_hashes, words
-from quarterdeck.llm.suffix_dedup import _spans
 
 WORDS = 35
 GRAM = 8
@@ -41,33 +40,31 @@ def cut_words(text: str, length: int = WORDS):
     yield passages.segments(minimum, 0, lambda i, j: windows[i:j].tobytes(), lambda k: windows[k], grams[chosen])
 
 
-def solve_words(groups: list[passages.Group]):
-    """Windows that occur twice or more under their key. What was met once waits for the rest of its group."""
-    contents = [(g, c) for g, group in enumerate(groups) for c in (*group.places, *(group.told - group.places.keys()))]
-    if not contents:
-        return
-    places = [passages.joined_places(groups[g], c) for g, c in contents]
-    size = np.array([len(c) // 8 for _, c in contents])
-    times = np.array([len(p) + 2 * (c in groups[g].told) for p, (g, c) in zip(places, contents)])
-    owner = np.repeat(np.arange(len(contents)), size)
-    key = np.array([g for g, _ in contents])[owner]
-    value = np.frombuffer(b"".join(c for _, c in contents), np.uint64)
+def solve_words(lot: passages.Lot):
+    """Windows that occur twice or more under their key."""
+    size = np.array([len(c) // 8 for c in lot.contents])
+    times = np.bincount(lot.owner, minlength=len(lot.contents)) + lot.before
+    owner = np.repeat(np.arange(len(size)), size)
+    key, value = lot.key[owner], np.frombuffer(b"".join(lot.contents), np.uint64)
     order = np.lexsort((value, key))
     first = np.flatnonzero(np.concatenate(([True], (key[order][1:] != key[order][:-1]) | (value[order][1:] != value[order][:-1]))))
     total = np.add.reduceat(times[owner[order]], first)
     often = np.empty(len(order), bool)
-    often[order] = np.repeat(total >= 2, np.diff(np.concatenate((first, [len(order)]))))
-    at = np.concatenate(([0], np.cumsum(size)))
-    for k, (g, c) in enumerate(contents):
-        start, end = _spans(often[at[k] : at[k + 1]])
-        if len(start) and len(places[k]):
-            yield np.repeat(places[k], len(start)), np.tile(start, len(places[k])), np.tile(end, len(places[k]))
-        if g == len(groups) - 1 and often[at[k] : at[k + 1]].all():  # the last group may go on
-            groups[g].told.add(c)
-            groups[g].places.pop(c, None)
+    often[order] = np.repeat(total >= 2, np.diff(np.append(first, len(order))))
+    begin = np.cumsum(size) - size
+    edge = np.concatenate((often[:1], often[1:] & (~often[:-1] | (owner[1:] != owner[:-1]))))
+    close = np.concatenate((often[:-1] & (~often[1:] | (owner[1:] != owner[:-1])), often[-1:]))
+    starts, ends = np.flatnonzero(edge), np.flatnonzero(close) + 1
+    of = owner[starts]  # runs lie by content; each goes to all places of its content
+    by_owner = np.argsort(lot.owner, kind="stable")
+    low = np.searchsorted(lot.owner[by_owner], np.arange(len(size) + 1))
+    n = (low[1:] - low[:-1])[of]
+    which = np.repeat(np.arange(len(of)), n)
+    place = by_owner[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + low[of][which]]
+    yield lot.places[place], (starts - begin[of])[which], (ends - begin[of])[which]
 
 
-def remove_repeated_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = WORDS, hot_least: int = 2000) -> DataFrame:
+def remove_repeated_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = WORDS, hot_least: int = passages.HOT_LEAST) -> DataFrame:
     """``docs`` with ``removed`` (struct: n_words, n_removed, kept text, its SHA-256)."""
     if length < GRAM:
         raise ValueError(f"windows of at least {GRAM} words")
