@@ -52,6 +52,8 @@ def link(groups: DataFrame, verify: Verify) -> DataFrame:
     found = materialize(connected(links), "components")
     for last in (False, True):
         mixed = materialize(_mixed(groups, found), "mixed")
+        if mixed.isEmpty():
+            break
         if last:
             x, y = (mixed.select("bucket", F.col("id").alias(n), F.col("c").alias("c" + n)) for n in ("a", "b"))
             pairs = x.join(y, "bucket").where("a < b and ca != cb").select("a", "b")
