@@ -68,7 +68,7 @@ JSON_DOC = """case event_type
 def nested_json(spark, sf):
     """Five payload shapes, one per event."""
     docs = table(spark, sf, "events").select("event_id", F.expr(JSON_DOC).alias("doc"))
-    flat = jsonrows.flatten_results(docs, "doc", ["zip", "year", "quarter", "tot_ratio"], ["event_id"])
+    flat = jsonrows.flatten_results(docs, "doc", ["zip", "year", "quarter", "tot_ratio"], ["event_id"], depth=3)
     return flat.withColumn("tot_ratio", F.col("tot_ratio").try_cast("double"))
 
 

@@ -14,7 +14,7 @@ from quarterdeck.session import materialize
 METROS = """select cast(10000 + n_nationkey as varchar(10)) as cbsa_code, n_name as msa_name, lpad(cast(n_regionkey as varchar(5)), 2, '0') as state_fips, upper(substr(r_name, 1, 2)) as state_abbrev from {nation} join {region} on n_regionkey = r_regionkey"""
 COUNTIES = """select r_name as region, lpad(cast(n_nationkey as varchar(5)), 5, '0') as fips, 'County ' || n_name as county, upper(substr(r_name, 1, 2)) as state, cast(10000 + n_nationkey as varchar(10)) as cbsa_code from {nation} join {region} on n_regionkey = r_regionkey where r_name <> 'AFRICA'"""
 XWALK = """select cast(c_custkey as varchar(20)) || '.0' as zip_code, cast(c_nationkey as varchar(20)) as geoid, cast(o_totalprice as varchar(30)) as residential_ratio, cast(c_acctbal as varchar(30)) as bus_ratio, cast(null as varchar(30)) as other_ratio, '0.5' as total_ratio, year(o_orderdate) as year, quarter(o_orderdate) as quarter, o_orderkey from {orders} join {customer} on o_custkey = c_custkey"""
-ZIP_METRO = """select lpad(cast(o_custkey as varchar(20)), 5, '0') as zip, case o_orderpriority when '1-URGENT' then '10001' when '2-HIGH' then '10002' when '3-MEDIUM' then '10003' when '4-NOT SPECIFIED' then '' else '10004' end as cbsa_code, cast(round(o_totalprice * 100) as bigint) / 50000000.0 as tot_ratio from {orders}"""
+ZIP_METRO = """select case when o_custkey > 99999 then cast(o_custkey as varchar(20)) else lpad(cast(o_custkey as varchar(20)), 5, '0') end as zip, case o_orderpriority when '1-URGENT' then '10001' when '2-HIGH' then '10002' when '3-MEDIUM' then '10003' when '4-NOT SPECIFIED' then '' else '10004' end as cbsa_code, cast(round(o_totalprice * 100) as bigint) / 50000000.0 as tot_ratio from {orders}"""
 GDP = """select cast(10000 + c_nationkey as varchar(10)) as cbsa_code, cast(date_trunc('year', o_orderdate) as date) as date, cast(sum(cast(round(o_totalprice * 100) as bigint)) as double) as value from {orders} join {customer} on o_custkey = c_custkey where c_nationkey <> 7 group by 1, 2"""
 POPULATION = """select cast(10000 + c_nationkey as varchar(10)) as cbsa_code, cast(date_trunc('year', o_orderdate) as date) as date, case when c_nationkey = 9 then 0.0 else cast(count(*) * 1000 + 7 as double) end as value from {orders} join {customer} on o_custkey = c_custkey where c_nationkey <> 11 group by c_nationkey, 2"""
 RATES = """select cast(10000 + c_nationkey as varchar(10)) as cbsa_code, cast(date_trunc('month', o_orderdate) as date) as date, cast(sum(case when o_orderpriority = '1-URGENT' then 1 else 0 end) as double) * 8 / count(*) as value from {orders} join {customer} on o_custkey = c_custkey where c_nationkey <> 13 group by 1, 2"""
@@ -148,7 +148,7 @@ def plain(text):
 
 for _name, _text in (("metros", METROS), ("counties", COUNTIES), ("xwalk", XWALK), ("zip_metro", ZIP_METRO), ("gdp", GDP), ("population", POPULATION), ("rates", RATES), ("requests", REQUESTS)):
     register(_name, plain(_text))
-_ZIP = "lpad(split_part(zip_code, '.', 1), 5, '0')"
+_ZIP = "(case when length(split_part(zip_code, '.', 1)) > 5 then split_part(zip_code, '.', 1) else lpad(split_part(zip_code, '.', 1), 5, '0') end)"
 register(
     "coverage",
     f"""select r.region, {_ZIP} as zip, lpad(geoid, 5, '0') as county_fips, year, quarter, county, state, cast(residential_ratio as double) as res_ratio, cast(bus_ratio as double) as bus_ratio, cast(null as double) as oth_ratio, 0.5::double as tot_ratio

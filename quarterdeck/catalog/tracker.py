@@ -14,7 +14,7 @@ QUARTERS = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)]
 def deduped(spark, sf):
     df = deal_tracker(spark, sf)
     date, gross = find_role(df.columns, "date"), find_role(df.columns, "gross")
-    return tracker.dedup_latest(df, "RELATIONSHIP_NAME", "TRACKER_FILE_V", date, [gross, "DEAL_ID"])
+    return tracker.dedup_latest(df, "TRACKER_FILE_V", "RELATIONSHIP_NAME", date, [gross, "DEAL_ID"])
 
 
 def tracker_dedup(spark, sf):
@@ -66,7 +66,7 @@ QUERIES = {
 
 register(
     "deduped",
-    """select * from (select *, case when trim(coalesce(RELATIONSHIP_NAME, '')) = '' then upper(trim(coalesce(TRACKER_FILE_V, ''))) else upper(trim(RELATIONSHIP_NAME)) end as BORROWER_KEY,
+    """select * from (select *, upper(coalesce(nullif(trim(TRACKER_FILE_V), ''), trim(RELATIONSHIP_NAME), '')) as BORROWER_KEY,
        year(TRACKER_DATE) || 'Q' || quarter(TRACKER_DATE) as QUARTER, cast(year(TRACKER_DATE) as integer) as YEAR from deals)
        qualify row_number() over (partition by BORROWER_KEY, QUARTER order by TRACKER_DATE desc, GROSS_SIZE desc, DEAL_ID desc) = 1""",
     ("deals",),

@@ -37,10 +37,10 @@ def drop_padded_nulls(c: ColumnLike) -> Column:
 
 
 def zip5(c: ColumnLike) -> Column:
-    """Five-digit ZIP from ``12345.0``, ``12345-6789`` or ``345``."""
+    """ZIP of at least five digits from ``12345.0``, ``12345-6789`` or ``345``; a longer one is kept, so no two keys merge."""
     head = F.split_part(F.split_part(F.trim(as_col(c).cast("string")), F.lit("."), F.lit(1)), F.lit("-"), F.lit(1))
     digits = F.regexp_replace(head, "[^0-9]", "")
-    return F.when(digits != "", F.substring(left_pad(digits, 5), 1, 5))
+    return F.when(digits != "", left_pad(digits, 5))
 
 
 def fips5(c: ColumnLike) -> Column:

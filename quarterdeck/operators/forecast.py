@@ -74,8 +74,10 @@ def linear_model(features: Sequence[str], target: str, scaled: bool = False) ->
 
 
 def forest_model(features: Sequence[str], target: str, trees: int = 5, depth: int = 10, seed: int = 42) -> Pipeline:
-    """Random forest; Spark limits the depth to 30."""
-    forest = RandomForestRegressor(labelCol=target, numTrees=trees, maxDepth=min(depth, 30), seed=seed)
+    """Random forest. Spark's trees end at depth 30, so a deeper one is refused."""
+    if depth > 30:
+        raise ValueError(f"depth {depth}: trees of at most 30 levels")
+    forest = RandomForestRegressor(labelCol=target, numTrees=trees, maxDepth=depth, seed=seed)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest])
 
 

@@ -28,7 +28,7 @@ def payload_rows(doc: Column, envelope: Column) -> Column:
     )
 
 
-def flatten_results(df: DataFrame, json_col: str, fields: Sequence[str], keep: Sequence[str] = (), depth: int = 3) -> DataFrame:
+def flatten_results(df: DataFrame, json_col: str, fields: Sequence[str], keep: Sequence[str] = (), depth: int = 10) -> DataFrame:
     """Explode nested ``results`` lists; a child's field overrides its parent's.
 
     The plan has a fixed number of passes (``depth``, at most 10), and every node is parsed once

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quarterdeck.operators.flows import ENTITY, PERIOD
 from quarterdeck.operators.heal import heal
 from quarterdeck.sources.callreport import cache_schema
+from quarterdeck.session import materialize
 from quarterdeck.sources.sinks import by_period
 
 
@@ -18,18 +19,30 @@ def patch_stream(spark: SparkSession, landing: str, fields: Sequence[str]) -> Da
     return spark.readStream.schema(schema).option("header", True).csv(landing)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether an earlier batch has written there, asked of the path's own file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def heal_stream(spark: SparkSession, landing: str, panel_path: str, out_path: str, checkpoint: str, fields: Sequence[str]):
     """Write the healed rows of every quarter a batch brings, replacing that quarter's partition.
 
-    A replayed batch rewrites the same partitions with the same rows, so the sink is
-    idempotent. The panel is pruned to the batch's quarters by a semi-join on the period.
+    A quarter that an earlier batch healed goes on from its healed rows, so a later file for it loses nothing. The new
+    rows are written to the shared folder first, because they are read from the partitions they replace. A replayed
+    batch leaves the same rows. The panel is pruned to the batch's quarters by a semi-join on the period.
     """
 
     def run(batch: DataFrame, _epoch: int) -> None:
         patch = batch.groupBy(ENTITY, PERIOD).agg(*[F.max(f).alias(f) for f in fields])
-        panel = batch.sparkSession.read.parquet(panel_path)
-        touched = panel.join(patch.select(PERIOD).distinct(), PERIOD, "left_semi")
-        healed = heal(touched, patch, fields)
+        spark = batch.sparkSession
+        panel, quarters = spark.read.parquet(panel_path), patch.select(PERIOD).distinct()
+        if _exists(spark, out_path):
+            done = spark.read.schema(panel.schema).parquet(out_path)
+            fresh = panel.join(done.select(PERIOD).distinct(), PERIOD, "left_anti")
+            panel = fresh.unionByName(done, allowMissingColumns=True)
+        touched = panel.join(quarters, PERIOD, "left_semi")
+        healed = materialize(heal(touched, patch, fields), "healed")
         (
             by_period(healed, PERIOD)
             .write.mode("overwrite")

@@ -29,7 +29,7 @@ def test_padded_null_words(spark):
 
 
 def test_other_keys(spark):
-    assert values(spark, keys.zip5, ["12345-6789", "345", "12345.0", "x", None]) == ["12345", "00345", "12345", None, None]
+    assert values(spark, keys.zip5, ["12345-6789", "345", "12345.0", "123456.0", "123457", "x", None]) == ["12345", "00345", "12345", "123456", "123457", None, None]
     assert values(spark, keys.fips5, ["1001.0", "36061", ""]) == ["01001", "36061", None]
     assert values(spark, lambda c: keys.period_code_date(F.lit("2024"), c), ["M03", "M13", "A01"]) == [dt.date(2024, 3, 1), None, None]
 

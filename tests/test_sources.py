@@ -104,15 +104,18 @@ def test_patch_stream_heals_touched_quarters(spark, folder):
     fields = ["LNLS"]
     panel, out, drop = (os.path.join(folder, n) for n in ("panel", "out", "drop"))
     days = [dt.date(2024, 3, 31), dt.date(2024, 6, 30)]
-    rows = [(1, days[0], 0.0), (2, days[0], 5.0), (1, days[1], None)]
+    rows = [(1, days[0], 0.0), (2, days[0], 5.0), (3, days[0], 0.0), (1, days[1], None)]
     spark.createDataFrame(rows, "CERT long, REPDTE date, LNLS double").write.partitionBy("REPDTE").parquet(panel)
     put(drop, "one.csv", "CERT,LNLS,REPDTE\n1,7.0,2024-03-31\n2,8.0,2024-03-31\n")
     run = lambda: landing.heal_stream(spark, drop, panel, out, os.path.join(folder, "ck"), fields).awaitTermination(120)
     assert run()
-    assert {(r["CERT"], str(r["REPDTE"]), r["LNLS"]) for r in spark.read.parquet(out).collect()} == {(1, "2024-03-31", 7.0), (2, "2024-03-31", 5.0)}
+    assert {(r["CERT"], str(r["REPDTE"]), r["LNLS"]) for r in spark.read.parquet(out).collect()} == {(1, "2024-03-31", 7.0), (2, "2024-03-31", 5.0), (3, "2024-03-31", 0.0)}
     put(drop, "two.csv", "CERT,LNLS,REPDTE\n1,9.0,2024-06-30\n")
     assert run()
-    assert spark.read.parquet(out).count() == 3
+    assert spark.read.parquet(out).count() == 4
+    put(drop, "three.csv", "CERT,LNLS,REPDTE\n3,6.0,2024-03-31\n")
+    assert run()  # a later file for a healed quarter keeps what the first one healed
+    assert {(r["CERT"], r["LNLS"]) for r in spark.read.parquet(out).where("REPDTE = '2024-03-31'").collect()} == {(1, 7.0), (2, 5.0), (3, 6.0)}
 
 
 def test_shared_folder_is_used(spark):
