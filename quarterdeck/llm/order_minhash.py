@@ -55,29 +55,33 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(either, F.lit(1)))
 
 
-def with_next(docs: DataFrame, carried: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``next_<c>`` of the following document for each carried column.
+def with_next(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, own`` with ``next_text`` and ``next_own`` of the following document. ``text`` is not null; ``own`` is its signature.
 
-    Rows are dealt to ranges of ids with about as many rows each, every range is one window, and only the first row of each range - as many
-    as there are ranges, whatever the table - is handed to the range before it.
+    Rows are dealt to ranges of ids with about as many rows each, and every range is one window: one shuffle of the texts. Only the first
+    text of each range - as many as there are ranges, whatever the table - is handed to the range before it, and signed again there.
     """
     spark = docs.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.agg(F.percentile_approx(doc_id, [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0] or []
+    cuts = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0] or []
     bounds = F.array(*[F.lit(c).cast("long") for c in sorted(set(cuts))]) if cuts else F.array().cast("array<bigint>")
-    number = F.when(F.col(doc_id).isNull(), F.lit(len(cuts))).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col(doc_id))))
-    order = Window.partitionBy("_range").orderBy(F.col(doc_id).asc_nulls_last(), F.col(text).asc_nulls_first())
-    rows = docs.withColumn("_range", number).withColumn("_carried", F.struct(*carried))
-    rows = rows.withColumns({"_next": F.lead("_carried").over(order), "_at": F.row_number().over(order)})
-    heads = rows.where("_at = 1").select("_range", F.col("_carried").alias("_head"))
-    following = heads.select("_range").withColumn("_after", F.lead("_range").over(Window.orderBy("_range")))
-    lowest = heads.agg(F.min("_range").alias("_lowest"))
-    following = following.join(F.broadcast(lowest)).select(F.col("_range").alias("_own"), F.coalesce("_after", "_lowest").alias("_after"))
-    handed = following.join(heads, following["_after"] == heads["_range"]).select(F.col("_own").alias("_range"), "_head")
-    inner = rows.where("_next is not null")
-    last = rows.where("_next is null").join(handed, "_range").withColumn("_next", F.col("_head")).drop("_head")
-    out = inner.unionByName(last.select(inner.columns))
-    return out.withColumns({f"next_{c}": F.col("_next")[c] for c in carried}).drop("_range", "_carried", "_next", "_at")
+    number = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col("doc_id"))))
+    ranged = docs.withColumn("_range", number)
+
+    lowest = ranged.groupBy(F.col("_range").alias("_own")).agg(F.min("doc_id").alias("_id"))
+    firsts = ranged.select("_range", "doc_id", "text").join(F.broadcast(lowest), (F.col("_range") == F.col("_own")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    firsts = signed(firsts.groupBy("_range").agg(F.min("text").alias("head_text")), "head_text", "head_own")
+    numbers = lowest.select(F.col("_own").alias("_before"), F.lead("_own").over(Window.orderBy("_own")).alias("_after"))
+    numbers = numbers.join(F.broadcast(lowest.agg(F.min("_own").alias("_least"))))
+    heads = numbers.join(firsts, F.coalesce("_after", "_least") == F.col("_range")).select("_before", "head_text", "head_own")
+
+    order = Window.partitionBy("_range").orderBy(F.col("doc_id").asc_nulls_last(), "text")
+    rows = ranged.withColumn("_next", F.lead(F.struct("text", "own")).over(order))
+    both = rows.join(heads.hint("merge"), (F.col("_range") == F.col("_before")) & F.col("_next").isNull(), "left")
+    last = F.col("_next").isNull()
+    return both.select(
+        "doc_id", "text", "own", F.when(last, F.col("head_text")).otherwise(F.col("_next.text")).alias("next_text"), F.when(last, F.col("head_own")).otherwise(F.col("_next.own")).alias("next_own")
+    )
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -90,7 +94,7 @@ def edited(text: Column, following: Column) -> Column:
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: id, length, the edited text's hash, both fingerprints, likeness to the edited text's and the next document's."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    both = with_next(signed(own, "text", "own"), ["text", "own"])
+    both = with_next(signed(own, "text", "own"))
     both = both.withColumn("edited", edited(F.col("text"), F.col("next_text"))).drop("next_text")
     both = both.withColumn("n_chars", F.length("text").cast("long")).drop("text")
     both = signed(both.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)), "edited", "changed")
