@@ -1,8 +1,9 @@
 """From buckets of like items to components of verified links, as joins and aggregates.
 
-Items that share a bucket are candidates. Within a bucket no list of all pairs is made: members are first held against one hub, the smallest
-member; what that links is one component, and only pairs across the components a bucket still holds go on, first to the bucket's hub
-again, then - for the few buckets that stay mixed - one against the other. So every candidate pair is either verified or already connected.
+Items that share a bucket are candidates. Within a bucket no list of all pairs is made: members are first held against one hub, the member
+that is most like the rest by its ``rank``. What that links is one component, and only pairs across the components a bucket still holds go
+on: first the members outside the largest component against some hubs of it, then those of the buckets that stay mixed one against the
+other, after the caller has put them into tighter buckets. So every candidate pair is either verified or already connected, or can be no link.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from quarterdeck.session import materialize
 
 Verify = Callable[[DataFrame], DataFrame]  # pairs (a, b) to those that are links
+Narrow = Callable[[DataFrame], DataFrame]  # members (bucket, id, rank, c) to the members of tighter buckets, with what ``fits`` reads
+HUBS = 16  # members of a bucket's largest component that the others are held against before all are
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -39,15 +42,23 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def crowded(members: DataFrame) -> DataFrame:
-    """Members ``bucket, id`` of buckets that hold more than one id, with the bucket's smallest id as ``hub``."""
-    ends = members.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").drop("last")
-    return members.join(ends, "bucket")
+    """Members ``bucket, id, rank`` of buckets that hold more than one id, with the bucket's ``hub``: its smallest (rank, id)."""
+    ends = members.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.min(F.struct("rank", "id")).alias("hub"))
+    return members.join(ends.where("first < last").select("bucket", "hub"), "bucket")
 
 
-def link(groups: DataFrame, verify: Verify) -> DataFrame:
-    """``id, component`` of every id that has a link; ``groups`` comes from ``crowded`` and is read several times, so write it first."""
-    pairs = groups.where("id > hub").groupBy("id").agg(F.min("hub").alias("hub")).select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    tested = materialize(pairs, "pairs")
+def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Each pair once, the smaller id as ``a``."""
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+
+def link(groups: DataFrame, verify: Verify, narrow: Narrow | None = None, fits: str = "true") -> DataFrame:
+    """``id, component`` of every id that has a link; ``groups`` comes from ``crowded`` and is read several times, so write it first.
+
+    ``fits`` is a condition on members ``x`` and ``y`` of one narrowed bucket, true in one of the buckets that two linked ones share.
+    """
+    best = groups.where("id != hub.id").groupBy("id").agg(F.min("hub").alias("hub")).select("id", F.col("hub.id").alias("hub"))
+    tested = materialize(_pairs(best, "id", "hub"), "pairs")
     links = materialize(verify(tested), "links")
     found = materialize(connected(links), "components")
     for last in (False, True):
@@ -55,12 +66,10 @@ def link(groups: DataFrame, verify: Verify) -> DataFrame:
         if mixed.isEmpty():
             break
         if last:
-            x, y = (mixed.select("bucket", F.col("id").alias(n), F.col("c").alias("c" + n)) for n in ("a", "b"))
-            pairs = x.join(y, "bucket").where("a < b and ca != cb").select("a", "b")
+            pairs = _across(materialize(narrow(mixed), "narrowed") if narrow else mixed, found, fits)
         else:
-            hubs = mixed.where("id = hub").select("bucket", F.col("c").alias("ch"))
-            pairs = mixed.join(hubs, "bucket").where("c != ch").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-        fresh = materialize(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+            pairs = _to_hubs(mixed, found)
+        fresh = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if fresh.isEmpty():
             continue
         tested, more = tested.unionByName(fresh), materialize(verify(fresh), "links")
@@ -72,6 +81,28 @@ def link(groups: DataFrame, verify: Verify) -> DataFrame:
 
 def _mixed(groups: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, with their component ``c``."""
-    labelled = groups.join(found, "id", "left").select("bucket", "id", "hub", F.coalesce("component", "id").alias("c"))
+    labelled = groups.join(found, "id", "left").select("bucket", "id", "rank", F.coalesce("component", "id").alias("c"))
     several = labelled.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("bucket")
     return labelled.join(several, "bucket")
+
+
+def _marked(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with ``main``, the largest component in their bucket."""
+    sizes = found.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("size"))
+    sized = members.join(sizes, "c", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+    return members.join(sized.groupBy("bucket").agg(F.max(F.struct("size", "c")).getField("c").alias("main")), "bucket")
+
+
+def _to_hubs(mixed: DataFrame, found: DataFrame) -> DataFrame:
+    """The members outside a bucket's largest component, each against up to ``HUBS`` members of it: the best of as many parts by hash."""
+    marked = _marked(mixed, found)
+    part = F.pmod(F.xxhash64("id"), F.lit(HUBS)).alias("part")
+    chosen = marked.where("c = main").groupBy("bucket", part).agg(F.min(F.struct("rank", "id")).getField("id").alias("hub"))
+    return _pairs(marked.where("c != main").select("bucket", "id").join(chosen, "bucket"), "id", "hub")
+
+
+def _across(members: DataFrame, found: DataFrame, fits: str) -> DataFrame:
+    """The pairs that share a bucket and not a component; one of them is outside the bucket's largest component."""
+    outside = _marked(members, found).where("c != main").drop("main")
+    met = outside.alias("x").join(members.alias("y"), "bucket").where("x.c != y.c").where(fits)
+    return _pairs(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "a", "b")

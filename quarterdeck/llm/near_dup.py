@@ -4,7 +4,8 @@ A document's set is its distinct word shingles; its sketch is the ``SKETCH`` sma
 from the start. Inverted lists hold, for each document, only the rarest of its retained values: two documents that reach the threshold share
 so many retained values that they share one of these (in sets no larger than a sketch always, in larger ones but for a chance of about 1e-8, six
 standard deviations). Pairs on a list are estimated from the sketch of their union (five standard deviations below the threshold pass), and
-confirmed on the full sets. Components follow from links that lists and hubs give (see ``linking``).
+confirmed on the full sets. Components follow from links that lists and hubs give (see ``linking``); the documents of lists that stay mixed
+after the hubs are listed anew by the rarest values of their full sets, where the place of a shared value bounds the overlap. That loses no link.
 
 A-Z is lower-cased, words are runs of bytes other than space and 9 to 13. Documents with fewer words than a shingle have their whole
 sequence as one. Null texts and texts without words have an empty set and are linked with nothing. A null id is no one's representative:
@@ -84,8 +85,10 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
     listed = values.join(often, "bucket").groupBy("rep", "size").agg(F.sort_array(F.collect_list(F.struct("times", "bucket"))).alias("values"))
     prefix = F.create_map(*[F.lit(x) for n in range(1, sketch + 1) for x in (n, n - shared_at_least(n, sketch, similarity) + 1)])
     room = prefix[F.col("size")] - (F.col("size") - F.size("values"))  # values met once come first and make no list
-    listed = listed.withColumn("room", room).where("room > 0").select(F.explode(F.slice("values", F.lit(1), F.col("room"))).alias("v"), F.col("rep").alias("id"))
-    groups = materialize(crowded(listed.select("v.bucket", "id")), "lists")
+    # a document of which the most retained values are common is the one that the most others are like: it makes the best hub
+    common = F.aggregate("values", F.lit(0).cast("long"), lambda total, v: total - v["times"]).alias("rank")
+    listed = listed.withColumn("room", room).where("room > 0").select(F.explode(F.slice("values", F.lit(1), F.col("room"))).alias("v"), F.col("rep").alias("id"), common)
+    groups = materialize(crowded(listed.select("v.bucket", "id", "rank")), "lists")
 
     wanted = groups.select(F.col("id").alias("rep")).distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
@@ -107,7 +110,19 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", word
         shared = F.size(F.array_intersect("full_a", "full_b"))
         return exact.where(F.lit(den) * shared >= F.lit(num) * (F.size("full_a") + F.size("full_b") - shared)).select("a", "b")
 
-    found = link(groups, verify)
+    def narrow(members: DataFrame) -> DataFrame:
+        """Members on the lists of the rarest values of their full sets, of which two linked sets share one; ``left``: values from there on."""
+        classes = members.select("id", "c").distinct()
+        values = sets.join(classes.select(F.col("id").alias("rep")), "rep").select(F.col("rep").alias("id"), F.size("full").alias("n"), F.explode("full").alias("bucket"))
+        often = values.groupBy("bucket").agg(F.count("*").alias("times")).where("times > 1")
+        ranked = values.join(often, "bucket").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("times", "bucket"))).alias("values"))
+        ranked = ranked.withColumn("alone", F.col("n") - F.size("values"))  # values met nowhere else come first
+        ranked = ranked.withColumn("room", F.col("n") - F.ceil(F.col("n") * num / den).cast("int") + 1 - F.col("alone")).where("room > 0")
+        rare = ranked.select("id", "n", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("room"))).alias("at", "v"))
+        return rare.join(classes, "id").select("v.bucket", "id", F.lit(0).alias("rank"), "c", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left"))
+
+    # at the first value that two sets share they can have no more in common than what either still has
+    found = link(groups, verify, narrow, f"least(x.left, y.left) * {num + den} >= {num} * (x.n + y.n)")
     of_set = firsts.join(found, firsts.rep == found.id, "left").select("set_key", F.coalesce("component", "rep").getField("rep").alias("component"))
     labels = signed.select("id", *carried, "n", "set_key").join(of_set, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component"))
