@@ -4,7 +4,7 @@ The dictionary is the piece list of a public model file, read on the driver and
 the marker ``▁``, one marker is put before the text, nothing else is normalised. Pieces hold markers only in front, and no piece holds a
 character outside the dictionary's own, so the best path of a text is the best paths of its units (a run of markers with the characters
 up to the next marker, cut at line feeds when these are in no piece), and each Python worker keeps the paths of the units it met, in a
-bounded cache. Ties go to the longer last piece. Characters that no path reaches by pieces become their UTF-8 byte pieces.
+bounded cache. The short units of some texts that are not in it go through the trie together, one place at a time. Ties go to the longer last piece. Characters that no path reaches by pieces become their UTF-8 byte pieces.
 
 Log scores: the file's pieces are ranked by merge order, not scored by frequency, so ``scores="zipf"`` gives rank r the log probability
 ``-ln(r + 1) - ln(H_n)``; ``scores="file"`` takes the stored scores as they are.
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 CACHE_SIZE = 250_000
 CACHED_CHARS = 48
+TOGETHER = 1_000_000  # characters of texts whose units are looked up together
+LOT = 8192  # units that go through the trie together
 UNKNOWN_PENALTY = 10.0
 WINDOW = 512  # places of the trie looked at together
 
@@ -112,6 +114,7 @@ class Pieces:
     def __init__(self, model: dict):
         self.trie, self.score = Trie(*model["trie"]), model["score"].tolist()
         self.bytes, self.plain, self.unknown, self.feeds = model["bytes"], model["plain"], model["unknown"], model["feeds"]
+        self.arrays = [*model["trie"], model["score"], np.array(self.bytes, np.int32)]
         self.marked, self.bare = _Units(self, MARK), _Units(self, "")
         self.feed = np.array([self.bytes[10]], np.int32).tobytes()
 
@@ -147,6 +150,81 @@ class Pieces:
             end = start
         return ids[::-1], gain[n]
 
+    def best_of_lot(self, units: list[bytes]) -> list[bytes]:
+        """The ids of ``best`` for many short units at once: arrays over the units, one place of them after the other."""
+        base, check, value, score, bytes_of = self.arrays
+        n, sizes = len(units), np.array([len(u) for u in units])
+        longest = int(sizes.max())
+        data = np.frombuffer(b"".join(u.ljust(longest, b"\0") for u in units), np.uint8).reshape(n, longest)
+        gain = np.full((n, longest + 1), -np.inf)
+        gain[:, 0] = 0.0
+        start, came = np.zeros((n, longest + 1), np.int32), np.full((n, longest + 1), -1, np.int32)
+
+        def offer(rows: np.ndarray, end, total: np.ndarray, at: int, piece) -> None:
+            better = total > gain[rows, end]
+            place = rows[better], end if np.isscalar(end) else end[better]
+            gain[place], start[place], came[place] = total[better], at, piece if np.isscalar(piece) else piece[better]
+
+        for at in range(longest):
+            rows = np.flatnonzero((sizes > at) & (data[:, at] & 0xC0 != 0x80))
+            first, here = data[rows, at], gain[rows, at]
+            width = 1 + (first >= 0xC0).astype(np.int64) + (first >= 0xE0) + (first >= 0xF0)
+            single, going, state = np.zeros(len(rows), bool), np.arange(len(rows)), np.zeros(len(rows), np.int32)
+            for end in range(at, longest):
+                to = base[state] + data[rows[going], end]
+                on = (check[to] == state) & (to != 0) & (sizes[rows[going]] > end)
+                going, state = going[on], to[on]
+                if not len(going):
+                    break
+                whole = value[state] >= 0
+                some, piece = going[whole], value[state[whole]]
+                single[some] |= width[some] == end + 1 - at
+                offer(rows[some], end + 1, here[some] + score[piece], at, piece)
+            none = np.flatnonzero(~single)
+            offer(rows[none], at + width[none], here[none] + self.unknown, at, -1)
+
+        ids, left, end = np.zeros((n, longest), np.int32), np.full(n, longest), sizes.copy()
+        while len(rows := np.flatnonzero(end > 0)):
+            piece, begin = came[rows, end[rows]], start[rows, end[rows]]
+            known = piece >= 0
+            left[rows[known]] -= 1
+            ids[rows[known], left[rows[known]]] = piece[known]
+            for k in range(1, 5):  # the bytes of a character without a piece, the last first
+                more = rows[~known & (end[rows] - begin >= k)]
+                left[more] -= 1
+                ids[more, left[more]] = bytes_of[data[more, end[more] - k]]
+            end[rows] = begin
+        flat = ids[np.arange(longest) >= left[:, None]].tobytes()
+        stop = np.cumsum(longest - left) * 4
+        return [flat[a:b] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist())]
+
+    def look_up(self, texts: list[str]) -> None:
+        """Fill the cache with the short units of some texts."""
+        marked: set[str] = set()
+        bare: set[str] = set()
+        for text in texts:
+            for k, line in enumerate(text.split("\n") if self.feeds else [text]):
+                units = line.split(" ")
+                if k:
+                    bare.add(units.pop(0))
+                marked.update(units)
+        self.marked.fill(marked)
+        self.bare.fill(bare)
+
+    def encode_all(self, texts) -> list[np.ndarray]:
+        out, lot, size = [], [], 0
+        for text in texts:
+            lot.append(text)
+            size += len(text or "")
+            if size >= TOGETHER:
+                out.extend(self._encode_lot(lot))
+                lot, size = [], 0
+        return out + self._encode_lot(lot)
+
+    def _encode_lot(self, texts: list) -> list[np.ndarray]:
+        self.look_up([t for t in texts if t])
+        return [self.encode(t) for t in texts]
+
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
@@ -191,6 +269,16 @@ class _Units(dict):
         super().__init__()
         self.pieces, self.mark = pieces, mark
 
+    def fill(self, units: set[str]) -> None:
+        fresh = units.difference(self)
+        if len(self) + len(fresh) > CACHE_SIZE:
+            self.clear()
+            fresh = units
+        fresh = sorted((u for u in fresh if 0 < len(u) <= CACHED_CHARS), key=len)[:CACHE_SIZE]
+        for k in range(0, len(fresh), LOT):
+            lot = fresh[k : k + LOT]
+            self.update(zip(lot, self.pieces.best_of_lot([(self.mark + u).encode("utf-8", "replace") for u in lot])))
+
     def __missing__(self, unit: str) -> bytes:
         ids = np.array(self.pieces.best(self.mark + unit)[0], np.int32).tobytes()
         if len(unit) <= CACHED_CHARS:
@@ -221,7 +309,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
         pieces = _pieces(shared)
-        return pd.Series([pieces.encode(t) for t in texts], dtype=object)
+        return pd.Series(pieces.encode_all(texts), dtype=object)
 
     return docs.withColumn(ids, run(F.col(text)))
 

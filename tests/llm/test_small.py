@@ -217,6 +217,17 @@ def test_pieces_round_trip_and_best_path(spark):
         assert own.best(word.replace(" ", pieces.MARK))[1] == pytest.approx(best(word.encode()))
 
 
+def test_pieces_of_many_units_are_those_of_each():
+    coder = pieces.Pieces(pieces.read_model(queries.tokenizer_file(queries.PIECES)))
+    units = ["▁the", "the", "▁Straße###", "漢", "é漢字x", "😀a", "\x00a", "a", "▁" * 3, "zqxj" * 9]
+    lot = coder.best_of_lot([u.encode() for u in units])
+    assert [np.frombuffer(x, np.int32).tolist() for x in lot] == [coder.best(u)[0] for u in units]
+    texts = [None, "", " ", "a  b\n c\n\nd " * 3, "x" * 200, "one\ntwo"]
+    together = coder.encode_all(texts)
+    other = pieces.Pieces(pieces.read_model(queries.tokenizer_file(queries.PIECES)))
+    assert [x.tolist() for x in together] == [other.encode(t).tolist() for t in texts]
+
+
 def test_language(spark):
     rows = [(k, t, x) for k, (t, x) in enumerate([("the house is on the hill and the road", "en"), ("la casa está en la colina y el camino", "es")] * 12 + [(None, "en"), ("123 !!", "es"), ("the hill", None)])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
