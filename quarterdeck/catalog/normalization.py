@@ -458,7 +458,7 @@ layer(
         "Group_Commercial_ACL_Share": "RIC_Comm_ACL_Share",
         "Group_Residential_ACL_Share": "RIC_Resi_ACL_Share",
         "Group_OtherSBL_ACL_Share": "RIC_OthCons_ACL_Share + RIC_Card_ACL_Share",
-        "ACL_Integrity_Status": f"case when CERT > 90000 then 'NO_BENCHMARK' when abs({div0(_diff, 'Total_ACL')}) < 0.05 then 'MATCH' when {_diff} > 0 then 'UNDER (Missing Segments?)' else 'OVER (Double Count?)' end",
+        "ACL_Integrity_Status": f"case when abs({div0(_diff, 'Total_ACL')}) < 0.05 then 'MATCH' when {_diff} > 0 then 'UNDER (Missing Segments?)' else 'OVER (Double Count?)' end",
         "ACL_Reg_Divergence": div0("Total_Reg_ACL - Total_ACL", "Total_ACL"),
         "TTM_NCO_Rate": f"sum(NTLNLS_Q) over {E4} / nullif(avg(LNLS) over {E4}, 0)",
         "Past_Due_Rate": f"avg((TopHouse_PD30 + TopHouse_PD90) / nullif(LNLS, 0)) over {E4}",

@@ -36,10 +36,10 @@ def find_column(columns: Sequence[str], preferred: str, alternates: Iterable[str
 
 # Substrings that mark the role of a tracker column, strongest rule first.
 ROLE_WORDS = {
-    "date": [("DATE",)],
+    "date": [("COMMITTEE", "DATE"), ("DATE",)],
     "product_area": [("PRODUCT", "AREA"), ("PRODUCT",)],
-    "gross": [("GROSS", "SIZE"), ("GROSS",)],
-    "net": [("NET", "SIZE"), ("NET",)],
+    "gross": [("GROSS", "SIZE"), ("GROSS", "TRANSACTION"), ("GROSS",)],
+    "net": [("NET", "SIZE"), ("NET", "TRANSACTION"), ("NET",)],
     "deal_type": [("DEAL", "TYPE"), ("DEAL",)],
     "relationship": [("RELATIONSHIP", "NAME"), ("RELATIONSHIP",)],
     "borrower": [("BORROWER",), ("TRACKER", "FILE")],

@@ -70,6 +70,10 @@ def ema(df: DataFrame, span: int, out: str = "EMA", block: int = 64) -> DataFram
     of its own block, and only the block ends (1/64 of the rows) are folded one after another
     to carry the level from block to block.
     """
+    if span < 1:
+        raise ValueError(f"span must be 1 or more, not {span}")
+    if span == 1:  # alpha is 1: nothing of the past is kept
+        return df.withColumn(out, F.col(VALUE))
     alpha = 2.0 / (span + 1)
     keep = 1.0 - alpha
     rows = df.filter(F.col(VALUE).isNotNull()).withColumn("_n", F.row_number().over(by_series()) - 1)

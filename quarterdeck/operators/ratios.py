@@ -232,12 +232,16 @@ def segment_ratios(df: DataFrame, segments: Iterable[str] = tuple(SEGMENTS)) ->
     return first.withColumns(second).drop(*[f"_RIC_{seg}_NA_Share" for seg in segments])
 
 
-def group_shares(df: DataFrame, composite_floor: int = 90000) -> DataFrame:
-    """Grouped allowance shares, allowance integrity and divergence from the regulatory figure."""
+def group_shares(df: DataFrame, composite: str = "is_composite") -> DataFrame:
+    """Grouped allowance shares, allowance integrity and divergence from the regulatory figure.
+
+    Rows whose ``composite`` column is true are averages without a benchmark; without that column every row is an entity's.
+    """
     staged = df.withColumn("_diff", F.expr("Total_ACL - RIC_Calculated_ACL"))
     pct = ratio("_diff", "Total_ACL")
+    average = F.coalesce(F.col(composite), F.lit(False)) if composite in df.columns else F.lit(False)
     status = (
-        F.when(F.col("CERT") > composite_floor, "NO_BENCHMARK")
+        F.when(average, "NO_BENCHMARK")
         .when(F.abs(pct) < 0.05, "MATCH")
         .when(F.col("_diff") > 0, "UNDER (Missing Segments?)")
         .otherwise("OVER (Double Count?)")

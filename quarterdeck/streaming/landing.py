@@ -16,7 +16,8 @@ from quarterdeck.sources.sinks import by_period
 def patch_stream(spark: SparkSession, landing: str, fields: Sequence[str]) -> DataFrame:
     """Patch rows from CSV files as they land."""
     schema = cache_schema(fields).add(PERIOD, "date")
-    return spark.readStream.schema(schema).option("header", True).csv(landing)
+    landed = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_name").alias("name"))
+    return spark.readStream.schema(schema).option("header", True).csv(landing).select("*", landed.alias("_landed"))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -34,7 +35,9 @@ def heal_stream(spark: SparkSession, landing: str, panel_path: str, out_path: st
     """
 
     def run(batch: DataFrame, _epoch: int) -> None:
-        patch = batch.groupBy(ENTITY, PERIOD).agg(*[F.max(f).alias(f) for f in fields])
+        # of repeated rows the later file's value counts, the larger one within a file; a cell it leaves empty is no value
+        last = lambda f: F.max(F.when(F.col(f).isNotNull(), F.struct("_landed", f))).getField(f).alias(f)
+        patch = batch.groupBy(ENTITY, PERIOD).agg(*[last(f) for f in fields])
         spark = batch.sparkSession
         panel, quarters = spark.read.parquet(panel_path), patch.select(PERIOD).distinct()
         if _exists(spark, out_path):

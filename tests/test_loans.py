@@ -54,6 +54,8 @@ def test_names(spark):
     assert find_column(["X"], "KEY") is None
     assert find_role(["Product Type", "Product Area"], "product_area") == "Product Area"
     assert find_role(["Gross"], "gross") == "Gross"
+    assert find_role(["Booking Date", "Committee Date"], "date") == "Committee Date"
+    assert find_role(["Gross Margin", "Gross Transaction"], "gross") == "Gross Transaction"
 
 
 def test_ladder(spark):

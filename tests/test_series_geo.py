@@ -32,7 +32,7 @@ def by_date(df, column, sid="A"):
     return [r[0] for r in df.filter(F.col("SeriesID") == sid).orderBy("DATE").select(column).collect()]
 
 
-@pytest.mark.parametrize("span", [2, 12, 50])
+@pytest.mark.parametrize("span", [1, 2, 12, 50])
 def test_ema_against_recursion(spark, walk, span):
     df = long_frame(spark, [("A", d, v) for d, v in zip(months(300, 1995), walk)] + [("B", dt.date(2020, 1, 1), 5.0), ("B", dt.date(2020, 2, 1), None)])
     alpha, level, want = 2 / (span + 1), None, []

@@ -118,6 +118,17 @@ def test_patch_stream_heals_touched_quarters(spark, folder):
     assert {(r["CERT"], r["LNLS"]) for r in spark.read.parquet(out).where("REPDTE = '2024-03-31'").collect()} == {(1, 7.0), (2, 5.0), (3, 6.0)}
 
 
+def test_of_two_patch_files_in_one_batch_the_later_counts(spark, folder):
+    panel, out, drop = (os.path.join(folder, n) for n in ("panel", "out", "drop"))
+    day = dt.date(2024, 3, 31)
+    spark.createDataFrame([(1, day, None), (2, day, None)], "CERT long, REPDTE date, LNLS double").write.partitionBy("REPDTE").parquet(panel)
+    put(drop, "b.csv", "CERT,LNLS,REPDTE\n1,9.0,2024-03-31\n2,8.0,2024-03-31\n")
+    put(drop, "a.csv", "CERT,LNLS,REPDTE\n1,7.0,2024-03-31\n2,,2024-03-31\n")
+    os.utime(os.path.join(drop, "b.csv"), (1_700_000_000, 1_700_000_000))
+    assert landing.heal_stream(spark, drop, panel, out, os.path.join(folder, "ck"), ["LNLS"]).awaitTermination(120)
+    assert {(r["CERT"], r["LNLS"]) for r in spark.read.parquet(out).collect()} == {(1, 7.0), (2, 8.0)}
+
+
 def test_shared_folder_is_used(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "t").startswith(shared + "/t-")
