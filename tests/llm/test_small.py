@@ -10,7 +10,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from quarterdeck.llm import decontam, language, lines, near_dup, order_minhash, passages, pieces, queries, suffix_array, suffix_dedup, token_counts, url_filter, window_dedup
+from quarterdeck.llm import decontam, language, lines, linking, near_dup, order_minhash, passages, pieces, queries, suffix_array, suffix_dedup, token_counts, url_filter, window_dedup
 
 NO_ID = 1 << 63
 SCHEMA = "doc_id long, text string, key string, bucket long"
@@ -132,6 +132,25 @@ def test_near_duplicates(spark, rows):
             assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(sets[r["doc_id"]]), want[r["doc_id"]], want[r["doc_id"]] == r["doc_id"])
 
 
+def test_near_duplicates_of_one_group_with_more_and_fewer_changes(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(90)]
+    texts = {}
+    for i in range(160):
+        own = list(base)
+        for place in rng.sample(range(90), rng.randrange(12)):
+            own[place] = f"e{rng.randrange(40)}"
+        texts[i] = " ".join(own)
+    sets = {i: word_set(t, 3) for i, t in texts.items()}
+    want = smallest(sets, lambda a, b: 100 * len(a & b) >= 85 * len(a | b))
+    assert len(set(want.values())) > 5
+    calls, across = [], linking._across
+    monkeypatch.setattr(linking, "_across", lambda *a: calls.append(1) or across(*a))
+    got = near_dup.components(table(spark, list(texts.items())), words=3, similarity=Fraction(85, 100)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert calls
+
+
 def test_repeated_lines(spark, rows):
     own = [(i, t) for i, t in dict.fromkeys(rows) if i is not None]
     first = {}
