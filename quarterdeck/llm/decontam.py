@@ -108,7 +108,7 @@ def _contaminated(rows: DataFrame, known: DataFrame, k: int, largest: int) -> Da
     n_shingles = index.agg(F.sum(F.size("grams"))).first()[0]
     n_items = index.count()
 
-    texts = _shingled(rows.select("_doc", "_twin", "text"), "text", k)
+    texts = _shingled(rows.select(*row, "text"), "text", k)
     shingles = index.select(F.explode("grams").alias("gram"), "n_words").distinct()
     # the outer form: no filter on the array's size is inferred and pushed into, and repeated for, each element below
     places = texts.select("_doc", "_twin", F.size("words").alias("size"), F.posexplode_outer("grams").alias("at", "gram"))
@@ -116,9 +116,11 @@ def _contaminated(rows: DataFrame, known: DataFrame, k: int, largest: int) -> Da
     starts = F.sequence(F.greatest(F.col("at") + k - F.col("n_words"), F.lit(0)), F.least("at", F.col("size") - F.col("n_words")))
     hits = hits.where(F.greatest(F.col("at") + k - F.col("n_words"), F.lit(0)) <= F.least("at", F.col("size") - F.col("n_words")))
     spans = hits.groupBy("_doc", "_twin", "n_words").agg(F.array_distinct(F.flatten(F.collect_list(starts))).alias("starts"))
-    spans = materialize(spans, "spans")
+    spans = materialize(spans.groupBy(*row).agg(F.collect_list(F.struct("n_words", "starts")).alias("spans")), "spans")
 
-    near = texts.select("_doc", "_twin", "grams").join(spans, ["_doc", "_twin"])
+    # only documents with hits are shingled again; their rows are sought by shuffle, as there are more of them in a larger corpus
+    near = _shingled(rows.select(*row, "text").join(spans.hint("merge"), row), "text", k)
+    near = near.select(*row, "grams", F.explode("spans").alias("span")).select(*row, "grams", "span.*")
     windows = near.select(*row, "n_words", "grams", F.explode("starts").alias("first_word"))
     windows = windows.select(*row, "n_words", "first_word", F.slice("grams", F.col("first_word") + 1, F.col("n_words") - k + 1).alias("window"))
     windows = materialize(windows.withColumn("bits", simhash(F.col("window"), lanes)), "windows")
