@@ -40,13 +40,13 @@ def panel_with_composites(spark, sf):
 
 
 def member_audit(spark, sf):
-    """Members with any card balance count as found."""
-    df = bank_panel(spark, sf, ["LNCRCD"]).filter("LNCRCD > 0 and quarter(REPDTE) = 1 and year(REPDTE) = 1995")
+    """Members with a card balance in any quarter count as found."""
+    df = bank_panel(spark, sf, ["LNCRCD"]).filter("LNCRCD > 0")
     return composite.member_audit(df, peer_groups(spark, sf), minimum=5)
 
 
 def all_members(spark, sf):
-    return composite.all_members(peer_groups(spark, sf).filter("use_normalized"))
+    return composite.all_members(peer_groups(spark, sf))
 
 
 COVERED = ["Norm_PD30", "Norm_PD90", "Norm_Gross_Loans"]
@@ -62,7 +62,7 @@ def coverage_audit(spark, sf):
 
 
 def blank_low_coverage(spark, sf):
-    df, bridge = _residuals(spark, sf), peer_groups(spark, sf).filter("use_normalized")
+    df, bridge = _residuals(spark, sf), peer_groups(spark, sf)
     rows = composite.composites(df, bridge, COVERED, id_base=ID_BASE)
     audit = composite.coverage_audit(df, bridge, COVERED, minimum=0.9)
     return rounded(composite.blank_low_coverage(rows, audit, COVERED), COVERED)
@@ -134,15 +134,15 @@ ORACLES = {
     ),
     "member_audit": with_ctes(
         """select group_key, count(*) as configured, count(s.CERT) as found, count(s.CERT) >= 5 as enough_members from bridge
-           left join (select distinct CERT from panel where LNCRCD > 0 and quarter(REPDTE) = 1 and year(REPDTE) = 1995) s using (CERT) group by 1""",
+           left join (select distinct CERT from panel where LNCRCD > 0) s using (CERT) group by 1""",
         "panel",
         "bridge",
     ),
-    "all_members": with_ctes("select distinct CERT from bridge where use_normalized", "bridge"),
+    "all_members": with_ctes("select distinct CERT from bridge", "bridge"),
     "coverage_audit": with_ctes(_CA.format(min=0.5), "d_cov", "bridge"),
     "blank_low_coverage": with_ctes(
-        f"""select {_IDS}, {', '.join(f"case when not bool_or(coalesce(coverage_flag = 'LOW_COVERAGE' and metric_code = '{m}', false)) then round(avg(case when metric_code = '{m}' then {m} end), 3) end as {m}" for m in COVERED)}
-            from (select * from d_cov join bridge using (CERT) where use_normalized) join ({_CA.format(min=0.9)}) a using (group_key, REPDTE) {_BY}""",
+        f"""select {_IDS}, {', '.join(f"case when use_normalized and not bool_or(coalesce(coverage_flag = 'LOW_COVERAGE' and metric_code = '{m}', false)) then round(avg(case when metric_code = '{m}' then {m} end), 3) end as {m}" for m in COVERED)}
+            from (select * from d_cov join bridge using (CERT)) join ({_CA.format(min=0.9)}) a using (group_key, REPDTE) {_BY}""",
         "d_cov",
         "bridge",
     ),

@@ -150,6 +150,8 @@ register(
 )
 _T = "case PRODUCT_BUCKET " + " ".join(f"when '{p}' then {float(t)}" for p, t in matrix.THRESHOLDS.items()) + " end"
 _GRID = f"(select unnest([{', '.join(str(f) for f in tagging.BUCKET_FLOORS)}])::bigint as CREDIT_LII_COMMITMENT_FLOOR) cross join (select unnest([{', '.join(repr(p) for p in tagging.PRODUCTS)}]) as PRODUCT_BUCKET)"
+_LISTED = f"select * replace (case when PRODUCT_BUCKET in ({', '.join(repr(p) for p in tagging.PRODUCTS)}) then PRODUCT_BUCKET else 'UNLISTED' end as PRODUCT_BUCKET) from flagged"
+_RULES = f"(select unnest([{', '.join(repr(f) for f in tagging.FLAG_NAMES)}]) as flag)"
 _VIEW = ", ".join(
     f"coalesce(count(f.LOAN_ID) filter ({w}), 0) as count_{v}, coalesce(sum(amt) filter ({w}), 0.0) as sum_{v}"
     for v, w in (("all_all", "true"), ("new_all", "NEW_CAMP_YN = 'Y'"), ("all_qualified", "QUALIFIED"), ("new_qualified", "NEW_CAMP_YN = 'Y' and QUALIFIED"))
@@ -196,12 +198,12 @@ ORACLES = {
         "flagged",
     ),
     "view_matrices": with_ctes(
-        f"select CREDIT_LII_COMMITMENT_FLOOR, PRODUCT_BUCKET, {_VIEW} from {_GRID} left join flagged f using (CREDIT_LII_COMMITMENT_FLOOR, PRODUCT_BUCKET) group by 1, 2", "flagged"
+        f"select CREDIT_LII_COMMITMENT_FLOOR, PRODUCT_BUCKET, {_VIEW} from {_GRID} full join ({_LISTED}) f using (CREDIT_LII_COMMITMENT_FLOOR, PRODUCT_BUCKET) group by 1, 2", "flagged"
     ),
     "commitment_pivot": with_ctes(
         "select CREDIT_LII_COMMITMENT_FLOOR as credit_lii_commitment_floor, "
         + ", ".join(f"coalesce(sum(amt) filter (PRODUCT_BUCKET = '{p}' and QUALIFIED), 0.0) as {p.replace(' ', '_').replace('.', '').lower()}" for p in tagging.PRODUCTS)
-        + f" from {_GRID} left join flagged using (CREDIT_LII_COMMITMENT_FLOOR, PRODUCT_BUCKET) group by 1",
+        + f", coalesce(sum(amt) filter (PRODUCT_BUCKET = 'UNLISTED' and QUALIFIED), 0.0) as unlisted from {_GRID} full join ({_LISTED}) f using (CREDIT_LII_COMMITMENT_FLOOR, PRODUCT_BUCKET) group by 1",
         "flagged",
     ),
     "matrix_totals": with_ctes(
@@ -223,7 +225,9 @@ ORACLES = {
         "select flag, count(*) as loans, sum(amt) as amount from (select unnest(fl) as flag, amt from flagged) group by 1 order by 2 desc, 1 limit 12", "flagged"
     ),
     "flag_overlap": with_ctes(
-        "select flag_a, flag_b, count(*) as loans from (select unnest(fl) as flag_a, fl from flagged) , unnest(fl) u(flag_b) group by 1, 2", "flagged"
+        f"""select a.flag as flag_a, b.flag as flag_b, coalesce(loans, 0) as loans from {_RULES} a cross join {_RULES} b
+            left join (select flag_a, flag_b, count(*) as loans from (select unnest(fl) as flag_a, fl from flagged), unnest(fl) u(flag_b) group by 1, 2) p on p.flag_a = a.flag and p.flag_b = b.flag""",
+        "flagged",
     ),
     "concentration": with_ctes(f"select * from ({_conc('amt')})", "flagged"),
     "concentration_above_lowest": with_ctes(f"select * from ({_conc(f'case when PRODUCT_BUCKET in {_A} and CREDIT_LII_COMMITMENT_FLOOR = 1 then 0.0 else amt end')})", "flagged"),

@@ -87,6 +87,19 @@ def capital_with_allowance(spark, sf):
     )
 
 
+# Codes of the older panel and what stands for them here.
+OLDER_CODES = {
+    "P3LNLS": "TopHouse_PD30", "P9LNLS": "TopHouse_PD90", "NCLNLS": "Total_Nonaccrual + TopHouse_PD90",
+    "EQCS": "CHBAL", "EQSUR": "CHBALNI", "EQPP": "RCON1754", "EQUP": "RCON1773", "EQCCOMPI": "RBCT1J",
+}
+NPL_AND_EQUITY = ["AOBS", "Net_Retained_Earnings", *(s.code for s in (*ratios.NPL_RATIOS, *ratios.EQUITY_SHARES))]
+
+
+def npl_and_equity_mix(spark, sf):
+    df = ratios.add_totals(segments(spark, sf)).withColumns({c: F.expr(e) for c, e in OLDER_CODES.items()})
+    return ratios.npl_and_equity_mix(df).select(*KEYS, *[F.round(c, 9).alias(c) for c in NPL_AND_EQUITY])
+
+
 RESOLVED = [*list(normalize.CODE_PAIRS)[:3], *normalize.SYNTHETIC_FIELDS, "LNCONOTHX"]
 SEGMENT_COLUMNS = [f"RIC_{s}_{m}" for s in SEGS for m in ("Cost", "ACL", "Nonaccrual", "PD30", "PD90")] + [
     "RIC_CRE_Inv_Nonaccrual",
@@ -145,6 +158,7 @@ QUERIES = {
     "top_ratios": select_from(derived, codes(ratios.TOP_RATIOS)),
     "capital_ratios": select_from(derived, codes(ratios.CAPITAL_RATIOS)),
     "capital_ratios_with_allowance": capital_with_allowance,
+    "npl_and_equity_mix": npl_and_equity_mix,
     "liquidity_ratios": select_from(derived, codes(ratios.LIQUIDITY_RATIOS)),
     "profit_ratios": select_from(derived, codes(ratios.PROFIT_RATIOS)),
     "normalized_ratios": select_from(derived, [*codes(ratios.NORM_RATIOS), "Norm_ACL_Balance"]),
@@ -519,6 +533,16 @@ ORACLES = {
            coalesce(LNCI * 100.0 / nullif(coalesce(RBCT1J, 0.0) + Total_Reg_ACL, 0), 0.0) as CI_to_Capital_Risk from d_tot""",
         "d_tot",
     ),
+    "npl_and_equity_mix": with_ctes(
+        """select CERT, REPDTE, round(coalesce(RB2LNRES, 0) - coalesce(LNATRES, 0), 9) as AOBS, round(kept, 9) as Net_Retained_Earnings,
+           round(coalesce(due / nullif(loans, 0), 0.0), 9) as Total_Past_Due_to_Book, round(coalesce(npl / nullif(loans, 0), 0.0), 9) as NPL_to_Gross_Loans_Rate,
+           round(coalesce(npl / nullif(due, 0), 0.0), 9) as NPL_to_Past_Due, round(coalesce(npl / nullif(coalesce(Total_ACL, 0), 0), 0.0), 9) as NPL_to_ACL,
+           round(coalesce(CHBAL * 100.0 / nullif(EQ, 0), 0.0), 9) as Common_Stock_Pct, round(coalesce(CHBALNI * 100.0 / nullif(EQ, 0), 0.0), 9) as EQSUR_Pct,
+           round(coalesce(RCON1754 * 100.0 / nullif(EQ, 0), 0.0), 9) as Preferred_Stock_Pct, round(coalesce(kept * 100.0 / nullif(EQ, 0), 0.0), 9) as Retained_Earnings_Pct
+           from (select *, coalesce(LNLS, 0.0) as loans, coalesce(TopHouse_PD30, 0.0) + coalesce(TopHouse_PD90, 0.0) as due,
+                 coalesce(Total_Nonaccrual + TopHouse_PD90, 0.0) as npl, coalesce(RCON1773, 0.0) - coalesce(RBCT1J, 0.0) as kept from d_tot)""",
+        "d_tot",
+    ),
     "liquidity_ratios": columns_of("d_ratio", codes(ratios.LIQUIDITY_RATIOS)),
     "profit_ratios": columns_of("d_ratio", codes(ratios.PROFIT_RATIOS)),
     "normalized_ratios": columns_of("d_ratio", [*codes(ratios.NORM_RATIOS), "Norm_ACL_Balance"]),

@@ -69,7 +69,7 @@ def one_per_day(spark, sf):
 
 
 def wide_to_long(spark, sf):
-    wide = table(spark, sf, "events").groupBy(F.to_date("ts").alias("date")).pivot("event_type", ["click", "view", "error"]).agg(F.count(F.lit(1)).cast("double"))
+    wide = table(spark, sf, "events").groupBy(F.to_date("ts").alias("date")).pivot("event_type").agg(F.count(F.lit(1)).cast("double"))
     return series.to_long(wide)
 
 
@@ -383,7 +383,7 @@ ORACLES = {
     ),
     "quarter_last": with_ctes("select * from quarterly", "quarterly"),
     "one_per_day": "select event_type as SeriesID, cast(ts as date) as DATE, first(value order by ts desc, event_id desc) as VALUE from events where value is not null group by 1, 2",
-    "wide_to_long": "select event_type as SeriesID, cast(ts as date) as DATE, cast(count(*) as double) as VALUE from events where event_type in ('click', 'view', 'error') group by 1, 2",
+    "wide_to_long": "select event_type as SeriesID, cast(ts as date) as DATE, cast(count(*) as double) as VALUE from events group by 1, 2",
     "series_spread": with_ctes(
         """select 'D1-D2' as SeriesID, DATE, a - b as VALUE from (select DATE, last_value(x ignore nulls) over (order by DATE) as a, last_value(y ignore nulls) over (order by DATE) as b
            from (select DATE, max(VALUE) filter (SeriesID = 1) as x, max(VALUE) filter (SeriesID = 2) as y from series where SeriesID in (1, 2) group by 1)) where a - b is not null""",

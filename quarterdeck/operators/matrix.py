@@ -10,11 +10,12 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quarterdeck.operators.tagging import BUCKET_FLOORS, LAL_PRODUCTS, PRODUCTS, flag_list
+from quarterdeck.operators.tagging import BUCKET_FLOORS, FLAG_NAMES, LAL_PRODUCTS, PRODUCTS, flag_list
 
 BUCKET = "CREDIT_LII_COMMITMENT_FLOOR"
 PRODUCT = "PRODUCT_BUCKET"
 AMOUNT = "CREDIT_LII"
+UNLISTED = "UNLISTED"
 
 # Threshold of each product.
 THRESHOLDS = {
@@ -41,6 +42,11 @@ def threshold() -> Column:
     return F.try_element_at(F.create_map(*pairs), F.col(PRODUCT))
 
 
+def listed() -> Column:
+    """The row's product, ``UNLISTED`` where it is none of the list."""
+    return F.when(F.col(PRODUCT).isin(PRODUCTS), F.col(PRODUCT)).otherwise(F.lit(UNLISTED))
+
+
 def cells(df: DataFrame) -> DataFrame:
     """The full bucket x product grid of the ladder and the product list."""
     one = df.sparkSession.range(1)
@@ -51,38 +57,37 @@ def cells(df: DataFrame) -> DataFrame:
 
 
 def view_matrices(df: DataFrame) -> DataFrame:
-    """Count and amount of every cell in the four views, zeros included; one pass over the loans."""
+    """Count and amount of every cell in the four views, zeros included; one pass over the loans.
+
+    Loans of a product outside the list, or without one, are counted in rows ``UNLISTED``, so that cells add up to the totals.
+    """
     aggs = []
     for view, rule in VIEWS.items():
         aggs.append(F.count_if(F.expr(rule)).alias(f"count_{view}"))
         aggs.append(F.sum(F.when(F.expr(rule), amount())).alias(f"sum_{view}"))
-    made = df.groupBy(BUCKET, PRODUCT).agg(*aggs)
-    # Both sides have at most one row per cell of the fixed grid.
-    joined = cells(df).join(F.broadcast(made), [BUCKET, PRODUCT], "left")
+    made = df.withColumn(PRODUCT, listed()).groupBy(BUCKET, PRODUCT).agg(*aggs)
+    # Both sides have at most one row per cell of the fixed grid and its remainder.
+    joined = cells(df).join(made, [BUCKET, PRODUCT], "full")
     zero = {f"count_{v}": F.coalesce(f"count_{v}", F.lit(0)) for v in VIEWS}
     zero |= {f"sum_{v}": F.coalesce(f"sum_{v}", F.lit(0.0)) for v in VIEWS}
     return joined.withColumns(zero)
 
 
 def commitment_pivot(df: DataFrame, measure: str = "count", where: str = "true") -> DataFrame:
-    """One row per bucket and one column per product, zeros filled."""
+    """One row per bucket and one column per product and for ``UNLISTED`` ones, zeros filled."""
     agg = F.count(F.lit(1)) if measure == "count" else F.sum(amount())
-    wide = df.filter(F.expr(where)).groupBy(BUCKET).pivot(PRODUCT, PRODUCTS).agg(agg)
+    wide = df.filter(F.expr(where)).withColumn(PRODUCT, listed()).groupBy(BUCKET).pivot(PRODUCT, [*PRODUCTS, UNLISTED]).agg(agg)
     grid = cells(df).select(BUCKET).distinct()
     joined = grid.join(F.broadcast(wide), BUCKET, "left")
     zero = F.lit(0) if measure == "count" else F.lit(0.0)
-    return joined.select(BUCKET, *[F.coalesce(F.col(f"`{p}`"), zero).alias(p) for p in PRODUCTS])
+    return joined.select(BUCKET, *[F.coalesce(F.col(f"`{p}`"), zero).alias(p) for p in [*PRODUCTS, UNLISTED]])
 
 
 def matrix_totals(df: DataFrame) -> DataFrame:
     """Cells, row totals, column totals and the grand total; ``total_level`` is 0, 1 (product rolled up), 2 or 3."""
-    return (
-        df.cube(BUCKET, PRODUCT)
-        .agg(
-            F.grouping_id().cast("int").alias("total_level"),
-            F.count(F.lit(1)).alias("loans"),
-            F.sum(amount()).alias("amount"),
-        )
+    grid = df.groupBy(BUCKET, PRODUCT).agg(F.count(F.lit(1)).alias("loans"), F.sum(amount()).alias("amount"))
+    return grid.cube(BUCKET, PRODUCT).agg(
+        F.grouping_id().cast("int").alias("total_level"), F.sum("loans").alias("loans"), F.sum("amount").alias("amount")
     )
 
 
@@ -119,11 +124,13 @@ def flag_breakdown(df: DataFrame, top: int = 12) -> DataFrame:
 
 
 def flag_overlap(df: DataFrame) -> DataFrame:
-    """Rows carrying both flags of a pair; the diagonal is the flag's own count.
+    """Rows carrying both flags of a pair, zeros included; the diagonal is the flag's own count.
 
     Pairs come from the distinct flag sets, not from the loans.
     """
-    return (
+    names = F.array(*[F.lit(n) for n in FLAG_NAMES])
+    grid = df.sparkSession.range(1).select(F.explode(names).alias("flag_a")).withColumn("flag_b", F.explode(names))
+    seen = (
         flag_sets(df)
         .select("FLAG_LIST", "loans")
         .select(F.explode("FLAG_LIST").alias("flag_a"), "FLAG_LIST", "loans")
@@ -131,6 +138,9 @@ def flag_overlap(df: DataFrame) -> DataFrame:
         .groupBy("flag_a", "flag_b")
         .agg(F.sum("loans").alias("loans"))
     )
+    # Both sides have at most one row per pair of rules.
+    joined = grid.join(F.broadcast(seen), ["flag_a", "flag_b"], "left")
+    return joined.withColumn("loans", F.coalesce("loans", F.lit(0).cast("long")))
 
 
 def concentration(df: DataFrame, denominator_rule: str = "all", lowest_free: Sequence[str] = LAL_PRODUCTS) -> DataFrame:

@@ -155,6 +155,19 @@ PROFIT_RATIOS = [
     Ratio("Provision_Elasticity", "Delta_Provision", "Delta_Nonaccrual"),
     Ratio("RIC_CRE_Conversion_Velocity", "Delta_CRE_Nonaccrual", "Lagged_CRE_Total_PD"),
 ]
+# Over filled inputs, so that only a zero denominator is left to decide.
+NPL_RATIOS = [
+    Ratio("Total_Past_Due_to_Book", "_past_due", "_loans"),
+    Ratio("NPL_to_Gross_Loans_Rate", "_npl", "_loans"),
+    Ratio("NPL_to_Past_Due", "_npl", "_past_due"),
+    Ratio("NPL_to_ACL", "_npl", "_acl"),
+]
+EQUITY_SHARES = [
+    Ratio("Common_Stock_Pct", "_common * 100.0", "_equity"),
+    Ratio("EQSUR_Pct", "_surplus * 100.0", "_equity"),
+    Ratio("Preferred_Stock_Pct", "_preferred * 100.0", "_equity"),
+    Ratio("Retained_Earnings_Pct", "Net_Retained_Earnings * 100.0", "_equity"),
+]
 NORM_RATIOS = [
     Ratio("Norm_NCO_Rate", "Norm_Total_NCO", "Norm_Gross_Loans"),
     Ratio("Norm_Nonaccrual_Rate", "Norm_Total_Nonaccrual", "Norm_Gross_Loans"),
@@ -186,6 +199,21 @@ def apply_ratios(df: DataFrame, specs: Iterable[Ratio]) -> DataFrame:
     return df.withColumns({s.code: quotient(s) for s in specs})
 
 
+def npl_and_equity_mix(df: DataFrame) -> DataFrame:
+    """Noncurrent loans to loans, past due and allowance, off-balance allowance, and parts of equity in percent of it.
+
+    Absent columns and NULLs count as 0; a quotient over 0 is 0.
+    """
+    have = set(df.columns)
+    total = lambda *codes: sum_cols(have, codes)
+    inputs = {
+        "_loans": total("LNLS"), "_past_due": total("P3LNLS", "P9LNLS"), "_npl": total("NCLNLS"), "_acl": total("Total_ACL"),
+        "_equity": total("EQ"), "_common": total("EQCS"), "_surplus": total("EQSUR"), "_preferred": total("EQPP"),
+    }
+    made = {"AOBS": total("RB2LNRES") - total("LNATRES"), "Net_Retained_Earnings": total("EQUP") - total("EQCCOMPI")}
+    return apply_ratios(df.withColumns({**inputs, **made}), [*NPL_RATIOS, *EQUITY_SHARES]).drop(*inputs)
+
+
 def normalized_yields(df: DataFrame) -> DataFrame:
     """Yields after losses on the normalised book; two outputs are fixed by design."""
     return df.withColumns(

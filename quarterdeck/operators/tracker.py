@@ -72,7 +72,7 @@ def sizes_by(df: DataFrame, row: str, gross: str, net: str, period: str = "QUART
     return df.groupBy(row, period).agg(total(gross).alias("gross"), total(net).alias("net"))
 
 
-def periods_wide(counts: DataFrame, row: str, period: str, value: str, periods: Sequence[str]) -> DataFrame:
-    """Periods as columns, zeros filled. The list of periods is given, so no extra pass looks for it."""
-    wide = counts.groupBy(row).pivot(period, list(periods)).agg(F.first(value))
-    return wide.fillna(0, list(periods))
+def periods_wide(counts: DataFrame, row: str, period: str, value: str, periods: Sequence[str] | None = None) -> DataFrame:
+    """Periods as columns, zeros filled. Without a list the periods that occur are the columns, which takes a pass over the counts."""
+    wide = counts.groupBy(row).pivot(period, None if periods is None else list(periods)).agg(F.first(value))
+    return wide.fillna(0)

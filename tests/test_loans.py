@@ -122,8 +122,24 @@ def test_matrix_totals_agree(spark, sf):
     assert matrix.matrix_totals(loans).filter("total_level = 3").first()["loans"] == total
     assert loans.filter(F.size("FLAG_LIST") != F.col("FLAG_COUNT")).count() == 0
     diagonal = {r["flag_a"]: r["loans"] for r in matrix.flag_overlap(loans).filter("flag_a = flag_b").collect()}
-    counts = {r["flag"]: r["loans"] for r in tagging.flag_counts(loans).filter("loans > 0").collect()}
+    counts = {r["flag"]: r["loans"] for r in tagging.flag_counts(loans).collect()}
     assert diagonal == counts
+    assert matrix.flag_overlap(loans).count() == 16 * 16
+
+
+def test_products_outside_the_list_are_counted(spark):
+    rows = [(1, "TL CRE", 5.0, "N", False), (1, "Margin", 7.0, "N", True), (1, None, 2.0, "Y", False)]
+    loans = spark.createDataFrame(rows, f"{matrix.BUCKET} long, {matrix.PRODUCT} string, {matrix.AMOUNT} double, NEW_CAMP_YN string, QUALIFIED boolean")
+    loans = loans.withColumn("LOAN_ID", F.lit(1))
+    rest = matrix.view_matrices(loans).filter(f"{matrix.PRODUCT} = 'UNLISTED'").collect()
+    assert [(r["count_all_all"], r["sum_all_all"], r["count_new_all"], r["count_all_qualified"]) for r in rest] == [(2, 9.0, 1, 1)]
+    assert matrix.commitment_pivot(loans).agg(F.sum("UNLISTED")).first()[0] == 2
+
+
+def test_quarters_come_from_the_deals(spark):
+    counts = spark.createDataFrame([("A", "1995Q1", 2), ("B", "2030Q4", 1)], "kind string, QUARTER string, deals long")
+    wide = tracker.periods_wide(counts, "kind", "QUARTER", "deals")
+    assert {tuple(r) for r in wide.select("kind", "1995Q1", "2030Q4").collect()} == {("A", 2, 0), ("B", 0, 1)}
 
 
 def test_new_commitment(spark):

@@ -7,7 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from quarterdeck.operators import compare, composite, heal, normalize
+from quarterdeck.operators import compare, composite, heal, normalize, ratios
 from quarterdeck.operators.quantile import exact_quantile
 
 DAY = dt.date(2024, 3, 31)
@@ -89,3 +89,14 @@ def test_nearest_period_prefers_the_earlier_on_a_tie(spark):
     days = [dt.date(2023, 3, 30), dt.date(2023, 4, 1), dt.date(2024, 3, 31)]
     df = spark.createDataFrame([(d,) for d in days], "REPDTE date")
     assert df.select(compare.nearest_period(df, 1).alias("p")).first()["p"] == dt.date(2023, 3, 30)
+
+
+def test_npl_and_equity_mix(spark):
+    rows = [(200.0, 3.0, 1.0, 2.0, 8.0, 50.0, 10.0, 20.0, 5.0, 9.0, 6.0), (0.0, None, 0.0, 2.0, 0.0, 0.0, 1.0, None, None, None, 6.0)]
+    names = ["LNLS", "P3LNLS", "P9LNLS", "NCLNLS", "Total_ACL", "EQ", "EQCS", "EQUP", "EQCCOMPI", "RB2LNRES", "LNATRES"]
+    out = ratios.npl_and_equity_mix(spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)))
+    wanted = ["AOBS", "Net_Retained_Earnings", "Total_Past_Due_to_Book", "NPL_to_Gross_Loans_Rate", "NPL_to_Past_Due", "NPL_to_ACL", "Common_Stock_Pct", "EQSUR_Pct", "Retained_Earnings_Pct"]
+    assert [tuple(r) for r in out.select(wanted).collect()] == [
+        (3.0, 15.0, 0.02, 0.01, 0.5, 0.25, 20.0, 0.0, 30.0),
+        (-6.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),
+    ]
