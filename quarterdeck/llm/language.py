@@ -22,6 +22,7 @@ BUCKETS = 1 << 15
 PER_LANGUAGE = 300
 LANDMARKS_PER_LANGUAGE = 48
 LANGUAGES = 256
+PARTS = 64  # parts of a language that are thinned out side by side
 RIDGE = 1e-2
 ROWS = 128  # texts in one matrix product
 UNKNOWN = "und"
@@ -92,8 +93,10 @@ def fit(docs: DataFrame, train, text: str = "text", lang: str = "lang", per_lang
     rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
     keyed = rows.select("lang", F.xxhash64("text").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h")
-    picked = keyed.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    picked = keyed.distinct()
+    for part in (["lang", F.pmod("h", F.lit(PARTS))], ["lang"]):  # the smallest of parts first, so that no task holds a whole language
+        order = Window.partitionBy(*part).orderBy("h")
+        picked = picked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).drop("n")
     total = picked.agg(F.countDistinct("lang")).first()[0]
     if total > LANGUAGES:
         raise ValueError(f"{total} languages; at most {LANGUAGES} are fitted")
