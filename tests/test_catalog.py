@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from conftest import SF
+from quarterdeck import catalog
 from tools.check_oracle import TABLES, rows_of
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()  # without those of the optional subpackage
 WITHOUT_SQL = {"regression_scores", "regression_coefficients"}
 SAMPLE = [
     "ytd_to_discrete", "avg_8p_peak_stress", "heal_gated", "exclusions_gated", "reconciliation", "composite_weighted", "blank_low_coverage",
@@ -20,6 +21,7 @@ SAMPLE = [
 def test_every_query_has_sql():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry_runs(spark):
