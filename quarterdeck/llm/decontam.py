@@ -1,13 +1,13 @@
 """Benchmark passages in documents: SimHash windows, multi-index Hamming blocks, weighted shingles; column expressions and joins only.
 
 Words are lower-cased (A-Z) runs of characters other than space and 9 to 13; shingles are ``SHINGLE`` words (items of fewer words: all of them).
-Windows have the size of an item. Only windows that share a shingle with an item of their size can be similar to it, so the
-others are never made. A window's fingerprint is the SimHash of its shingles, each weighing as often as it occurs. Fingerprints are cut
+Windows have the size of an item; a document of fewer words, but enough shingles to reach ``SIMILARITY``, is one window as a whole.
+Only windows that share a shingle with such an item can be similar to it, so the others are never made. A window's fingerprint is the SimHash of its shingles, each weighing as often as it occurs. Fingerprints are cut
 into ``BLOCKS`` blocks, and items are indexed under every block value within ``RADIUS // BLOCKS`` bits, which finds every item within
 ``RADIUS`` bits of the window. Candidates are then compared by weighted Jaccard similarity of their shingles: ``SIMILARITY`` or more counts. Of two
 such texts at exactly 0.8 the fingerprints lie within the radius with probability 0.98, at 0.85 with 0.996, and equal ones always.
 
-Null and empty texts and items hold nothing. Repeated rows of a document give one row for an item; of windows that tie the first counts.
+Null and empty texts and items hold nothing. Repeated rows of a document give one row for an item; of windows that tie the first counts. ``n_words`` is the number of words in the window.
 The shingles and the index of the items are broadcast while they are no more than ``BROADCAST_ROWS`` rows, and joined by shuffle beyond.
 """
 
@@ -112,7 +112,9 @@ def _contaminated(rows: DataFrame, known: DataFrame, k: int, largest: int) -> Da
     shingles = index.select(F.explode("grams").alias("gram"), "n_words").distinct()
     # the outer form: no filter on the array's size is inferred and pushed into, and repeated for, each element below
     places = texts.select("_doc", "_twin", F.size("words").alias("size"), F.posexplode_outer("grams").alias("at", "gram"))
-    hits = places.join(_sized(shingles, n_shingles), "gram").where("size >= n_words")
+    # a bag of s shingles and one of t are at most s / t similar, so shorter documents than that are no window
+    enough = (F.col("size") - (k - 1)) * SIMILARITY[1] >= (F.col("n_words") - (k - 1)) * SIMILARITY[0]
+    hits = places.join(_sized(shingles, n_shingles), "gram").where(enough).withColumn("n_words", F.least("size", "n_words"))
     starts = F.sequence(F.greatest(F.col("at") + k - F.col("n_words"), F.lit(0)), F.least("at", F.col("size") - F.col("n_words")))
     hits = hits.where(F.greatest(F.col("at") + k - F.col("n_words"), F.lit(0)) <= F.least("at", F.col("size") - F.col("n_words")))
     spans = hits.groupBy("_doc", "_twin", "n_words").agg(F.array_distinct(F.flatten(F.collect_list(starts))).alias("starts"))
@@ -120,19 +122,20 @@ def _contaminated(rows: DataFrame, known: DataFrame, k: int, largest: int) -> Da
 
     # only documents with hits are shingled again; their rows are sought by shuffle, as there are more of them in a larger corpus
     near = _shingled(rows.select(*row, "text").join(spans.hint("merge"), row), "text", k)
-    near = near.select(*row, "grams", F.explode("spans").alias("span")).select(*row, "grams", "span.*")
-    windows = near.select(*row, "n_words", "grams", F.explode("starts").alias("first_word"))
-    windows = windows.select(*row, "n_words", "first_word", F.slice("grams", F.col("first_word") + 1, F.col("n_words") - k + 1).alias("window"))
+    near = near.select(*row, "grams", F.size("words").alias("size"), F.explode("spans").alias("span")).select(*row, "grams", "size", "span.*")
+    windows = near.select(*row, "n_words", "grams", (F.col("size") == F.col("n_words")).alias("whole"), F.explode("starts").alias("first_word"))
+    windows = windows.select(*row, "n_words", "first_word", "whole", F.slice("grams", F.col("first_word") + 1, F.col("n_words") - k + 1).alias("window"))
     windows = materialize(windows.withColumn("bits", simhash(F.col("window"), lanes)), "windows")
 
     masks = F.array(*[F.lit(m) for m in _masks()])
     blocks = F.explode(F.array(*[F.struct(F.lit(b).alias("b"), _block(F.col("bits"), b).alias("value")) for b in range(BLOCKS)])).alias("block")
-    probes = windows.select(*row, "n_words", "first_word", "bits", blocks)
+    probes = windows.select(*row, "n_words", "first_word", "whole", "bits", blocks)
     entries = index.select("item_id", F.col("n_words").alias("m"), F.col("bits").alias("item_bits"), blocks)
     entries = entries.select("item_id", "m", "item_bits", "block.b", F.col("block.value").alias("value"), F.explode(masks).alias("mask"))
     entries = entries.select("item_id", "m", "item_bits", "b", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-    met = probes.select(*row, "n_words", "first_word", "bits", "block.b", "block.value").join(_sized(entries, n_items * BLOCKS * len(_masks())), ["b", "value"])
-    met = met.where((F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits"))) <= RADIUS) & (F.col("n_words") == F.col("m")))
+    met = probes.select(*row, "n_words", "first_word", "whole", "bits", "block.b", "block.value").join(_sized(entries, n_items * BLOCKS * len(_masks())), ["b", "value"])
+    of_size = (F.col("n_words") == F.col("m")) | (F.col("whole") & (F.col("n_words") < F.col("m")))
+    met = met.where((F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits"))) <= RADIUS) & of_size)
     pairs = met.select(*row, "n_words", "first_word", "item_id").distinct()
 
     bags = numbered(windows.select(*row, "n_words", "first_word", "window"), "window", "bag").select(*row, "n_words", "first_word", _hashes("bag").alias("bag"))

@@ -184,6 +184,18 @@ def test_decontamination(spark):
     assert got == {(10 * k + j, k) for k in range(5) for j in (0, 2)} | {(None, 2)}
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    rng = random.Random(6)
+    words = [f"v{i}" for i in range(400)]
+    item, other = ([rng.choice(words) for _ in range(41)] for _ in range(2))
+    cut = {1: item[:-1], 2: item[1:], 3: item[2:-2], 4: item[:20], 5: item[:-1] + ["more"] * 40, 6: other[:40], 7: item[:3], 8: item}
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(other)), (2, " ".join(item[:-1]))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontam.contaminated(table(spark, [(k, " ".join(w)) for k, w in cut.items()]), bench).collect()}
+    assert set(got) == {(1, 0), (2, 0), (3, 0), (5, 0), (6, 1), (8, 0), (1, 2), (2, 2), (3, 2), (5, 2), (8, 2)}
+    assert got[1, 0]["similarity"] == pytest.approx(36 / 37) and got[3, 0]["similarity"] == pytest.approx(33 / 37)
+    assert [(got[k]["first_word"], got[k]["n_words"]) for k in ((1, 0), (3, 0), (1, 2), (8, 0))] == [(0, 40), (0, 37), (0, 40), (0, 41)]
+
+
 def test_order_minhash(spark, rows):
     got = order_minhash.fingerprints(table(spark, rows)).collect()
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
