@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
 from fractions import Fraction
 
@@ -151,6 +152,29 @@ def test_near_duplicates_of_one_group_with_more_and_fewer_changes(spark, monkeyp
     assert calls
 
 
+def test_near_duplicates_cut_short(spark):
+    rng = random.Random(12)
+    texts, want = {}, {}
+    hashed = lambda w: near_dup.shingles(" ".join(w), 3).view(np.int64)
+    for k in range(0, 10, 2):  # the part that the copy lacks has small hashes, so it fills much of the longer text's sketch
+        words = [f"c{rng.randrange(10**9)}" for _ in range(87)]
+        short = list(words)
+        for _ in range(15):
+            words.append(min((f"c{rng.randrange(10**9)}" for _ in range(60)), key=lambda x: hashed([*words[-2:], x])[0]))
+        assert len(hashed(short)) == 85 and len(hashed(words)) == 100
+        assert np.isin(np.sort(hashed(words))[:32], hashed(short)).sum() < 20
+        texts[k], texts[k + 1] = " ".join(words), " ".join(short)
+        want[k] = want[k + 1] = k
+    got = near_dup.components(table(spark, list(texts.items())), words=3, similarity=Fraction(85, 100)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
+@pytest.mark.parametrize("similarity", [Fraction(4, 5), Fraction(85, 100), Fraction(9, 10)])
+def test_shared_values_hold_for_sets_of_unequal_size(similarity):
+    p, least = float(similarity), near_dup.shared_at_least(32, 32, similarity)
+    assert sum(math.comb(32, k) * p**k * (1 - p) ** (32 - k) for k in range(least)) <= 1e-8
+
+
 def test_repeated_lines(spark, rows):
     own = [(i, t) for i, t in dict.fromkeys(rows) if i is not None]
     first = {}
