@@ -190,6 +190,13 @@ def test_repeated_lines(spark, rows):
         assert (got[i]["n_lines"], got[i]["n_removed"], got[i]["kept"]) == (len(every), len(every) - len(kept), None if t is None else "\n".join(kept))
 
 
+def test_repeated_lines_of_few_distinct_shingles(spark):
+    own = ["-" * n for n in range(7, 13)] + ["=" * n for n in range(8, 11)] + [("-=" * 9)[:n] for n in range(8, 14)] + [("abc" * 9)[:n] for n in (9, 10, 11, 12)] + ["abcdefgh", "abcdefghi", "abcdefg"]
+    want = smallest(dict(enumerate(map(lines.shingle_set, own))), lambda a, b: 5 * len(a & b) >= 4 * len(a | b))
+    got = lines.remove_repeated_lines(table(spark, list(enumerate(own)))).select("doc_id", "lines.kept").collect()
+    assert {r["doc_id"]: r["kept"] for r in got} == {k: x if want[k] == k else "" for k, x in enumerate(own)}
+
+
 def test_decontamination(spark):
     rng = random.Random(5)
     words = [f"v{i}" for i in range(400)]
