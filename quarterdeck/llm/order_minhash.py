@@ -1,11 +1,14 @@
 """Document fingerprints that feel edit distance: Order MinHash over words, in column expressions only.
 
-The k-mers of a text are its runs of ``K`` words, numbered where they repeat. Each falls by its hash into one of ``PARTS`` parts; of each
-part the ``2`` smallest hashes are selected, put back into text order, and the k-mers hashed as a tuple. A part's value changes when either
-k-mer goes or when their order turns. The likeness of two fingerprints is the share of parts, among those filled in either, whose values agree.
+The k-mers of a text are its runs of ``K`` words, numbered where they repeat. Their hashes lie on a ring with ``POINTS`` points at equal
+distances; of each point the next ``2`` k-mers on the ring are selected, put back into text order, and hashed as a tuple. A point's value
+changes when either k-mer goes or when their order turns. To each point the two are as likely any two of the text, as they are under a
+hash function of its own, but points without a k-mer between them select the same two: a text of ``n`` k-mers has at most ``n`` selections, so the
+likeness of short texts has the same mean as with separate functions and spreads more. The likeness of two fingerprints is the share of points whose values agree.
 
 Words are runs of characters other than space and 9 to 13. Texts without words have the empty fingerprint (null texts too), and two such
-fingerprints have likeness 1. Texts of fewer than ``K`` words have one k-mer, all their words.
+fingerprints have likeness 1. Texts of fewer than ``K`` words have one k-mer, all their words;
+a single k-mer has no order and is hashed alone.
 
 The next document is the one with the next larger id; rows of one id follow each other by text, null ids come last, and the first row
 follows the last. A table of one row is its own next document.
@@ -19,30 +22,39 @@ from pyspark.sql import functions as F
 from quarterdeck.llm.native import numbered, with_grams, word_array
 
 K = 2
-PART_BITS = 6
-PARTS = 1 << PART_BITS
+POINT_BITS = 6
+POINTS = 1 << POINT_BITS
 PLACE_BITS = 28
 
 
 def signed(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``out``: an array with a number for each filled part, the part in the lowest bits."""
+    """``out``: an array with a number for each point, the point in the lowest bits; empty without words."""
     df = with_grams(df.withColumn("_words", word_array(F.col(text))), "_words", K, "_grams").drop("_words")
     df = numbered(df, "_grams", "_numbered", PLACE_BITS).withColumn("_ranked", F.sort_array("_numbered"))
     ranked, grams, n = F.col("_ranked"), F.col("_grams"), F.size("_ranked")
-    part = lambda e: F.shiftrightunsigned(e, 64 - PART_BITS)
+    # the last point at or before a hash, in the signed order that the array is in
+    point = lambda e: (F.shiftright(e, 64 - POINT_BITS) + POINTS // 2).cast("int")
     place = lambda e: e.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
-    first = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i == 0) | (part(F.get(ranked, i)) != part(F.get(ranked, i - 1))))
+    first = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i == 0) | (point(F.get(ranked, i)) != point(F.get(ranked, i - 1))))
     df = df.withColumn("_first", first)
 
     def value(i: Column) -> Column:
-        a, b = F.get(ranked, i), F.get(ranked, i + 1)
-        at, to = place(a), place(b)
+        at, to = place(F.get(ranked, i)), place(F.get(ranked, (i + 1) % n))
         alone = F.xxhash64(F.get(grams, at))
         pair = F.when(at < to, F.xxhash64(F.get(grams, at), F.get(grams, to))).otherwise(F.xxhash64(F.get(grams, to), F.get(grams, at)))
-        return F.shiftleft(F.when(b.isNotNull() & (part(a) == part(b)), pair).otherwise(alone), PART_BITS).bitwiseOR(part(a))
+        return F.when(n > 1, pair).otherwise(alone)
 
-    done = F.when(n > 0, F.transform("_first", value)).otherwise(F.array().cast("array<bigint>"))
-    return df.withColumn(out, done).drop("_grams", "_numbered", "_ranked", "_first")
+    def points(i: Column) -> Column:
+        """The value of a k-mer that is the next one of some points, once for each of them."""
+        before = F.when(i > 0, point(F.get(ranked, i - 1))).otherwise(F.lit(-1))
+        return F.array_repeat(value(i), point(F.get(ranked, i)) - before)
+
+    df = df.withColumn("_values", F.flatten(F.transform("_first", points)))
+    # the points after the last k-mer go on with the first one
+    around = F.array_repeat(value(F.lit(0)), F.lit(POINTS) - F.size("_values"))
+    numbers = F.transform(F.concat("_values", around), lambda e, j: F.shiftleft(e, POINT_BITS).bitwiseOR(j.cast("long")))
+    done = F.when(n > 0, numbers).otherwise(F.array().cast("array<bigint>"))
+    return df.withColumn(out, done).drop("_grams", "_numbered", "_ranked", "_first", "_values")
 
 
 def fingerprint(signature: Column) -> Column:
@@ -50,8 +62,7 @@ def fingerprint(signature: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    parts = lambda s: F.transform(s, lambda e: e.bitwiseAND(F.lit(PARTS - 1)))
-    either = F.size(F.array_union(parts(a), parts(b)))
+    either = F.greatest(F.size(a), F.size(b))  # every text with words has all points
     return F.when(either == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(either, F.lit(1)))
 
 

@@ -239,6 +239,45 @@ def test_order_minhash(spark, rows):
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
 
 
+def test_order_minhash_of_short_texts_feels_order(spark):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(60):
+        w = [f"s{x}" for x in rng.sample(range(10**6), 30)]
+        texts.append((" ".join(w), " ".join(w[15:] + w[:15])))
+    df = spark.createDataFrame(texts + [("a b", "b a"), ("a b c", "a b c"), ("one", "one"), ("one", "two"), ("", " ")], "x string, y string")
+    df = order_minhash.signed(order_minhash.signed(df, "x", "own"), "y", "swapped")
+    got = [tuple(r) for r in df.select(order_minhash.likeness(df["own"], df["swapped"]), "own", "swapped").collect()]
+    assert 0.3 < sum(x for x, _, _ in got[:60]) / 60 < 0.6  # a pair of the whole text turns about every other time
+    assert [x for x, _, _ in got[60:]] == [0, 1, 1, 0, 1]
+    assert all([e & 63 for e in s] == list(range(64)) for _, *both in got[:64] for s in both)
+    assert got[64][1:] == ([], [])
+
+
+def test_order_minhash_against_the_ring(spark):
+    from pyspark.sql import functions as F
+
+    from quarterdeck.llm import native
+
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefg") for _ in range(n)) for n in (2, 3, 5, 30, 200)]
+    df = native.with_grams(spark.createDataFrame([(t,) for t in texts], "text string").withColumn("w", native.word_array(F.col("text"))), "w", 2, "g")
+    df = order_minhash.signed(native.numbered(df, "g", "h", order_minhash.PLACE_BITS), "text", "own")
+    pair = {}
+
+    def chosen(r):
+        ring = sorted(r["h"])
+        for j in range(64):
+            at = sum(h < (j << 58) - (1 << 63) for h in ring)
+            yield tuple(sorted(ring[(at + k) % len(ring)] & ((1 << 28) - 1) for k in range(min(2, len(ring)))))
+
+    for r in df.collect():
+        for j, (places, e) in enumerate(zip(chosen(r), r["own"], strict=True)):
+            assert e & 63 == j
+            assert pair.setdefault(tuple(r["g"][p] for p in places), e >> 6) == e >> 6
+    assert len(set(pair.values())) == len(pair)
+
+
 def test_token_counts(spark):
     from tokenizers import Tokenizer
 
