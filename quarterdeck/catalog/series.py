@@ -212,7 +212,7 @@ def risk_score(spark, sf):
         "SeriesID",
         "case when SeriesID < 30 then 'leading' else 'lagging' end as type",
         "case when SeriesID between 40 and 60 then 'Loan Delinquency' else 'Volume' end as long_name",
-        "case when SeriesID < 50 then map('stress', 20000D, 'normal', 5000D) end as benchmark",
+        "case when SeriesID < 30 then map('stress', 20000D, 'normal', 5000D) when SeriesID < 40 then map('stress', -20000D, 'normal', 0D) when SeriesID < 50 then map('Extreme', -30000D, 'normal', -5000D) end as benchmark",
         "case when SeriesID between 10 and 20 then 'inversion' when SeriesID >= 70 then 'credit_spread' end as floor_rule",
     )
     df = indicators.risk_score(df, meta)
@@ -363,7 +363,9 @@ _RISK = f"""select SeriesID, DATE, case when n >= 12 then round(dev, 6) end as d
   case when n >= 12 then round(mom, 6) end as momentum_score, case when n >= 12 then round(sc, 6) end as risk_score, case when n >= 12 then case when sc >= 70 then 'Red' when sc >= 40 then 'Yellow' else 'Green' end end as risk_color from (
   select *, greatest(dev + ben + vol + mom, case when SeriesID between 10 and 20 and v < 0 then 80.0 else 0.0 end,
     case when SeriesID >= 70 and (len(list_filter(h, lambda x: x < v)) + len(list_filter(h, lambda x: x <= v)) + 1) * 50.0 / len(h) > 90 then 70.0 else 0.0 end) as sc from (
-  select *, least(40.0, {_Z} / 3 * 40) as dev, case when SeriesID < 50 then greatest(case when v > 20000 then 30.0::double when v > 16000 then 20.0 else 0.0 end, case when abs((v - 5000) / 5000) > 0.5 then 15.0::double else 0.0 end) else 0.0::double end as ben,
+  select *, least(40.0, {_Z} / 3 * 40) as dev, case when SeriesID < 30 then greatest(case when v > 20000 then 30.0::double when v > 16000 then 20.0 else 0.0 end, case when abs(v - 5000) / 5000 > 0.5 then 15.0::double else 0.0 end)
+      when SeriesID < 40 then greatest(case when v > -20000 then 30.0::double when v > -16000 then 20.0 else 0.0 end, case when v <> 0 then 15.0::double else 0.0 end)
+      when SeriesID < 50 then case when v > -30000 then 30.0::double else 0.0 end else 0.0::double end as ben,
     least(20.0, greatest(0.0, (case when sall > 0 then s12 / nullif(sall, 0) else 1.0 end - 1) * 20)) as vol,
     case when (SeriesID < 30 and sl < 0) or (SeriesID between 40 and 60 and sl > 0) then 10.0::double else 0.0 end as mom from (
   select *, count(*) over ({S}) as n, avg(v) over {rows(36)} as m36, stddev_samp(v) over {rows(36)} as s36, stddev_samp(v) over {rows(12)} as s12, stddev_samp(v) over ({S}) as sall,

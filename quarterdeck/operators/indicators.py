@@ -63,12 +63,25 @@ def rolling_zscore(n: int) -> Column:
     return F.coalesce(F.try_divide(F.col(VALUE) - mean, std), F.lit(0.0))
 
 
+def linear_scan(value: str, decay: float, w, out: str, df: DataFrame) -> DataFrame:
+    """``y = x + decay * (the y before)`` along a window, 0 before its first row, as a parallel scan.
+
+    The maps ``y -> x + decay * y`` compose, so each step joins every row's composition with the one of as many rows as it already covers
+    further back: spans double, and all steps share one partitioning and order. Steps end where the decay over a span is below the
+    smallest double, which depends on ``decay`` alone and not on the number of rows.
+    """
+    made, span = df.withColumn(out, F.col(value)), 1
+    while decay**span > 0.0 and span < 1 << 30:
+        made = made.withColumn(out, F.col(out) + F.coalesce(F.lag(out, span).over(w), F.lit(0.0)) * decay**span)
+        span *= 2
+    return made
+
+
 def ema(df: DataFrame, span: int, out: str = "EMA", block: int = 64) -> DataFrame:
     """Exponential mean, alpha = 2 / (span + 1), started at the first value; rows without a value get NULL.
 
-    The recursion is linear, so it splits into blocks: a window gives each row the weighted sum
-    of its own block, and only the block ends (1/64 of the rows) are folded one after another
-    to carry the level from block to block.
+    The recursion is linear, so it splits into blocks: a window gives each row the weighted sum of its own block, and a scan of the
+    block ends (1/64 of the rows) gives the level that goes on from block to block. No row or array holds a series.
     """
     if span < 1:
         raise ValueError(f"span must be 1 or more, not {span}")
@@ -84,25 +97,46 @@ def ema(df: DataFrame, span: int, out: str = "EMA", block: int = 64) -> DataFram
     scaled = first * F.col(VALUE) * F.pow(F.lit(keep), -F.col("_j"))
     inside = W.partitionBy(ID, "_b").orderBy("_n").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("_own", F.sum(scaled).over(inside) * F.pow(F.lit(keep), F.col("_j")))
-    ends = rows.groupBy(ID, "_b").agg(
-        F.max_by("_own", "_n").alias("own"), F.max("_j").alias("j")
-    )
-    # carry[b] = level at the end of block b - 1
-    fold = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("_b", "own", "j"))),
-        F.array(F.lit(0.0)),
-        lambda acc, e: F.concat(
-            acc, F.array(e["own"] + F.element_at(acc, -1) * F.pow(F.lit(keep), e["j"] + 1))
-        ),
-    )
-    carry = ends.groupBy(ID).agg(fold.alias("c")).select(ID, F.posexplode("c").alias("_b", "_carry"))
-    joined = rows.join(carry.withColumn("_b", F.col("_b").cast("long")), [ID, "_b"])
-    level = F.col("_own") + F.col("_carry") * F.pow(F.lit(keep), F.col("_j") + 1)
+    # The last block of a series may be short, but no block comes after it: all that carry on are whole.
+    ends = rows.groupBy(ID, "_b").agg(F.max_by("_own", "_n").alias("_end"))
+    carry = linear_scan("_end", keep**block, W.partitionBy(ID).orderBy("_b"), "_carry", ends)
+    carry = carry.select(ID, (F.col("_b") + 1).alias("_b"), "_carry")
+    joined = rows.join(carry, [ID, "_b"], "left")
+    level = F.col("_own") + F.coalesce("_carry", F.lit(0.0)) * F.pow(F.lit(keep), F.col("_j") + 1)
     made = joined.withColumn(out, level).select(*df.columns, out)
     unknown = df.filter(F.col(VALUE).isNull()).withColumn(out, F.lit(None).cast("double"))
     return made.unionByName(unknown)
 
 
+DIGITS = 16  # time blocks that a block of the next size is made of
+
+
+def expanding_rank(rows: DataFrame, pos: str = "_pos") -> DataFrame:
+    """``SeriesID, pos, lt, le``: how many of a series' values up to a row are below, and at most, the row's own.
+
+    ``pos`` numbers a series' rows from 1 in time order; values are not NULL. Time is cut into blocks of 16 rows, 16 blocks, and so on. Of
+    two rows, the sizes tell one at which they lie in one block but in different parts of it; so a row's count is the sum, over
+    the sizes, of the values at most its own in the earlier parts of its block. In the order of values these are prefix sums, one for
+    each part: every block is a window of its own that holds sixteen counters, and no row carries its history. Rows are repeated once
+    for each size, which is the logarithm of the longest series.
+    """
+    at = F.col(pos).cast("long") - 1
+    size = rows.groupBy(ID).agg(F.max(at).alias("_last"))
+    base = rows.select(ID, at.alias("_at"), F.col(VALUE).alias("_v")).join(size, ID)
+    bits = DIGITS.bit_length() - 1
+    # as many sizes as the last place of the series has digits
+    levels = F.ceil(F.length(F.bin(F.col("_last"))) / F.lit(bits)).cast("int")
+    spread = base.select(ID, "_at", "_v", F.explode(F.sequence(F.lit(0), levels - 1)).alias("_level"))
+    shifted = F.expr(f"shiftright(_at, _level * {bits})")
+    spread = spread.withColumns({"_part": shifted.bitwiseAND(DIGITS - 1), "_block": F.shiftright(shifted, bits)})
+    below = W.partitionBy(ID, "_level", "_block").orderBy("_v", "_at").rowsBetween(W.unboundedPreceding, -1)
+    counted = spread.withColumns({f"_c{k}": F.count(F.when(F.col("_part") == k, 1)).over(below) for k in range(DIGITS - 1)})
+    earlier = sum((F.when(F.col("_part") > k, F.col(f"_c{k}")).otherwise(0) for k in range(DIGITS - 1)), F.lit(0))
+    atmost = counted.groupBy(ID, "_at").agg((F.sum(earlier) + 1).alias("le"), F.first("_v").alias("_v"))
+    same = F.row_number().over(W.partitionBy(ID, "_v").orderBy("_at"))
+    return atmost.select(ID, (F.col("_at") + 1).alias(pos), (F.col("le") - same).alias("lt"), "le")
+
+
 def trend_slope(n: int) -> Column:
     """Slope of the last n rows as percent of their mean per year (12 rows); 0 when short or flat at 0.
 
@@ -253,15 +287,20 @@ def analysis_fields(df: DataFrame, benchmark: str | None = None) -> DataFrame:
 
 
 def benchmark_points(benchmark: str = "benchmark") -> Column:
-    """30 beyond a stress level, 20 within a fifth of it, 15 when half off a normal level; the largest counts."""
+    """30 beyond a stress level, 20 above four fifths of it, 15 when half off a normal level; the largest counts.
+
+    Signs count: four fifths of a negative stress level lie above it, so its 20 points are never reached below 30. A value is never off a
+    negative normal level (the distance is divided by the level itself), and every other value is off a level of 0.
+    """
     v = F.col(VALUE)
 
     def points(e: Column) -> Column:
         key, limit = F.lower(e["key"]), e["value"]
         stress = key.contains("stress") | key.contains("extreme")
+        off = F.coalesce(F.try_divide(F.abs(v - limit), limit) > 0.5, (limit == 0) & (v != 0))
         return (
             F.when(stress, F.when(v > limit, 30.0).when(v > limit * 0.8, 20.0).otherwise(0.0))
-            .when(key.contains("normal"), F.when(F.abs(F.try_divide(v - limit, limit)) > 0.5, 15.0).otherwise(0.0))
+            .when(key.contains("normal"), F.when(off, 15.0).otherwise(0.0))
             .otherwise(0.0)
         )
 
@@ -279,7 +318,8 @@ def risk_score(df: DataFrame, metadata: DataFrame) -> DataFrame:
     known = df.filter(F.col(VALUE).isNotNull()).join(metadata, ID, "left")
     known = with_position(known)
     every = everything_before()
-    spread_only = F.when(F.col("floor_rule") == "credit_spread", F.col(VALUE))
+    spread = F.col("floor_rule") == "credit_spread"
+    ranks = expanding_rank(known.filter(spread).select(ID, "_pos", VALUE)).select(ID, "_pos", "lt", "le")
     staged = known.withColumns(
         {
             "_n": F.count(F.lit(1)).over(every),
@@ -288,9 +328,8 @@ def risk_score(df: DataFrame, metadata: DataFrame) -> DataFrame:
             "_s12": F.stddev_samp(VALUE).over(last(12)),
             "_sall": F.stddev_samp(VALUE).over(every),
             "_slope6": F.regr_slope(F.col(VALUE), F.col("_pos")).over(last(6)),
-            "_hist": F.collect_list(spread_only).over(every),
         }
-    )
+    ).join(ranks.withColumn("_pos", F.col("_pos").cast("double")), [ID, "_pos"], "left")
     v = F.col(VALUE)
     # With fewer than 36 rows the 36-row window is the whole history, as wanted.
     z = F.when(F.col("_s36") > 0, F.abs((v - F.col("_m36")) / F.nullif("_s36", F.lit(0.0)))).otherwise(F.lit(0.0))
@@ -305,7 +344,7 @@ def risk_score(df: DataFrame, metadata: DataFrame) -> DataFrame:
     }
     scored = staged.withColumns(parts)
     base = sum((F.col(p) for p in list(parts)[1:]), F.col("deviation_score"))
-    extreme = (F.col("floor_rule") == "credit_spread") & (rank_in(F.col("_hist"), v) > 90)
+    extreme = spread & ((F.col("lt") + F.col("le") + 1) * F.lit(50.0) / F.col("_n") > 90)
     inverted = (F.col("floor_rule") == "inversion") & (v < 0)
     score = F.greatest(
         base, F.when(inverted, F.lit(80.0)).otherwise(F.lit(0.0)), F.when(extreme, F.lit(70.0)).otherwise(F.lit(0.0))
