@@ -13,7 +13,7 @@ from quarterdeck.plans.shapes import bank_panel, peer_groups
 
 SUBJECT = 1
 PEER = 2
-METRICS = [m for m in compare.SUMMARY_METRICS if m not in ("ROA", "ROE", "NIMY", "EEFFR")]
+METRICS = list(compare.SUMMARY_METRICS)
 NORM = [m for m in compare.NORMALIZED_TABLE]
 SWAPS = ["Norm_NCO_Rate", "Norm_Nonaccrual_Rate", "Norm_Delinquency_Rate", "Norm_ACL_Coverage", "Norm_Loan_Yield", "Norm_Provision_Rate"]
 RANGE = ["TTM_NCO_Rate", "Allowance_to_Gross_Loans_Rate", "RIC_CRE_ACL_Share"]

@@ -1,8 +1,9 @@
 """A subject entity against its peers, and the tables behind the report charts.
 
-Everything works on the latest period (or a few periods) and on an unpivoted allow-list of
-metrics; statistics combine on the map side and medians come from ``exact_quantile``, so no
-peer group is ever gathered whole.
+Everything works on the latest period (or a few periods) and on an allow-list of metrics. Rows stay
+wide: one aggregate per group has the statistics of all metrics, and only its few result rows are
+turned to one row per metric. Medians come from the counted ranges of ``quantile``, so no peer group is
+ever gathered whole.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from quarterdeck.functions.missing import present
 from quarterdeck.operators.flows import ENTITY, PERIOD, trailing_profile
-from quarterdeck.operators.quantile import exact_quantile
+from quarterdeck.operators.quantile import exact_quantile, exact_quantiles, select_ranks, sketch
 
 # Metric of the normalised view for a standard one.
 NORMALIZED_METRICS = {
@@ -40,6 +41,7 @@ NORMALIZED_TABLE = [
     "Norm_Delinquency_Rate", "Norm_SBL_Composition", "Norm_Fund_Finance_Composition", "Norm_Wealth_Resi_Composition",
     "Norm_CRE_Investment_Composition", "Norm_Exclusion_Pct",
 ]
+# Metrics without a good or bad side, and words that mark metrics better low.
 DESCRIPTIVE = [
     "ASSET", "LNLS", "Gross_Loans", "Norm_Gross_Loans", "SBL_Composition", "RIC_Resi_Loan_Share", "RIC_CRE_Loan_Share",
     "Norm_SBL_Composition", "Norm_Fund_Finance_Composition", "Norm_Wealth_Resi_Composition",
@@ -120,28 +122,25 @@ def performance_flag(metric: str = "metric", pct: str = "pct") -> Column:
     )
 
 
-def _group_values(
-    df: DataFrame, bridge: DataFrame, metrics: Sequence[str], substitute: Mapping[str, str], entity: str, period: str
-) -> DataFrame:
-    """Latest values as (group_key, use_normalized, metric, entity, value), normalised groups reading their own columns."""
-    now = latest(df, period)
-    have = set(df.columns)
-    metrics = present(df.columns, metrics)
-    swaps = {m: s for m, s in substitute.items() if m in metrics and s in have}
-    rows = melt(now, [entity], list(dict.fromkeys([*metrics, *swaps.values()])))
-    member_rows = rows.withColumnRenamed("metric", "_column").join(
-        bridge.select("group_key", "use_normalized", entity), entity
-    )
-    back = {s: m for m, s in swaps.items()}
-    # The reported name of a column depends on the regime: each is a short literal chain.
-    std = F.when(F.col("_column").isin(metrics), F.col("_column"))
-    swapped_out = [m for m in metrics if m in substitute]
-    norm = F.when(F.col("_column").isin([m for m in metrics if m not in swapped_out]), F.col("_column"))
-    for column, metric in back.items():
-        norm = F.when(F.col("_column") == column, F.lit(metric)).otherwise(norm)
-    return member_rows.withColumn("metric", F.when(F.col("use_normalized"), norm).otherwise(std)).filter(
-        F.col("metric").isNotNull()
-    )
+def _wide_members(df: DataFrame, bridge: DataFrame, metrics: Sequence[str], substitute: Mapping[str, str], keys: Sequence[str], entity: str) -> DataFrame:
+    """A row per group and member, with metric ``k`` as ``_x{k}``; groups on normalised values read the substitute's column."""
+    have, normal = set(df.columns), F.col("use_normalized")
+    number = lambda c: F.col(c).cast("double") if c in have else F.lit(None).cast("double")
+    used = list(dict.fromkeys(c for m in metrics for c in (m, substitute.get(m, m)) if c in have))
+    rows = df.select(entity, *used).join(bridge.select(*keys, entity), entity)
+    values = [F.when(normal, number(substitute[m])).otherwise(number(m)) if m in substitute else number(m) for m in metrics]
+    return rows.select(*keys, entity, *[v.alias(f"_x{k}") for k, v in enumerate(values)])
+
+
+def _by_metric(rows: DataFrame, keys: Sequence[str], metrics: Sequence[str], stats: Sequence[Column]) -> DataFrame:
+    """One row per group and metric with any value: ``metric``, ``median``, ``n`` and the fields of the metric's struct in ``stats``.
+
+    All metrics' statistics and the medians' brackets are one aggregate; ``rows`` is read three times in all.
+    """
+    names = [f"_x{k}" for k in range(len(metrics))]
+    found = select_ranks(rows, rows.groupBy(*keys).agg(sketch(names, extra=stats)), keys, names)
+    metric = F.array(*[F.lit(m) for m in metrics])[F.col("_i")]
+    return found.select(*keys, metric.alias("metric"), F.col("value").alias("median"), "n", "extra.*")
 
 
 def peer_comparison(
@@ -155,29 +154,32 @@ def peer_comparison(
 ) -> DataFrame:
     """Subject against every group at the latest period: count, mean, median, min, max, percentile, flag.
 
-    One row per (metric, group). The subject's own values are at most one per metric and
-    group regime, so they are joined by broadcast.
+    One row per (metric, group) with any value. Counts, sums, bounds, rank counts and the medians' brackets of all metrics
+    are one aggregate per group over wide rows. The subject is one row, read as a scalar.
     """
-    rows = _group_values(df, bridge, metrics, substitute, entity, period)
-    subject_row = latest(df, period).filter(F.col(entity) == subject)
-    own = melt(subject_row, [entity], list(dict.fromkeys([*metrics, *substitute.values()]))).select(
-        F.col("metric").alias("_column"), F.col("value").alias("subject_value")
-    )
-    scored = rows.join(F.broadcast(own), "_column", "left")
-    keys = ["metric", "group_key", "use_normalized"]
-    stats = scored.groupBy(*keys).agg(
-        F.count("value").alias("peer_count"),
-        F.avg("value").alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.max("subject_value").alias("subject_value"),
-        F.when(F.count("subject_value") > 0, percentile_rank("value", "subject_value")).alias("pct"),
-    )
-    medians = exact_quantile(rows, ["metric", "group_key"], "value").drop("n")
-    return (
-        stats.join(medians, ["metric", "group_key"])
-        .withColumn("performance_flag", performance_flag())
-        .select(*keys, "subject_value", "peer_count", "mean", "median", "min", "max", "pct", "performance_flag")
+    metrics = present(df.columns, metrics)
+    keys = ["group_key", "use_normalized"]
+    now = latest(df, period)
+    rows = _wide_members(now, bridge, metrics, substitute, keys, entity)
+    both = F.array(F.lit(False), F.lit(True))
+    own = _wide_members(now.filter(F.col(entity) == subject), now.sparkSession.range(1).select(F.explode(both).alias("use_normalized"), F.lit(subject).alias(entity)), metrics, substitute, ["use_normalized"], entity)
+    values = F.array(*[f"_x{k}" for k in range(len(metrics))])
+    own = own.agg(F.struct(*[F.first(F.when(F.col("use_normalized") == n, values), ignorenulls=True).alias(c) for c, n in (("std", False), ("norm", True))])).scalar()
+    rows = rows.withColumn("_own", F.when(F.col("use_normalized"), own["norm"]).otherwise(own["std"]))
+    parts = []
+    for k in range(len(metrics)):
+        v, s = F.col(f"_x{k}"), F.col("_own")[k]
+        parts.append(
+            F.struct(
+                F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"), F.first(s).alias("subject_value"),
+                F.count_if(v < s).alias("lt"), F.count_if(v <= s).alias("le"),
+            )
+        )
+    long = _by_metric(rows, keys, metrics, parts)
+    ranks = F.col("lt") + F.col("le") + F.when(F.col("le") > F.col("lt"), 1).otherwise(0)
+    long = long.withColumn("pct", F.when(F.col("subject_value").isNotNull(), ranks * F.lit(50.0) / F.col("n")))
+    return long.withColumn("performance_flag", performance_flag()).select(
+        "metric", *keys, "subject_value", F.col("n").alias("peer_count"), "mean", "median", "min", "max", "pct", "performance_flag"
     )
 
 
@@ -199,16 +201,20 @@ def peer_range(
     df: DataFrame, bridge: DataFrame, metrics: Sequence[str], entity: str = ENTITY, period: str = PERIOD
 ) -> DataFrame:
     """Range of each metric per group with the holders of the extremes (smallest id wins a tie)."""
-    rows = melt(latest(df, period), [entity], metrics).join(bridge.select("group_key", entity), entity)
-    stats = rows.groupBy("metric", "group_key").agg(
-        F.min("value").alias("lo"),
-        F.max("value").alias("hi"),
-        F.avg("value").alias("mean"),
-        F.count("value").alias("members"),
-        F.min(F.struct("value", entity))[entity].alias("lo_holder"),
-        F.min(F.struct((-F.col("value")).alias("v"), entity))[entity].alias("hi_holder"),
-    )
-    return stats.join(exact_quantile(rows, ["metric", "group_key"], "value").drop("n"), ["metric", "group_key"])
+    metrics = present(df.columns, metrics)
+    rows = _wide_members(latest(df, period), bridge, metrics, {}, ["group_key"], entity)
+    parts = []
+    for k in range(len(metrics)):
+        v, known = F.col(f"_x{k}"), F.col(f"_x{k}").isNotNull()
+        parts.append(
+            F.struct(
+                F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"),
+                F.min(F.when(known, F.struct(v.alias("v"), entity)))[entity].alias("lo_holder"),
+                F.min(F.when(known, F.struct((-v).alias("v"), entity)))[entity].alias("hi_holder"),
+            )
+        )
+    found = _by_metric(rows, ["group_key"], metrics, parts).withColumnRenamed("n", "members")
+    return found.select("metric", "group_key", "lo", "hi", "mean", "members", "lo_holder", "hi_holder", "median")
 
 
 def kri_ranges(
@@ -263,6 +269,7 @@ POLARITY = {
     "RIC_CRE_ACL_Coverage": "favorable",
     "Liquidity_Ratio": "favorable",
 }
+# The heat map's group of each metric, and the groups' order.
 METRIC_GROUPS = {
     "TTM_NCO_Rate": "Credit Quality",
     "Nonaccrual_to_Gross_Loans_Rate": "Credit Quality",
@@ -471,7 +478,7 @@ def outliers(
 
 def quadrants(df: DataFrame, x: str, y: str, labels: Sequence[str] = ("high_high", "high_low", "low_high", "low_low")) -> DataFrame:
     """Label each row by its side of the two medians (on the median counts as high)."""
-    middles = exact_quantile(melt(df, [], [x, y]), ["metric"], "value")
+    middles = exact_quantiles(df, [], [x, y])
     pair = middles.agg(
         F.struct(*[F.max(F.when(F.col("metric") == c, F.col("median"))).alias(n) for c, n in ((x, "x"), (y, "y"))])
     ).scalar()

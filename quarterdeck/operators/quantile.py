@@ -1,67 +1,120 @@
-"""Exact quantiles that never gather a whole group in one task."""
+"""Exact quantiles of any number of columns, by counted ranges; no group is gathered in one task.
+
+One path for groups of every size, in aggregates that combine on the map side:
+
+1. a sketch of every column brackets the rank (:func:`sketch`; it can share an aggregate with other statistics);
+2. exact counts under and up to the bracket tell whether the rank lies inside; a side where it does not goes out to the column's end;
+3. only the values in the bracket are listed, equal ones once. They are counted in ``CELLS`` ranges of value, a running sum over the
+   ranges of a group finds those that hold the rank, and only their values are ordered.
+
+Ranks are counted on all rows, so the result does not depend on how good the sketch was, only the number of values listed does.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 ACCURACY = 10000
+CELLS = 1024
 
 
-def exact_quantile(
-    df: DataFrame, keys: Sequence[str], value: str, prob: float = 0.5, out: str = "median", accuracy: int = ACCURACY
-) -> DataFrame:
-    """Interpolated quantile of ``value`` per key, exact, for groups of any size.
+def sketch(values: Sequence[str], prob: float = 0.5, accuracy: int = ACCURACY, extra: Sequence[Column] | None = None) -> Column:
+    """The aggregate ``_sketch`` from which :func:`select_ranks` goes on: per column its count, ends and a bracket of the rank.
 
-    The built-in exact percentile holds every distinct value of a group in one buffer. Here
-    an approximate sketch first brackets the rank; rows below the bracket collapse into one
-    count, rows above it are dropped, and only the distinct values inside the bracket (a few
-    per ``accuracy``-th of the group) meet in one window. Ranks are counted on all rows, so
-    the result is exact. Returns ``keys``, ``out`` and ``n``.
+    ``extra`` has an aggregate (a struct, say) for each column, which comes along to the result.
     """
-    keys = list(keys)
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
-    # The sketch is off by at most n / accuracy ranks. Below ``whole`` rows ten times that is under
-    # two ranks, too little for both neighbours, so such small groups are taken as they are.
     margin = 10.0 / accuracy
-    whole = int(2 / margin)
-    lo, hi = max(0.0, prob - margin), min(1.0, prob + margin)
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_x", [lo, hi], accuracy).alias("_b"),
-        F.min("_x").alias("_min"),
-        F.max("_x").alias("_max"),
-    )
-    sketch = sketch.select(
-        *keys,
-        "n",
-        F.when((F.col("n") < whole) | F.lit(lo == 0), F.col("_min")).otherwise(F.col("_b")[0]).alias("_lo"),
-        F.when((F.col("n") < whole) | F.lit(hi == 1), F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"),
-    )
-    if keys:
-        # <=> keeps NULL keys; the sketch has one row per key, AQE broadcasts it when small.
-        s = sketch.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "n", "_lo", "_hi")
-        match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-        inside = rows.join(s, match)
-    else:
-        bounds = sketch.select(F.struct("n", "_lo", "_hi")).scalar()
-        inside = rows.withColumns({c: bounds[c] for c in ("n", "_lo", "_hi")})
-    inside = inside.filter(F.col("_x") <= F.col("_hi")).withColumn(
-        "_x", F.when(F.col("_x") < F.col("_lo"), F.lit(float("-inf"))).otherwise(F.col("_x"))
-    )
-    counts = inside.groupBy(*keys, "n", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    running = counts.withColumn(
-        "_cum", F.sum("_c").over(W.partitionBy(*keys).orderBy("_x").rowsBetween(W.unboundedPreceding, 0))
-    )
-    pos = F.lit(prob) * (F.col("n") - 1)
-    ends = running.groupBy(*keys, "n").agg(
-        F.min(F.when(F.col("_cum") > F.floor(pos), F.col("_x"))).alias("_v0"),
-        F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_x"))).alias("_v1"),
+    bracket = [max(0.0, prob - margin), min(1.0, prob + margin)]
+    parts = []
+    for i, v in enumerate(values):
+        q = F.percentile_approx(v, bracket, accuracy)
+        more = [] if extra is None else [extra[i].alias("extra")]
+        parts.append(F.struct(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), q[0].alias("lo"), q[1].alias("hi"), *more))
+    return F.array(*parts).alias("_sketch")
+
+
+def _with(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row with its group's row of ``side``. NULL is a key like any other; AQE broadcasts the side where it is small."""
+    if not keys:
+        return rows.crossJoin(F.broadcast(side))  # one row
+    other = side.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in side.columns if c not in keys])
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return rows.join(other, match).drop(*[f"_k_{k}" for k in keys])
+
+
+def select_ranks(rows: DataFrame, sketched: DataFrame, keys: Sequence[str], values: Sequence[str], prob: float = 0.5) -> DataFrame:
+    """``keys, _i, value, n`` (and ``extra``): the interpolated quantile of the column at place ``_i``, for columns with any value.
+
+    ``sketched`` has one row per key with ``_sketch``. ``rows`` is read twice.
+    """
+    keys = list(keys)
+    extra = ["extra"] if "extra" in sketched.schema["_sketch"].dataType.elementType.names else []
+    bounds = sketched.select(*keys, "_sketch")
+    every = range(len(values))
+    item = lambda i, f: F.col("_sketch")[i][f]
+    counts = _with(rows.select(*keys, *values), bounds, keys).groupBy(*keys).agg(
+        F.first("_sketch").alias("_sketch"),
+        F.array(*[F.count_if(F.col(v) < item(i, "lo")) for i, v in enumerate(values)]).alias("_under"),
+        F.array(*[F.count_if(F.col(v) <= item(i, "hi")) for i, v in enumerate(values)]).alias("_upto"),
     )
-    return ends.select(
-        *keys,
-        (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (pos - F.floor(pos))).alias(out),
-        "n",
+
+    def chosen(i: int) -> Column:
+        n, under = item(i, "n"), F.col("_under")[i]
+        pos = F.lit(prob) * (n - 1)
+        first, last = F.floor(pos), F.ceil(pos)
+        below, above = first < under, last >= F.col("_upto")[i]
+        return F.struct(
+            n.alias("n"),
+            first.alias("first"),
+            last.alias("last"),
+            (pos - first).alias("share"),
+            F.when(below, item(i, "min")).otherwise(item(i, "lo")).alias("low"),
+            F.when(above, item(i, "max")).otherwise(item(i, "hi")).alias("high"),
+            F.when(below, F.lit(0)).otherwise(under).alias("under"),
+            *[item(i, e).alias(e) for e in extra],
+        )
+
+    ranges = counts.select(*keys, F.array(*[chosen(i) for i in every]).alias("_range"))
+    inside = lambda i, v: F.col(v).between(F.col("_range")[i]["low"], F.col("_range")[i]["high"])
+    listed = [F.when(inside(i, v), F.struct(F.lit(i).alias("i"), F.col(v).alias("x"), F.col("_range")[i].alias("range"))) for i, v in enumerate(values)]
+    near = _with(rows.select(*keys, *values), ranges, keys).select(*keys, F.explode(F.array_compact(F.array(*listed))).alias("_e"))
+    near = near.groupBy(*keys, F.col("_e.i").alias("_i"), F.col("_e.x").alias("_x"), F.col("_e.range").alias("_range")).agg(F.count(F.lit(1)).alias("_c"))
+    low, width = F.col("_range.low"), F.col("_range.high") - F.col("_range.low")
+    cell = F.least(F.floor((F.col("_x") - low) / width * CELLS), F.lit(CELLS - 1))
+    near = near.withColumn("_cell", F.when(F.isnan("_x"), CELLS - 1).when((width > 0) & (width < float("inf")), cell).otherwise(0))
+    group = [*keys, "_i"]
+    sizes = near.groupBy(*group, "_range", "_cell").agg(F.sum("_c").alias("_size"))
+    upto = F.sum("_size").over(W.partitionBy(*group).orderBy("_cell").rowsBetween(W.unboundedPreceding, 0))
+    sizes = sizes.withColumn("_end", F.col("_range.under") + upto)
+    held = (F.col("_end") > F.col("_range.first")) & (F.col("_end") - F.col("_size") <= F.col("_range.last"))
+    wanted = sizes.filter(held).select(*group, "_cell", (F.col("_end") - F.col("_size")).alias("_before"))
+    picked = _with(near, wanted, [*group, "_cell"])
+    inside_cell = W.partitionBy(*group, "_cell").orderBy("_x").rowsBetween(W.unboundedPreceding, 0)
+    ranked = picked.withColumn("_cum", F.col("_before") + F.sum("_c").over(inside_cell))
+    ends = ranked.groupBy(*group).agg(
+        F.first("_range").alias("_range"),
+        F.min(F.when(F.col("_cum") > F.col("_range.first"), F.col("_x"))).alias("_v0"),
+        F.min(F.when(F.col("_cum") > F.col("_range.last"), F.col("_x"))).alias("_v1"),
     )
+    between = F.when(F.col("_v0") == F.col("_v1"), F.col("_v0")).otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_range.share"))
+    return ends.select(*group, between.alias("value"), F.col("_range.n").alias("n"), *[f"_range.{e}" for e in extra])
+
+
+def _quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], prob: float, accuracy: int) -> DataFrame:
+    names = [f"_x{i}" for i in range(len(values))]
+    rows = df.select(*keys, *[F.col(v).cast("double").alias(x) for v, x in zip(values, names)])
+    return select_ranks(rows, rows.groupBy(*keys).agg(sketch(names, prob, accuracy)), keys, names, prob)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], prob: float = 0.5, out: str = "median", accuracy: int = ACCURACY) -> DataFrame:
+    """Interpolated quantile of every column of ``values`` per key: ``keys, metric, out, n``; no row for a column without values."""
+    metric = F.array(*[F.lit(v) for v in values])[F.col("_i")]
+    return _quantiles(df, keys, values, prob, accuracy).select(*keys, metric.alias("metric"), F.col("value").alias(out), "n")
+
+
+def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, prob: float = 0.5, out: str = "median", accuracy: int = ACCURACY) -> DataFrame:
+    """Interpolated quantile of one column per key: ``keys, out, n``."""
+    return _quantiles(df, keys, [value], prob, accuracy).select(*keys, F.col("value").alias(out), "n")

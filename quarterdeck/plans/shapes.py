@@ -17,6 +17,7 @@ LINE_MEASURES = {
     "f": "cast(round(l_extendedprice * 100) as bigint) * cast(round(l_discount * 100) as bigint)",
     "t": "cast(round(l_extendedprice * 100) as bigint) * cast(round(l_tax * 100) as bigint)",
     "q": "cast(l_quantity as bigint) * 10000000",
+    "p": "cast(l_quantity as bigint)",  # small numbers, for fields in percent
 }
 
 # panel column: (measure, predicate). Codes are public call-report and FDIC field names.
@@ -91,6 +92,11 @@ STOCK_FIELDS = {
     "P9CRCD": ("f", "l_linenumber = 7 and l_returnflag = 'A' and l_linestatus = 'F'"),
     "P9LNLS": ("f", "l_returnflag = 'A' and l_linestatus = 'F' and l_quantity > 10"),
     "P9ASTOT": ("f", "l_returnflag = 'A' and l_linestatus = 'F'"),
+    # supplied as they are, not derived
+    "ROA": ("p", "l_linenumber = 1 and l_quantity > 30"),
+    "ROE": ("p", "l_linenumber = 2 and l_quantity > 30"),
+    "NIMY": ("p", "l_linenumber = 3 and l_quantity < 15"),
+    "EEFFR": ("p", "l_linenumber = 4 and l_quantity < 15"),
 }
 
 # Quarter flows; the panel carries them as running totals within the year.

@@ -7,8 +7,10 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from quarterdeck.operators import compare, composite, heal, normalize, ratios
-from quarterdeck.operators.quantile import exact_quantile
+from quarterdeck.operators import compare, composite, heal, normalize, quantile, ratios
+from quarterdeck.operators.quantile import exact_quantile, exact_quantiles
+
+from plan_nodes import ran
 
 DAY = dt.date(2024, 3, 31)
 
@@ -80,6 +82,91 @@ def test_exact_quantile_against_brute_force(spark, prob):
         assert got["hot"][0] == statistics.median(v for k, v in rows if k == "hot")
 
 
+@pytest.mark.parametrize("bracket", [(0.9, 0.95), (0.05, 0.1), (0.6, 0.4)])
+def test_a_bracket_that_misses_is_widened(spark, monkeypatch, bracket):
+    """The rank is found by exact counts, wherever the sketch points."""
+    real = F.percentile_approx
+    monkeypatch.setattr(quantile.F, "percentile_approx", lambda v, probs, accuracy: real(v, list(bracket), accuracy))
+    rng = random.Random(6)
+    values = {"a": [rng.gauss(0, 9) for _ in range(3001)], "b": [float(rng.randint(0, 3)) for _ in range(500)], "c": [2.0], "d": [1.0, 5.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k string, v double")
+    for prob in (0.5, 0.1):
+        for r in exact_quantile(df, ["k"], "v", prob).collect():
+            vs = sorted(values[r["k"]])
+            pos = prob * (len(vs) - 1)
+            lo, hi = vs[int(pos)], vs[min(int(pos) + 1, len(vs) - 1)]
+            assert (r["median"], r["n"]) == (pytest.approx(lo + (hi - lo) * (pos - int(pos))), len(vs))
+
+
+def test_quantiles_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("i", -inf), ("i", 1.0), ("i", inf), ("n", 1.0), ("n", nan), ("n", 3.0), ("w", -1e308), ("w", 1e308), ("w", 5.0), ("none", None), ("t", 7.0), ("t", 7.0), ("t", 7.0), ("t", 9.0)]
+    df = spark.createDataFrame(rows, "metric string, v double")
+    got = {r["metric"]: r["median"] for r in exact_quantile(df, ["metric"], "v").collect()}
+    assert got == {"i": 1.0, "n": 3.0, "w": 5.0, "t": 7.0}
+    assert [tuple(r) for r in exact_quantiles(df.filter("metric = 't'"), [], ["v", "v"]).collect()] == [("v", 7.0, 4)] * 2
+    assert exact_quantile(df.filter("false"), ["metric"], "v").count() == 0 and exact_quantiles(df.filter("false"), [], ["v"]).count() == 0
+
+
+def test_quantile_lists_few_values_and_orders_them_in_many_ranges(spark):
+    """Of 200 000 values of one group some hundreds are listed, and no window holds them all."""
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("v"))
+    got = exact_quantile(df, [], "v", 0.5)
+    values = sorted(i * 7919 % 200_003 for i in range(200_000))
+    assert got.first()["median"] == (values[99_999] + values[100_000]) / 2
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and all("_cell" in line for line in windows)
+
+
+def wide_panel(spark, n=60):
+    rng = random.Random(8)
+    columns = {m: [rng.choice([None, float(rng.randint(0, 9)), rng.uniform(-5, 5)]) for _ in range(n)] for m in compare.SUMMARY_METRICS}
+    columns |= {s: [rng.choice([None, rng.uniform(0, 1)]) for _ in range(n)] for s in compare.NORMALIZED_METRICS.values()}
+    rows = [(i, DAY, *[columns[c][i] for c in columns]) for i in range(n)] + [(1, dt.date(2020, 3, 31), *[99.0] * len(columns))]
+    panel = spark.createDataFrame(rows, "CERT long, REPDTE date, " + ", ".join(f"{c} double" for c in columns))
+    bridge = spark.createDataFrame([(g, i, g == "N") for g in ("A", "N") for i in range(n) if g == "A" or i % 3 == 0], "group_key string, CERT long, use_normalized boolean")
+    return columns, panel, bridge
+
+
+def test_comparison_of_all_metrics(spark):
+    columns, panel, bridge = wide_panel(spark)
+    got = {(r["metric"], r["group_key"]): r for r in compare.peer_comparison(panel, bridge, 3).collect()}
+    ranges = {(r["metric"], r["group_key"]): r for r in compare.peer_range(panel, bridge, compare.SUMMARY_METRICS).collect()}
+    assert len(compare.SUMMARY_METRICS) == 23 and {m for m, _ in got} == set(compare.SUMMARY_METRICS)
+    for metric in compare.SUMMARY_METRICS:
+        for group in ("A", "N"):
+            members = [i for i in range(60) if group == "A" or i % 3 == 0]
+            source = columns[compare.NORMALIZED_METRICS.get(metric, metric) if group == "N" else metric]
+            vs, s, r = [source[i] for i in members if source[i] is not None], source[3], got[metric, group]
+            assert (r["peer_count"], r["min"], r["max"], r["subject_value"]) == (len(vs), min(vs), max(vs), s)
+            assert r["mean"] == pytest.approx(statistics.fmean(vs)) and r["median"] == pytest.approx(statistics.median(vs))
+            lt, le = sum(v < s for v in vs) if s is not None else 0, sum(v <= s for v in vs) if s is not None else 0
+            assert r["pct"] == (None if s is None else pytest.approx((lt + le + (le > lt)) * 50 / len(vs)))
+            plain = [(columns[metric][i], i) for i in members if columns[metric][i] is not None]
+            q = ranges[metric, group]
+            assert (q["lo"], q["lo_holder"], q["hi"], q["members"]) == (*min(plain), max(plain)[0], len(plain))
+            assert q["hi_holder"] == min(i for v, i in plain if v == q["hi"])
+
+
+def test_comparison_reads_its_panel_a_fixed_number_of_times(spark, folder):
+    """One exchange has all statistics of all metrics; scans and exchanges do not grow with the number of metrics."""
+    _, panel, bridge = wide_panel(spark)
+    panel.write.parquet(f"{folder}/p")
+    bridge.write.parquet(f"{folder}/b")
+    plans = []
+    for metrics in (compare.SUMMARY_METRICS[:2], compare.SUMMARY_METRICS):
+        df = compare.peer_comparison(spark.read.parquet(f"{folder}/p"), spark.read.parquet(f"{folder}/b"), 3, metrics)
+        df.collect()
+        plans.append(ran(df))
+    # the panel for the aggregate, the counts and the values in the brackets; nothing grows with the number of metrics
+    scans = [[t for n, t in p if n.startswith("Scan parquet") and "CERT" in t and "REPDTE" in t] for p in plans]
+    assert len(scans[0]) == len(scans[1]) <= 3
+    assert len({sum(n == "Exchange" for n, _ in p) for p in plans}) == 1
+    stats = [t for _, t in plans[1] if "Aggregate(" in t and "avg(" in t]
+    assert len(stats) == 2 and all(t.count("percentile_approx(") == 23 and t.count("avg(") == 23 for t in stats)  # partial and final
+
+
 def test_percentile_of_score(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (3.0,), (4.0,)], "v double").withColumn("s", F.lit(3.0))
     assert df.agg(compare.percentile_rank("v", "s").alias("p")).first()["p"] == 70.0
