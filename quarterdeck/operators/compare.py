@@ -132,7 +132,7 @@ def _wide_members(df: DataFrame, bridge: DataFrame, metrics: Sequence[str], subs
     return rows.select(*keys, entity, *[v.alias(f"_x{k}") for k, v in enumerate(values)])
 
 
-def _by_metric(rows: DataFrame, keys: Sequence[str], metrics: Sequence[str], stats: Sequence[Column]) -> DataFrame:
+def _by_metric(rows: DataFrame, keys: Sequence[str], metrics: Sequence[str], stats: Sequence[str]) -> DataFrame:
     """One row per group and metric with any value: ``metric``, ``median``, ``n`` and the fields of the metric's struct in ``stats``.
 
     All metrics' statistics and the medians' brackets are one aggregate; ``rows`` is read three times in all.
@@ -166,15 +166,11 @@ def peer_comparison(
     values = F.array(*[f"_x{k}" for k in range(len(metrics))])
     own = own.agg(F.struct(*[F.first(F.when(F.col("use_normalized") == n, values), ignorenulls=True).alias(c) for c, n in (("std", False), ("norm", True))])).scalar()
     rows = rows.withColumn("_own", F.when(F.col("use_normalized"), own["norm"]).otherwise(own["std"]))
-    parts = []
-    for k in range(len(metrics)):
-        v, s = F.col(f"_x{k}"), F.col("_own")[k]
-        parts.append(
-            F.struct(
-                F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"), F.first(s).alias("subject_value"),
-                F.count_if(v < s).alias("lt"), F.count_if(v <= s).alias("le"),
-            )
-        )
+    parts = [
+        f"named_struct('mean', avg(_x{k}), 'min', min(_x{k}), 'max', max(_x{k}), 'subject_value', first(_own[{k}]),"
+        f" 'lt', count_if(_x{k} < _own[{k}]), 'le', count_if(_x{k} <= _own[{k}]))"
+        for k in range(len(metrics))
+    ]
     long = _by_metric(rows, keys, metrics, parts)
     ranks = F.col("lt") + F.col("le") + F.when(F.col("le") > F.col("lt"), 1).otherwise(0)
     long = long.withColumn("pct", F.when(F.col("subject_value").isNotNull(), ranks * F.lit(50.0) / F.col("n")))
@@ -203,16 +199,12 @@ def peer_range(
     """Range of each metric per group with the holders of the extremes (smallest id wins a tie)."""
     metrics = present(df.columns, metrics)
     rows = _wide_members(latest(df, period), bridge, metrics, {}, ["group_key"], entity)
-    parts = []
-    for k in range(len(metrics)):
-        v, known = F.col(f"_x{k}"), F.col(f"_x{k}").isNotNull()
-        parts.append(
-            F.struct(
-                F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"),
-                F.min(F.when(known, F.struct(v.alias("v"), entity)))[entity].alias("lo_holder"),
-                F.min(F.when(known, F.struct((-v).alias("v"), entity)))[entity].alias("hi_holder"),
-            )
-        )
+    holder = "min(if(_x{k} is null, null, named_struct('v', {sign}_x{k}, 'e', `{entity}`))).e"
+    parts = [
+        f"named_struct('lo', min(_x{k}), 'hi', max(_x{k}), 'mean', avg(_x{k}),"
+        f" 'lo_holder', {holder.format(k=k, sign='', entity=entity)}, 'hi_holder', {holder.format(k=k, sign='-', entity=entity)})"
+        for k in range(len(metrics))
+    ]
     found = _by_metric(rows, ["group_key"], metrics, parts).withColumnRenamed("n", "members")
     return found.select("metric", "group_key", "lo", "hi", "mean", "members", "lo_holder", "hi_holder", "median")
 

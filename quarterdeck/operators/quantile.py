@@ -21,19 +21,24 @@ ACCURACY = 10000
 CELLS = 1024
 
 
-def sketch(values: Sequence[str], prob: float = 0.5, accuracy: int = ACCURACY, extra: Sequence[Column] | None = None) -> Column:
+def bracket(prob: float, accuracy: int = ACCURACY) -> tuple[float, float]:
+    """The shares between which the sketch is asked for the rank."""
+    margin = 10.0 / accuracy
+    return max(0.0, prob - margin), min(1.0, prob + margin)
+
+
+def sketch(values: Sequence[str], prob: float = 0.5, accuracy: int = ACCURACY, extra: Sequence[str] | None = None) -> Column:
     """The aggregate ``_sketch`` from which :func:`select_ranks` goes on: per column its count, ends and a bracket of the rank.
 
-    ``extra`` has an aggregate (a struct, say) for each column, which comes along to the result.
+    ``extra`` has an aggregate (SQL text, of a struct, say) for each column, which comes along to the result.
     """
-    margin = 10.0 / accuracy
-    bracket = [max(0.0, prob - margin), min(1.0, prob + margin)]
-    parts = []
-    for i, v in enumerate(values):
-        q = F.percentile_approx(v, bracket, accuracy)
-        more = [] if extra is None else [extra[i].alias("extra")]
-        parts.append(F.struct(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), q[0].alias("lo"), q[1].alias("hi"), *more))
-    return F.array(*parts).alias("_sketch")
+    low, high = bracket(prob, accuracy)
+    part = "named_struct('n', count({v}), 'min', min({v}), 'max', max({v}), 'lo', {q}[0], 'hi', {q}[1]{more})"
+    parts = [
+        part.format(v=v, q=f"percentile_approx({v}, array({low}D, {high}D), {accuracy})", more="" if extra is None else f", 'extra', {extra[i]}")
+        for i, v in enumerate(values)
+    ]
+    return F.expr(f"array({', '.join(parts)})").alias("_sketch")
 
 
 def _with(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,36 +56,17 @@ def select_ranks(rows: DataFrame, sketched: DataFrame, keys: Sequence[str], valu
     ``sketched`` has one row per key with ``_sketch``. ``rows`` is read twice.
     """
     keys = list(keys)
-    extra = ["extra"] if "extra" in sketched.schema["_sketch"].dataType.elementType.names else []
-    bounds = sketched.select(*keys, "_sketch")
-    every = range(len(values))
-    item = lambda i, f: F.col("_sketch")[i][f]
-    counts = _with(rows.select(*keys, *values), bounds, keys).groupBy(*keys).agg(
-        F.first("_sketch").alias("_sketch"),
-        F.array(*[F.count_if(F.col(v) < item(i, "lo")) for i, v in enumerate(values)]).alias("_under"),
-        F.array(*[F.count_if(F.col(v) <= item(i, "hi")) for i, v in enumerate(values)]).alias("_upto"),
-    )
-
-    def chosen(i: int) -> Column:
-        n, under = item(i, "n"), F.col("_under")[i]
-        pos = F.lit(prob) * (n - 1)
-        first, last = F.floor(pos), F.ceil(pos)
-        below, above = first < under, last >= F.col("_upto")[i]
-        return F.struct(
-            n.alias("n"),
-            first.alias("first"),
-            last.alias("last"),
-            (pos - first).alias("share"),
-            F.when(below, item(i, "min")).otherwise(item(i, "lo")).alias("low"),
-            F.when(above, item(i, "max")).otherwise(item(i, "hi")).alias("high"),
-            F.when(below, F.lit(0)).otherwise(under).alias("under"),
-            *[item(i, e).alias(e) for e in extra],
-        )
-
-    ranges = counts.select(*keys, F.array(*[chosen(i) for i in every]).alias("_range"))
-    inside = lambda i, v: F.col(v).between(F.col("_range")[i]["low"], F.col("_range")[i]["high"])
-    listed = [F.when(inside(i, v), F.struct(F.lit(i).alias("i"), F.col(v).alias("x"), F.col("_range")[i].alias("range"))) for i, v in enumerate(values)]
-    near = _with(rows.select(*keys, *values), ranges, keys).select(*keys, F.explode(F.array_compact(F.array(*listed))).alias("_e"))
+    extra = "extra" in sketched.schema["_sketch"].dataType.elementType.names
+    rows, bounds = rows.select(*keys, *values), sketched.select(*keys, "_sketch")
+    counted = [F.expr(f"array({', '.join(f'count_if({v} {test.format(i)})' for i, v in enumerate(values))})") for test in ("< _sketch[{0}].lo", "<= _sketch[{0}].hi")]
+    counts = _with(rows, bounds, keys).groupBy(*keys).agg(F.first("_sketch").alias("s"), counted[0].alias("u"), counted[1].alias("t"))
+    first, last = "cast(floor({p}D * (z.s.n - 1)) as bigint)".format(p=prob), "cast(ceil({p}D * (z.s.n - 1)) as bigint)".format(p=prob)
+    chosen = f"""transform(arrays_zip(s, u, t), z -> named_struct('n', z.s.n, 'first', {first}, 'last', {last},
+        'share', {prob}D * (z.s.n - 1) - {first}, 'low', if({first} < z.u, z.s.min, z.s.lo), 'high', if({last} >= z.t, z.s.max, z.s.hi),
+        'under', if({first} < z.u, 0L, z.u){", 'extra', z.s.extra" if extra else ""}))"""
+    ranges = counts.select(*keys, F.expr(chosen).alias("_range"))
+    listed = [f"if({v} between _range[{i}].low and _range[{i}].high, named_struct('i', {i}, 'x', {v}, 'range', _range[{i}]), null)" for i, v in enumerate(values)]
+    near = _with(rows, ranges, keys).select(*keys, F.expr(f"explode(array_compact(array({', '.join(listed)})))").alias("_e"))
     near = near.groupBy(*keys, F.col("_e.i").alias("_i"), F.col("_e.x").alias("_x"), F.col("_e.range").alias("_range")).agg(F.count(F.lit(1)).alias("_c"))
     low, width = F.col("_range.low"), F.col("_range.high") - F.col("_range.low")
     cell = F.least(F.floor((F.col("_x") - low) / width * CELLS), F.lit(CELLS - 1))
@@ -100,7 +86,7 @@ def select_ranks(rows: DataFrame, sketched: DataFrame, keys: Sequence[str], valu
         F.min(F.when(F.col("_cum") > F.col("_range.last"), F.col("_x"))).alias("_v1"),
     )
     between = F.when(F.col("_v0") == F.col("_v1"), F.col("_v0")).otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_range.share"))
-    return ends.select(*group, between.alias("value"), F.col("_range.n").alias("n"), *[f"_range.{e}" for e in extra])
+    return ends.select(*group, between.alias("value"), F.col("_range.n").alias("n"), *(["_range.extra"] if extra else []))
 
 
 def _quantiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], prob: float, accuracy: int) -> DataFrame:
