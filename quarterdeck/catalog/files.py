@@ -22,6 +22,37 @@ def typed_csv(spark, sf):
     return df.select(F.col("LOAN_ID").cast("long").alias("LOAN_ID"), "FACILITY_ID", "IS_LAL_NFP", "SBL_PERC", "CREDIT_LII", "BALANCE", "BOOK_DATE")
 
 
+def _written(rows, path):
+    """Lines ``line`` as text files, one for each ``part``, in order of ``at``."""
+    rows.repartition("part").sortWithinPartitions("part", "at").select("part", "line").write.partitionBy("part").text(path)
+    return path
+
+
+_TITLES = ["Extract, as of", "", "Key,Customer,Comment"]
+_HEAD = "Key,Customer,Comment"
+
+
+def titled_extract(spark, sf):
+    """Customers' orders behind titles, in several files: cells with line breaks, commas and quotes, and rows equal to title and header."""
+    orders = table(spark, sf, "orders").select(F.pmod("o_orderkey", F.lit(5)).alias("part"), F.col("o_orderkey").alias("at"), F.expr("""concat_ws(',', o_orderkey, concat('"C, ', o_custkey, '"'),
+        case o_orderstatus when 'O' then concat('"', o_orderpriority, '\\n', '""', o_custkey, '""', '\\n\\nend"') when 'F' then o_orderpriority else '' end)""").alias("line"))
+    heads = spark.range(5).select(F.col("id").alias("part"), F.posexplode(F.array(*[F.lit(x) for x in [*_TITLES, _HEAD, _HEAD, _TITLES[0]]])).alias("at", "line"))
+    path = _written(orders.unionByName(heads.withColumn("at", F.col("at").cast("long") - 10)), scratch_path(spark, "titled"))
+    df = delimited.read_extract(spark, path, skip_rows=3)
+    return df.select("Key", "Customer", "Comment")
+
+
+def schedule_cells(spark, sf):
+    """Schedules by return flag: codes, descriptions, quoted numbers with thousands commas, cells that are no numbers."""
+    lines = table(spark, sf, "lineitem").groupBy("l_returnflag", "l_orderkey").pivot("l_linenumber", [1, 2, 3]).agg(F.max(F.floor("l_extendedprice")))
+    cell = lambda k: F.coalesce(F.concat(F.lit('"'), F.format_number(F.col(str(k)), 0), F.lit('"')), F.lit("n/a"))
+    rows = lines.select(F.col("l_returnflag").alias("part"), F.col("l_orderkey").alias("at"), F.concat_ws("\t", F.concat(F.lit('"'), "l_orderkey", F.lit('"')), cell(1), cell(2), cell(3)).alias("line"))
+    head = F.array(F.lit('"IDRSSD"\tRCFD1\t"RCFD2"\trcfd3'), F.lit("id\tone\ttwo\tthree"))
+    heads = lines.select(F.col("l_returnflag").alias("part")).distinct().select("part", F.posexplode(head).alias("at", "line"))
+    path = _written(rows.unionByName(heads.withColumn("at", F.col("at").cast("long") - 10)), scratch_path(spark, "schedules"))
+    return delimited.parse_schedule(spark, path)
+
+
 def tagged_sink(spark, sf):
     """The tagged extract written as CSV and loaded again."""
     path = scratch_path(spark, "tagged")
@@ -111,6 +142,8 @@ def event_text_documents(spark, sf):
 
 QUERIES = {
     "typed_csv": typed_csv,
+    "titled_extract": titled_extract,
+    "schedule_cells": schedule_cells,
     "tagged_sink": tagged_sink,
     "quarter_cache": quarter_cache,
     "result_tables": result_tables,
@@ -132,6 +165,9 @@ def clock(i):
 
 
 ORACLES = {
+    "titled_extract": """select cast(o_orderkey as varchar) as Key, 'C, ' || o_custkey as Customer, case o_orderstatus when 'O' then o_orderpriority || chr(10) || '"' || o_custkey || '"' || chr(10) || chr(10) || 'end'
+        when 'F' then o_orderpriority end as Comment from orders union all select 'Key', 'Customer', 'Comment' from range(5) union all select 'Extract', ' as of', null from range(5)""",
+    "schedule_cells": "select l_orderkey as IDRSSD, 'RCFD' || l_linenumber as code, max(floor(l_extendedprice))::double as value from lineitem where l_linenumber <= 3 group by l_returnflag, l_orderkey, l_linenumber",
     "typed_csv": with_ctes(
         "select LOAN_ID, FACILITY_ID, case lower(IS_LAL_NFP) when 'true' then true when '1' then true when 'false' then false end as IS_LAL_NFP, try_cast(SBL_PERC as double) as SBL_PERC, try_cast(CREDIT_LII as double) as CREDIT_LII, try_cast(BALANCE as double) as BALANCE, BOOK_DATE from extract", "extract"
     ),

@@ -4,35 +4,65 @@ from __future__ import annotations
 
 import csv
 from typing import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from quarterdeck.sources import lines
 
-def head_lines(spark: SparkSession, path: str, n: int) -> list[str]:
-    """The first ``n`` lines of one file; at most ``n`` rows reach the driver."""
-    return [r[0] for r in spark.read.text(path).limit(n).collect()]
 
+def head_record(spark: SparkSession, path: str, skip_rows: int, sep: str, quoted: bool = True) -> tuple[list[str], int]:
+    """The cells of the first record with text after ``skip_rows`` records, and the number of the line after it.
 
-def body_lines(spark: SparkSession, path: str, head: Sequence[str]) -> DataFrame:
-    """All lines of one file but its head, read in splits.
-
-    A text scan has no line numbers, so head lines are recognised by their text - in the
-    file's first block only, where they must be.
+    Read from the start of the first file, whose splits are in order; only as many lines as that takes reach the driver.
     """
-    lines = spark.read.text(path).withColumn("_start", F.col("_metadata.file_block_start"))
-    is_head = (F.col("_start") == 0) & F.col("value").isin([h for h in head if h.strip()])
-    return lines.filter(~is_head & (F.trim("value") != "")).select("value")
-
-
-def read_extract(spark: SparkSession, path: str, skip_rows: int = 0, sep: str = ",") -> DataFrame:
-    """A delimited extract with a header, every column a string. Title rows before the header are skipped."""
-    if skip_rows == 0:
+    files = sorted(spark.read.text(path, recursiveFileLookup=True).inputFiles())
+    if not files:
+        return [], 0
+    first = spark.read.text(unquote(files[0]))
+    wanted = skip_rows + 20
+    while True:
+        start = [r[0] for r in first.limit(wanted).collect()]
+        reader = csv.reader((line + "\n" for line in start), delimiter=sep, quoting=csv.QUOTE_MINIMAL if quoted else csv.QUOTE_NONE)
+        for k, cells in enumerate(reader):
+            known = reader.line_num < len(start) or len(start) < wanted  # else the record may go on
+            if known and k >= skip_rows and any(c.strip() for c in cells):
+                return cells, reader.line_num
+        if len(start) < wanted:
+            return [], len(start)
+        wanted *= 4
+
+
+def column_names(cells: Sequence[str]) -> list[str]:
+    """Header cells as column names: trimmed, numbered where empty, told apart where they come again."""
+    out: list[str] = []
+    for k, cell in enumerate(cells):
+        name = base = cell.strip().lstrip("\ufeff") or f"_c{k}"
+        again = 0
+        while name.lower() in {n.lower() for n in out}:
+            again += 1
+            name = f"{base}.{again}"
+        out.append(name)
+    return out
+
+
+def read_extract(spark: SparkSession, path: str, skip_rows: int = 0, sep: str = ",", line_breaks: bool = True) -> DataFrame:
+    """A delimited extract with a header, every column a string. ``skip_rows`` title records before the header are skipped.
+
+    ``path`` is a file, or a folder of files that each begin with the same titles and header. Lines are known by their number, so a body
+    row that is equal to a title or the header stays. Cells may hold line breaks; where they do not, ``line_breaks=False`` spares
+    the pass that looks for them, and without titles the reader of the format is used. Blank lines are left out. An empty file has no columns.
+    """
+    if skip_rows == 0 and not line_breaks:
         return spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
-    head = head_lines(spark, path, skip_rows + 1)
-    names = next(csv.reader([head[skip_rows]], delimiter=sep))
-    schema = ", ".join(f"`{n.strip()}` string" for n in names)
-    parsed = F.from_csv("value", schema, {"sep": sep, "escape": '"', "mode": "PERMISSIVE"})
-    return body_lines(spark, path, head).select(parsed.alias("r")).select("r.*")
+    names, start = head_record(spark, path, skip_rows, sep)
+    records = lines.numbered_records(spark, path, sep) if line_breaks else lines.numbered_lines(spark, path)
+    body = records.filter((F.col("line") >= start) & (F.trim("value") != ""))
+    quoted = [n.replace("`", "``") for n in column_names(names)]
+    if not quoted:
+        return spark.createDataFrame([], T.StructType())
+    parsed = F.from_csv("value", ", ".join(f"`{n}` string" for n in quoted), {"sep": sep, "escape": '"', "mode": "PERMISSIVE"})
+    return body.select(parsed.alias("r")).select("r.*")
 
 
 # The columns a tagged extract is expected to have, and their types.
@@ -57,24 +87,30 @@ def read_typed(spark: SparkSession, path: str, types: Mapping[str, str] = EXTRAC
     return apply_types(read_extract(spark, path), types)
 
 
-def parse_schedule(spark: SparkSession, path: str, id_names: Sequence[str] = ("IDRSSD", "RSSD_ID", "ID_RSSD")) -> DataFrame:
-    """A tab-separated schedule as (IDRSSD, code, value).
+# Names of the two key columns of a schedule.
+SCHEDULE_KEYS = {
+    "IDRSSD": ("IDRSSD", "ID_RSSD", "RSSD", "RSSDID", "RSSD_ID"),
+    "CERT": ("CERT", "FDIC_CERT", "FDIC CERTIFICATE NUMBER", "FDICCERT", "FDIC_CERTIFICATE_NUMBER", "FDICERT"),
+}
 
-    Line 0 holds the codes, line 1 their descriptions. Quotes and thousands commas are
-    dropped; cells that are no numbers are NULL and left out.
+
+def parse_schedule(spark: SparkSession, path: str, keys: Mapping[str, Sequence[str]] = SCHEDULE_KEYS) -> DataFrame:
+    """A tab-separated schedule as (key, code, value); the key column is the first that is one of ``keys``.
+
+    Line 0 holds the codes, line 1 their descriptions; both are known by their number. Quotes and thousands commas are
+    dropped; cells that are no numbers are NULL and left out. A file without a key column has no rows. ``path`` may be a folder of files
+    with the same codes.
     """
-    head = head_lines(spark, path, 2)
-    codes = [c.strip().strip('"').upper() for c in head[0].split("\t")]
-    id_at = next(i for i, c in enumerate(codes) if c in id_names)
+    head, _ = head_record(spark, path, 0, "\t", quoted=False)
+    codes = [c.strip().strip('"').strip().upper() for c in head]
+    kind, at = next(((kind, i) for i, c in enumerate(codes) for kind, names in keys.items() if c in names), (next(iter(keys)), None))
+    if at is None:
+        return spark.createDataFrame([], f"{kind} long, code string, value double")
     cells = F.transform(F.split("value", "\t"), lambda c: F.trim(F.regexp_replace(c, '"', "")))
-    rows = body_lines(spark, path, head).select(cells.alias("cells"))
-    key = F.try_element_at("cells", F.lit(id_at + 1)).try_cast("long").alias("IDRSSD")
+    rows = lines.numbered_lines(spark, path).filter((F.col("line") >= 2) & (F.trim("value") != "")).select(cells.alias("cells"))
+    key = F.try_element_at("cells", F.lit(at + 1)).try_cast("long").alias(kind)
     number = lambda i: F.regexp_replace(F.try_element_at("cells", F.lit(i + 1)), ",", "").try_cast("double")
-    pairs = F.array(*[F.struct(F.lit(c).alias("code"), number(i).alias("value")) for i, c in enumerate(codes) if i != id_at and c])
-    return rows.select(key, F.explode(pairs).alias("p")).select("IDRSSD", "p.code", "p.value").filter(
-        F.col("IDRSSD").isNotNull() & F.col("value").isNotNull()
+    pairs = F.array(*[F.struct(F.lit(c).alias("code"), number(i).alias("value")) for i, c in enumerate(codes) if i != at and c])
+    return rows.select(key, F.explode(pairs).alias("p")).select(kind, "p.code", "p.value").filter(
+        F.col(kind).isNotNull() & F.col("value").isNotNull()
     )
-
-
-def string_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])

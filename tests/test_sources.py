@@ -3,13 +3,14 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from quarterdeck.operators import eventtext, quality
 from quarterdeck.session import materialize, scratch_path
-from quarterdeck.sources import callreport, delimited, jsonrows, sinks
+from quarterdeck.sources import callreport, delimited, jsonrows, lines, sinks
 from quarterdeck.streaming import landing
 
 
@@ -27,6 +28,107 @@ def test_title_rows_are_skipped(spark, folder):
     assert [tuple(r) for r in rows] == [("001-1", "Doe, J"), ("001-2", "Roe")]
 
 
+@pytest.fixture(params=[7, 64, 1 << 20])
+def split_size(spark, request):
+    """Files are read in splits of so many bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": str(request.param), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+HEAD = "Key,Name,Note"
+BODY = [("1", "plain", "x"), ("2", "a\nb", "two\n\nbreaks"), ("Key", "Name", "Note"), ("3", 'says "yes",\nor no', None), ("4", "\nfirst", "last\n"), ("5", "é🙂\n漢", "z"), ("Title", None, None), ('5" pipe', 'x" y', '"",'), ("6", '"', '\n"\n')]
+
+
+def written(row):
+    return ",".join("" if c is None else '"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n') else c for c in row)
+
+
+@pytest.mark.parametrize("titles", [[], ["Title", "", 'said "so, here', 'and there"', HEAD]])
+def test_cells_with_line_breaks_over_splits(spark, folder, split_size, titles):
+    """Splits of a few bytes: quotes opened in one are closed in another, and rows equal to titles or the header stay."""
+    rows = BODY * 6
+    for name in ("a.csv", "b.csv"):
+        put(f"{folder}/in", name, "\n".join([*titles, HEAD, *(written(r) for r in rows)]) + "\n\n")
+    skip = len(titles)
+    got = delimited.read_extract(spark, f"{folder}/in", skip_rows=skip)
+    assert got.columns == ["Key", "Name", "Note"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, rows * 2))
+
+
+def test_records_are_those_of_one_reader(spark, folder, split_size):
+    """Random quotes, separators and line ends: the same records as reading the file from its start."""
+    rng = random.Random(9)
+    text = "".join(rng.choice(['"', '""', ",", "\n", "a", "b", '"a\nb"', ',"', '",']) for _ in range(900)) + '"\n'
+    path = put(folder, "r.csv", text)
+    want, inside, start, at_edge, out = [], False, 0, True, text.split("\n")[:-1]
+    for n, line in enumerate(out):  # quotes open a cell at its start only
+        if not inside:
+            start, at_edge = n, True
+        i = 0
+        while i < len(line):
+            c = line[i]
+            if inside:
+                if c == '"' and line[i + 1 : i + 2] == '"':
+                    i += 1
+                elif c == '"':
+                    inside, at_edge = False, False
+            elif c == '"' and at_edge:
+                inside = True
+            else:
+                at_edge = c == ","
+            i += 1
+        if not inside or n == len(out) - 1:
+            want.append((start, "\n".join(out[start : n + 1])))
+    got = sorted((r["line"], r["value"]) for r in lines.numbered_records(spark, path).collect())
+    assert got == want
+
+
+def test_line_numbers_over_splits(spark, folder, split_size):
+    text = [f"line {i} " + "x" * (i * 37 % 50) for i in range(120)]
+    path = put(folder, "n.txt", "\n".join(text) + "\n")
+    got = {r["line"]: r["value"] for r in lines.numbered_lines(spark, path).collect()}
+    assert got == dict(enumerate(text))
+
+
+def test_files_without_open_quotes_are_not_shuffled(spark, folder):
+    path = put(folder, "q.csv", "A,B\n" + '"1, ""x""",2\n' * 50)
+    records = lines.numbered_records(spark, path)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and records.count() == 51
+
+
+def test_odd_files(spark, folder):
+    assert delimited.read_extract(spark, put(folder, "none.csv", "")).columns == []
+    one = delimited.read_extract(spark, put(folder, "one.csv", "\n\n a ,a,,A\n"))
+    assert one.columns == ["a", "a.1", "_c2", "A.2"] and one.count() == 0
+    open_quote = delimited.read_extract(spark, put(folder, "open.csv", 'A,B\n1,"never\nclosed\n'))
+    assert [r["A"] for r in open_quote.collect()] == ["1"]
+    long_title = "\n" * 500 + "T\n" * 300
+    late = delimited.read_extract(spark, put(folder, "late.csv", long_title + "A,B\n1,2\n"), skip_rows=800)
+    assert [tuple(r) for r in late.collect()] == [("1", "2")]
+    plain = put(folder, "plain.csv", "A,B\n1,x\nA,B\n")
+    for option in (True, False):
+        assert {tuple(r) for r in delimited.read_extract(spark, plain, line_breaks=option).collect()} == {("1", "x"), ("A", "B")}
+
+
+def test_schedule_rows_equal_to_its_head_stay(spark, folder, split_size):
+    path = put(folder, "RC.txt", "RSSDID\tC1\tCERT\n5\t1\t9\n" + "5\t1\t9\n" * 40 + "\n" + 'x\t3\t4\n6\t"1,500"\n')
+    got = delimited.parse_schedule(spark, path).groupBy("IDRSSD", "code", "value").count().collect()
+    assert {tuple(r) for r in got} == {(5, "C1", 1.0, 40), (5, "CERT", 9.0, 40), (6, "C1", 1500.0, 1)}
+
+
+def test_schedules_by_either_key(spark, folder):
+    by_cert = delimited.parse_schedule(spark, put(folder, "a.txt", "X\tFDIC Certificate Number\n\t\n1\t77\n"))
+    assert by_cert.columns == ["CERT", "code", "value"] and [tuple(r) for r in by_cert.collect()] == [(77, "X", 1.0)]
+    for text in ("", "A\tB\n", "A\tB\nx\ty\n1\t2\n"):
+        assert delimited.parse_schedule(spark, put(folder, f"n{len(text)}.txt", text)).count() == 0
+
+
 def test_types_skip_absent_columns(spark, folder):
     path = put(folder, "a.csv", "BALANCE,IS_LAL_NFP,OTHER\n12.5,true,x\nbad,?,y\n")
     df = delimited.read_typed(spark, path)
