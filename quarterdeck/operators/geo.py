@@ -120,50 +120,56 @@ def build_spine(
 ) -> DataFrame:
     """Resolve (geo_type, geo_value) requests to metros: code, ZIP, county, state fallback, unmatched.
 
-    One left join per tier, each on its own kind of request, then one audit row per request
-    with method, weight, coverage and quality. The references are keyed uniquely; Spark
-    picks the join by their size.
+    The four references are disjoint by kind, so they make one lookup with (kind, value) as its key, metro names joined in on
+    their side. Every request takes part in one join, on its own kind and value, which is also what it was made distinct by:
+    one shuffle in all, and no task gets the requests of other kinds under an empty key. One audit row per request has method, weight,
+    coverage and quality. The references are keyed uniquely.
     """
     value = F.trim(F.col("geo_value"))
     base = requests.select(
         "geo_type",
         F.when(F.col("geo_type") == "state", F.upper(value)).otherwise(left_pad(value, 5)).alias("geo_value"),
     ).distinct()
-    key = lambda kind: F.when(F.col("geo_type") == kind, F.col("geo_value"))
-    tiers = base.withColumns({"_z": key("zip"), "_c": key("county_fips"), "_s": key("state"), "_m0": key("cbsa")})
-    tiers = tiers.join(zip_metros.select(F.col("zip").alias("_z"), F.col("cbsa_code").alias("_zm"), "tot_ratio"), "_z", "left")
-    tiers = tiers.join(county_metros.select(F.col("county_fips").alias("_c"), F.col("cbsa_code").alias("_cm")), "_c", "left")
-    tiers = tiers.join(states.select(F.col("state_abbrev").alias("_s"), F.col("state_fips").alias("_sf")), "_s", "left")
-    tiers = tiers.withColumn("cbsa_code", F.coalesce("_m0", "_zm", "_cm"))
-    named = tiers.join(metros.select("cbsa_code", "msa_name", "state_fips", "state_abbrev"), "cbsa_code", "left")
-    valid_code = F.col("_m0").rlike("^[0-9]{5}$")
-    kind = F.col("geo_type")
+    metro = metros.select("cbsa_code", F.struct("msa_name", F.col("state_fips").alias("fips"), "state_abbrev").alias("_metro"))
+
+    def lookup(kind: str, rows: DataFrame, key: str, weight: Column = F.lit(None)) -> DataFrame:
+        known = rows.filter(F.col("cbsa_code").isNotNull()).select(F.col(key).alias("_key"), "cbsa_code", weight.cast("double").alias("_ratio"))
+        return known.join(metro, "cbsa_code", "left").select(F.lit(kind).alias("_kind"), "_key", F.col("cbsa_code").alias("_code"), "_ratio", "_metro")
+
+    fallback = F.struct(F.lit(None).cast("string").alias("msa_name"), F.col("state_fips").alias("fips"), F.col("state_abbrev"))
+    known = [
+        lookup("cbsa", metros, "cbsa_code"),
+        lookup("zip", zip_metros, "zip", F.col("tot_ratio")),
+        lookup("county_fips", county_metros, "county_fips"),
+        states.select(F.lit("state"), F.col("state_abbrev"), F.lit(None).cast("string"), F.lit(None).cast("double"), fallback),
+    ]
+    lookups = reduce(DataFrame.union, known)
+    named = base.join(lookups, (F.col("geo_type") == F.col("_kind")) & (F.col("geo_value") == F.col("_key")), "left")
+    kind, found = F.col("geo_type"), F.col("_code").isNotNull()
     method = (
-        F.when((kind == "cbsa") & valid_code, "direct_cbsa")
-        .when((kind == "zip") & F.col("_zm").isNotNull(), "zip_to_cbsa")
-        .when((kind == "county_fips") & F.col("_cm").isNotNull(), "county_to_cbsa")
+        F.when((kind == "cbsa") & F.col("geo_value").rlike("^[0-9]{5}$"), "direct_cbsa")
+        .when((kind == "zip") & found, "zip_to_cbsa")
+        .when((kind == "county_fips") & found, "county_to_cbsa")
         .when(kind == "state", "state_fallback")
         .otherwise("unmatched")
     )
     staged = named.withColumn("mapping_method", method)
     hit = F.col("mapping_method") != "unmatched"
-    weight = F.when(F.col("mapping_method") == "zip_to_cbsa", F.coalesce("tot_ratio", F.lit(1.0))).when(hit, 1.0).otherwise(0.0)
+    weight = F.when(F.col("mapping_method") == "zip_to_cbsa", F.coalesce("_ratio", F.lit(1.0))).when(hit, 1.0).otherwise(0.0)
     quality = (
         F.when(F.col("mapping_method") == "direct_cbsa", "high")
         .when(F.col("mapping_method") == "zip_to_cbsa", "medium")
         .when(hit, "low")
         .otherwise("unmatched")
     )
-    fips = F.when(F.col("mapping_method") == "county_to_cbsa", F.substring("geo_value", 1, 2)).when(
-        kind == "state", F.col("_sf")
-    ).otherwise(F.col("state_fips"))
+    fips = F.when(F.col("mapping_method") == "county_to_cbsa", F.substring("geo_value", 1, 2)).otherwise(F.col("_metro.fips"))
     return staged.select(
         F.col("geo_type").alias("source_geo_type"),
         F.col("geo_value").alias("source_geo_value"),
-        F.when(hit, F.col("cbsa_code")).alias("target_cbsa_code"),
-        F.when(hit, F.col("msa_name")).alias("target_msa_name"),
+        F.when(F.col("mapping_method") == "direct_cbsa", F.col("geo_value")).when(hit, F.col("_code")).alias("target_cbsa_code"),
+        F.when(hit, F.col("_metro.msa_name")).alias("target_msa_name"),
         F.when(hit, fips).alias("state_fips"),
-        F.when(kind == "state", F.col("geo_value")).when(hit, F.col("state_abbrev")).alias("state_abbrev"),
+        F.when(kind == "state", F.col("geo_value")).when(hit, F.col("_metro.state_abbrev")).alias("state_abbrev"),
         "mapping_method",
         weight.alias("mapping_weight"),
         (weight * 100).alias("coverage_pct"),

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from plan_nodes import ran
 from quarterdeck.operators import geo, indicators, series
 
 
@@ -156,3 +157,35 @@ def test_spine_tiers(spark):
         ("state", "NY"): ("state_fallback", 1.0, "low"),
     }
     assert rows[("county_fips", "01001")]["state_fips"] == "01"
+
+
+def test_spine_is_one_join_of_each_request(spark, folder):
+    """Requests meet one lookup on their own kind and value: no key is empty, and one exchange serves the distinct and the join."""
+    rows = [("cbsa", "10001"), ("cbsa", "99999"), ("cbsa", "x"), ("zip", " 7"), ("zip", "8"), ("zip", None), ("county_fips", "3"), ("county_fips", "4"), ("state", "ny"), ("state", "zz"), ("other", "1"), (None, "5"), ("zip", "7")]
+    spark.createDataFrame(rows, "geo_type string, geo_value string").write.parquet(f"{folder}/r")
+    metros = spark.createDataFrame([("10001", "One", "36", "NY"), ("10002", "Two", "34", "NJ")], "cbsa_code string, msa_name string, state_fips string, state_abbrev string")
+    zips = spark.createDataFrame([("00007", "10002", 0.5), ("10001", "10001", None)], "zip string, cbsa_code string, tot_ratio double")
+    counties = spark.createDataFrame([("00003", "10001"), ("00004", None)], "county_fips string, cbsa_code string")
+    states = spark.createDataFrame([("NY", "36")], "state_abbrev string, state_fips string")
+    spine = geo.build_spine(spark.read.parquet(f"{folder}/r"), metros, zips, counties, states)
+    got = {(r[0], r[1]): tuple(r[2:]) for r in spine.collect()}
+    none = (None, None, None, None, "unmatched", 0.0, 0.0, "unmatched")
+    assert got == {
+        ("cbsa", "10001"): ("10001", "One", "36", "NY", "direct_cbsa", 1.0, 100.0, "high"),
+        ("cbsa", "99999"): ("99999", None, None, None, "direct_cbsa", 1.0, 100.0, "high"),
+        ("cbsa", "0000x"): none,
+        ("zip", "00007"): ("10002", "Two", "34", "NJ", "zip_to_cbsa", 0.5, 50.0, "medium"),
+        ("zip", "00008"): none,
+        ("zip", None): none,
+        ("county_fips", "00003"): ("10001", "One", "00", "NY", "county_to_cbsa", 1.0, 100.0, "low"),
+        ("county_fips", "00004"): none,
+        ("state", "NY"): (None, None, "36", "NY", "state_fallback", 1.0, 100.0, "low"),
+        ("state", "ZZ"): (None, None, None, "ZZ", "state_fallback", 1.0, 100.0, "low"),
+        ("other", "00001"): none,
+        (None, "00005"): none,
+    }
+    nodes = ran(spine)
+    scans = [t for n, t in nodes if n.startswith("Scan parquet")]
+    assert len(scans) == 1
+    joins = [t for n, t in nodes if "Join" in n and "geo_type" in t]
+    assert len(joins) == 1 and "geo_value" in joins[0]
