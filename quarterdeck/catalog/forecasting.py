@@ -65,8 +65,14 @@ def regression_scores(spark, sf):
     return forecast.fit_and_score(df, INPUTS, TARGET, ["Ticker", "REPDTE"], models)
 
 
+def linear_scores(spark, sf):
+    df = forecast.linear_scores(materialize(ready(spark, sf), "features"), INPUTS, TARGET, ["Ticker", "REPDTE"])
+    return df.withColumns({c: F.round(c, 6) for c in ("rmse", "mse", "mae")})
+
+
 def regression_coefficients(spark, sf):
-    return forecast.coefficients(materialize(ready(spark, sf), "features"), FEATURES, TARGET)
+    df = forecast.coefficients(materialize(ready(spark, sf), "features"), FEATURES, TARGET)
+    return df.withColumn("coefficient", F.round("coefficient", 9))
 
 
 QUERIES = {
@@ -76,6 +82,7 @@ QUERIES = {
     "corr_topk": corr_topk,
     "one_hot_zero_fill": one_hot_zero_fill,
     "regression_scores": regression_scores,
+    "linear_scores": linear_scores,
     "regression_coefficients": regression_coefficients,
 }
 
@@ -87,7 +94,45 @@ register(
 )
 _PAIRS = [(a, b) for i, a in enumerate([*FEATURES, TARGET]) for b in [*FEATURES, TARGET][i + 1 :]]
 _CORR = " union all ".join(f"select '{c}' as feature, round(corr({c}, target), 6) as correlation from features" for c in FEATURES)
+
+
+def solved(rows: str, xs: dict[str, str], y: str) -> str:
+    """The normal equations of ``y`` on ``xs`` (name: expression) over ``rows``, solved by elimination: one row with a column per name."""
+    names, k = list(xs), len(xs)
+    cells = [f"sum(({xs[a]}) * ({xs[b]})) as a{i}_{j}" for i, a in enumerate(names) for j, b in enumerate(names)] + [f"sum(({xs[a]}) * ({y})) as a{i}_{k}" for i, a in enumerate(names)]
+    text = f"select {', '.join(cells)} from {rows}"
+    for p in range(k):
+        cells = [f"a{p}_{j} / a{p}_{p} as a{p}_{j}" if i == p else f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p} as a{i}_{j}" for i in range(k) for j in range(p + 1, k + 1)]
+        text = f"select {', '.join(cells)} from ({text})"
+    return f"select {', '.join(f'a{i}_{k} as {n}' for i, n in enumerate(names))} from ({text})"
+
+
+register(
+    "ready",
+    f"""select Ticker, REPDTE, {', '.join(f'coalesce({c}, 0.0) as {c}' for c in FEATURES)}, target, {', '.join(f"cast(Fiscal_Period = 'Q{q}' as integer)::double as Fiscal_Period_Q{q}" for q in range(1, 5))},
+        ('0x' || substr(md5(Ticker || '|' || REPDTE::varchar || '|42'), 1, 8))::bigint % 10000 < 7000 as train from features where target is not null""",
+    ("features",),
+)
+
+
+def score_sql():
+    """Both fits on the training rows, scored on the others."""
+    scaled = f"""select train, target, {', '.join(f'case when hi_{c} = lo_{c} then 0.5 else ({c} - lo_{c}) / (hi_{c} - lo_{c}) end as {c}' for c in INPUTS)} from ready,
+        (select {', '.join(f'min({c}) filter (train) as lo_{c}, max({c}) filter (train) as hi_{c}' for c in INPUTS)} from ready)"""
+    out = []
+    for name, rows in (("linear", "select * from ready"), ("linear_scaled", scaled)):
+        fit = solved(f"({rows}) where train", {c: c for c in INPUTS}, "target")
+        gap = "target - (" + " + ".join(f"r.{c} * f.{c}" for c in INPUTS) + ")"
+        out.append(f"""select '{name}' as model, round(sqrt(avg(g * g)), 6) as rmse, round(avg(g * g), 6) as mse, round(avg(abs(g)), 6) as mae
+            from (select {gap} as g from ({rows}) r, ({fit}) f where not train)""")
+    return " union all ".join(out)
+
+
 ORACLES = {
+    "linear_scores": with_ctes(score_sql(), "ready"),
+    "regression_coefficients": with_ctes(
+        " union all ".join(f"select '{c}' as feature, round({c}, 9) as coefficient from ({solved('ready', {x: x for x in FEATURES}, 'target')})" for c in FEATURES), "ready"
+    ),
     "ticker_rows": with_ctes("select Ticker, REPDTE, LNCI, NACI, target from features where Ticker = '1' and LNCI is not null and NACI is not null and target is not null", "features"),
     "target_histogram": with_ctes(
         "select least(cast(floor((target - lo) / ((hi - lo) / 100)) as bigint) + 1, 100) as bin, count(*) as rows from features, (select min(target) as lo, max(target) as hi from features) where target is not null group by 1", "features"

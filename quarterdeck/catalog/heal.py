@@ -20,8 +20,8 @@ def holey_panel(spark, sf):
 
 
 def heal_patch(spark, sf):
-    healed = heal.heal(holey_panel(spark, sf), bank_panel(spark, sf, FIELDS))
-    return heal.heal_status(healed).select("CERT", "REPDTE", "LNLS", *FIELDS, "RIC_SOURCE_AVAILABLE", "RIC_Source_Status")
+    healed = heal.heal_with_status(holey_panel(spark, sf), bank_panel(spark, sf, FIELDS))
+    return healed.select("CERT", "REPDTE", "LNLS", *FIELDS, "RIC_SOURCE_AVAILABLE", "RIC_Source_Status")
 
 
 def heal_gate(spark, sf):
@@ -52,6 +52,14 @@ def operating_places(spark, sf):
     return heal.operating_places(branches)
 
 
+def attach_places(spark, sf):
+    """The panel's rows with the order segments of each supplier's even orders; suppliers without one get NULL."""
+    lines = table(spark, sf, "lineitem").filter("l_orderkey % 64 = 0").select(F.col("l_suppkey").alias("CERT"), "l_orderkey")
+    orders = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    branches = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("CERT", F.col("c_mktsegment").alias("STATE"))
+    return heal.attach_places(bank_panel(spark, sf, ["LNLS"]), branches)
+
+
 def crosswalk_join(spark, sf):
     """Amounts keyed by a customer id, translated through the order crosswalk."""
     xwalk = table(spark, sf, "orders").select(F.col("o_orderkey").alias("IDRSSD"), F.col("o_custkey").alias("CERT"))
@@ -74,6 +82,7 @@ QUERIES = {
     "heal_gated": heal_gated,
     "attach_field": attach_field,
     "operating_places": operating_places,
+    "attach_places": attach_places,
     "crosswalk_join": crosswalk_join,
     "field_availability": field_availability,
 }
@@ -105,6 +114,11 @@ ORACLES = {
     "attach_field": with_ctes("select CERT, REPDTE, LNLS, NACI from panel", "panel"),
     "operating_places": """select l_suppkey as CERT, string_agg(distinct c_mktsegment, ', ' order by c_mktsegment) as ALL_OPERATING_STATES
         from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey group by 1""",
+    "attach_places": with_ctes(
+        """select p.CERT, REPDTE, LNLS, ALL_OPERATING_STATES from panel p left join (select l_suppkey as CERT, string_agg(distinct c_mktsegment, ', ' order by c_mktsegment) as ALL_OPERATING_STATES
+            from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey where l_orderkey % 64 = 0 group by 1) b on p.CERT = b.CERT""",
+        "panel",
+    ),
     "crosswalk_join": """select o_custkey as CERT, cast(sum(cast(round(l_extendedprice * 100) as bigint)) as double) as amount
         from lineitem join orders on l_orderkey = o_orderkey group by 1""",
     "field_availability": with_ctes(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from quarterdeck.catalog.sql import register, with_ctes
 from quarterdeck.operators import matrix, tagging
 from quarterdeck.plans import shapes
-from quarterdeck.plans.loan_run import prepare, tag_loans
+from quarterdeck.plans.loan_run import prepare, tag_loans, write_tagged
+from quarterdeck.session import scratch_path
 
 
 def lookups(spark, sf):
@@ -53,6 +54,11 @@ def join_rates(spark, sf):
     return tagging.join_rates(tagging.clean_extract(shapes.loan_extract(spark, sf)), *lookups(spark, sf))
 
 
+def join_rates_of_the_run(spark, sf):
+    """The same audit, counted while the run writes its loans."""
+    return write_tagged(shapes.loan_extract(spark, sf), *lookups(spark, sf), scratch_path(spark, "tagged"), "parquet")
+
+
 def top_loans(spark, sf):
     return matrix.top_loans(flagged(spark, sf)).select("LOAN_ID", "BORROWER", "PRODUCT_BUCKET", "CREDIT_LII")
 
@@ -79,6 +85,7 @@ QUERIES = {
     "missing_lookups": missing_lookups,
     "loan_flags": loan_flags,
     "join_rates": join_rates,
+    "join_rates_of_the_run": join_rates_of_the_run,
     "flag_counts": lambda s, d: tagging.flag_counts(flagged(s, d)),
     "flag_summary": lambda s, d: tagging.flag_summary(flagged(s, d)),
     "view_matrices": lambda s, d: matrix.view_matrices(flagged(s, d)),
@@ -241,3 +248,5 @@ ORACLES = {
         "select LOAN_ID, CREDIT_LII, FLAGS from flagged where CREDIT_LII_COMMITMENT_FLOOR = 300000000 and PRODUCT_BUCKET = 'TL SBL Diversified' and NEW_CAMP_YN = 'Y' and QUALIFIED", "flagged"
     ),
 }
+
+ORACLES["join_rates_of_the_run"] = ORACLES["join_rates"]

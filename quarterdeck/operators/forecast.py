@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
 from typing import Sequence
 
 from pyspark.ml import Pipeline
@@ -12,6 +11,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from quarterdeck.functions.missing import to_number
+from quarterdeck.operators import moments
 
 
 def prepare(df: DataFrame, numeric: Sequence[str], ticker: str | None = None, key: str = "Ticker") -> DataFrame:
@@ -30,18 +30,14 @@ def histogram(df: DataFrame, c: str, bins: int = 100) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, in one aggregate."""
-    pairs = list(combinations(columns, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    parts = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("correlation")) for i, (a, b) in enumerate(pairs)]
-    return one.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
+    """Pearson correlation of every pair of columns, in one pass however many there are."""
+    return moments.correlation_pairs(df, columns, columns).filter("i < j").select("a", "b", "correlation")
 
 
 def top_correlations(df: DataFrame, columns: Sequence[str], target: str, n: int = 10) -> DataFrame:
     """The ``n`` strongest positive and the ``n`` strongest negative features against the target."""
     features = [c for c in columns if c != target]
-    one = df.agg(*[F.corr(c, target).alias(c) for c in features])
-    long = one.unpivot([], features, "feature", "correlation").filter(F.col("correlation").isNotNull())
+    long = moments.correlation_pairs(df, features, [target]).select(F.col("a").alias("feature"), "correlation").filter(F.col("correlation").isNotNull())
     up = long.filter("correlation > 0").orderBy(F.col("correlation").desc(), "feature").limit(n)
     down = long.filter("correlation < 0").orderBy("correlation", "feature").limit(n)
     return up.withColumn("side", F.lit("positive")).unionByName(down.withColumn("side", F.lit("negative")))
@@ -58,12 +54,35 @@ def zero_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def hash_split(df: DataFrame, keys: Sequence[str], share: float = 0.7, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of their key: the same rows on every run and every cluster."""
-    slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(10000))
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    slot = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 10000
     mark = df.withColumn("_slot", slot)
     edge = int(share * 10000)
     return mark.filter(F.col("_slot") < edge).drop("_slot"), mark.filter(F.col("_slot") >= edge).drop("_slot")
 
 
+def min_max_scaled(df: DataFrame, columns: Sequence[str], by: DataFrame) -> DataFrame:
+    """Columns scaled to [0, 1] by the smallest and largest value of the rows ``by``; 0.5 where they are equal."""
+    ends = by.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns]).first()
+
+    def scaled(c: str):
+        lo, hi = ends[c]["lo"], ends[c]["hi"]
+        return F.lit(0.5) if lo is None or lo == hi else (F.col(c) - F.lit(lo)) / F.lit(hi - lo)
+
+    return df.withColumns({c: scaled(c) for c in columns})
+
+
+def linear_scores(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str]) -> DataFrame:
+    """RMSE, MSE and MAE on the test rows of least squares without intercept, on the features as they are and scaled by the training rows."""
+    train, test = hash_split(df, keys)
+    out = []
+    for name, prepared in (("linear", lambda rows: rows), ("linear_scaled", lambda rows: min_max_scaled(rows, features, train))):
+        fitted = moments.least_squares(prepared(train), features, target)
+        scored = prepared(test).withColumn("prediction", moments.linear(fitted))
+        out.append(moments.errors(scored, target).select(F.lit(name).alias("model"), "*"))
+    return out[0].unionByName(out[1])
+
+
 def linear_model(features: Sequence[str], target: str, scaled: bool = False) -> Pipeline:
     """Least squares without intercept, optionally on features scaled to [0, 1] by the training rows."""
     stages = [VectorAssembler(inputCols=list(features), outputCol="raw" if scaled else "features")]
@@ -99,6 +118,5 @@ def fit_and_score(df: DataFrame, features: Sequence[str], target: str, keys: Seq
 
 def coefficients(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Coefficients of the linear model on all rows."""
-    fitted = linear_model(features, target).fit(df).stages[-1]
-    rows = [(f, float(c)) for f, c in zip(features, fitted.coefficients)]
-    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double")
+    fitted = moments.least_squares(df, features, target)
+    return df.sparkSession.createDataFrame(list(fitted.items()), "feature string, coefficient double")

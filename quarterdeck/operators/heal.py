@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from quarterdeck.functions.missing import present
 from quarterdeck.operators.flows import ENTITY, PERIOD
+from quarterdeck.session import materialize
 
 # Columns that tell whether a quarter is filled, and whether a row got its source.
 GATE_COLUMNS = ["RCFD1545", "RCFDJ466", "RCFDJJ04"]
@@ -60,26 +61,48 @@ def heal(
     return joined.withColumns(out).drop(*[f"_p_{c}" for c in fields])
 
 
-def heal_status(df: DataFrame, checks: Sequence[str] = STATUS_COLUMNS) -> DataFrame:
+def heal_status(df: DataFrame, checks: Sequence[str] = STATUS_COLUMNS, filled: Mapping[str, bool] | None = None) -> DataFrame:
     """Add the source flag (1/0) and SUCCESS / MISSING_DATA / NO_FIELDS.
 
-    The flag looks at the first check column that holds any value.
+    The flag looks at the first check column that holds any value. ``filled`` tells which do, where that is known
+    (see :func:`heal_with_status`); else a scalar subquery looks.
     """
     cols = present(df.columns, checks)
-    if not cols:
+    if not cols or (filled is not None and not any(filled.get(c) for c in cols)):
         return df.withColumns({"RIC_SOURCE_AVAILABLE": F.lit(0), "RIC_Source_Status": F.lit("NO_FIELDS")})
+    if filled is not None:
+        first = next(c for c in cols if filled.get(c))
+        has = F.col(first).isNotNull()
+        return df.withColumns({"RIC_SOURCE_AVAILABLE": has.cast("int"), "RIC_Source_Status": F.when(has, "SUCCESS").otherwise("MISSING_DATA")})
     # One scalar subquery for all check columns.
-    filled = df.agg(F.struct(*[(F.count(c) > 0).alias(c) for c in cols]).alias("filled")).scalar()
+    known = df.agg(F.struct(*[(F.count(c) > 0).alias(c) for c in cols]).alias("filled")).scalar()
     chain = F.lit(0)
     for c in reversed(cols):
-        chain = F.when(filled[c], F.when(F.col(c).isNotNull(), 1).otherwise(0)).otherwise(chain)
+        chain = F.when(known[c], F.when(F.col(c).isNotNull(), 1).otherwise(0)).otherwise(chain)
     any_field = F.lit(False)
     for c in cols:
-        any_field = any_field | filled[c]
+        any_field = any_field | known[c]
     status = F.when(~any_field, "NO_FIELDS").when(chain == 1, "SUCCESS").otherwise("MISSING_DATA")
     return df.withColumns({"RIC_SOURCE_AVAILABLE": chain, "RIC_Source_Status": status})
 
 
+def heal_with_status(
+    df: DataFrame, patch: DataFrame, fields: Sequence[str] | None = None, checks: Sequence[str] = STATUS_COLUMNS, gate: DataFrame | None = None
+) -> DataFrame:
+    """Heal and add the status with one run of the join: the check columns are counted while the healed rows are written.
+
+    The rows come from the written table, so what reads them does not heal again.
+    """
+    rows = heal(df, patch, fields, gate=gate)
+    cols = present(rows.columns, checks)
+    if not cols:
+        return heal_status(rows, checks)
+    seen = Observation("healed")
+    written = materialize(rows.observe(seen, *[F.count(c).alias(c) for c in cols]), "healed")
+    counts = seen.get
+    return heal_status(written, checks, {c: bool(counts.get(c)) for c in cols})
+
+
 def attach_field(df: DataFrame, other: DataFrame, entity: str = ENTITY, period: str = PERIOD) -> DataFrame:
     """Left join of separately landed fields on (entity, period), both sides as dates."""
     other = other.withColumn(period, F.to_date(F.col(period).cast("string")))

@@ -170,17 +170,23 @@ def any_exception(credit: DataFrame, columns: Sequence[str] | None = None) -> Co
     return reduce(lambda a, b: a | b, [_yes(c) for c in columns], F.lit(False))
 
 
-def account_marks(credit: DataFrame) -> DataFrame:
+# For the audit: whether a lookup knows a loan's key at all.
+KNOWN = {"credit": "KNOWN_TO_CREDIT", "reserve": "KNOWN_TO_RESERVE", "property": "KNOWN_TO_PROPERTY"}
+
+
+def account_marks(credit: DataFrame, audit: bool = False) -> DataFrame:
     """Both account tags from one pass over the credit lookup."""
     return credit.select(
         strip_dash_pad12("ACCOUNT_NUMBER").alias("key"),
         operating_or_charity(credit).alias("_in_credit"),
         any_exception(credit).alias("HAS_CREDIT_POLICY_EXCEPTION"),
+        *([F.lit(True).alias(KNOWN["credit"])] if audit else []),
     )
 
 
-def facility_marks(reserve: DataFrame, properties: DataFrame) -> DataFrame:
+def facility_marks(reserve: DataFrame, properties: DataFrame, audit: bool = False) -> DataFrame:
     """Facilities with a corporate purpose and an entity relationship, and facilities on offices."""
+    known = lambda here: [F.lit(n == here).alias(KNOWN[n]) for n in ("reserve", "property")] if audit else []
     purpose = F.col("PURPOSE_CODE_DESCRIPTION").rlike("(?i)corp")
     entity = F.col("ACCOUNT_RELATIONSHIP_CODE_DESCRIPTION").rlike("(?i)" + "|".join(ENTITY_WORDS))
     office = F.lower("PROPERTY_TYPE").contains("office")
@@ -188,20 +194,24 @@ def facility_marks(reserve: DataFrame, properties: DataFrame) -> DataFrame:
         pad12("FACILITY_ACCOUNT_NUMBER").alias("key"),
         F.coalesce(purpose & entity, F.lit(False)).alias("_in_reserve"),
         F.lit(False).alias("IS_OFFICE"),
+        *known("reserve"),
     )
     offices = properties.select(
-        pad12("FACILITY_ID").alias("key"), F.lit(False).alias("_in_reserve"), F.coalesce(office, F.lit(False)).alias("IS_OFFICE")
+        pad12("FACILITY_ID").alias("key"),
+        F.lit(False).alias("_in_reserve"),
+        F.coalesce(office, F.lit(False)).alias("IS_OFFICE"),
+        *known("property"),
     )
     return corporate.unionByName(offices)
 
 
-def with_tags(df: DataFrame, credit: DataFrame, reserve: DataFrame, properties: DataFrame, salts: int = 1) -> DataFrame:
+def with_tags(df: DataFrame, credit: DataFrame, reserve: DataFrame, properties: DataFrame, salts: int = 1, audit: bool = False) -> DataFrame:
     """The three tags, with one join per key: all account tags together, all facility tags together.
 
-    An empty lookup just yields False, so optional inputs may be empty frames.
+    An empty lookup just yields False, so optional inputs may be empty frames. ``audit`` adds the columns of ``KNOWN`` by the same joins.
     """
-    tagged = tag_by_key(df, account_marks(credit), "ACCOUNT_NUMBER", salts)
-    tagged = tag_by_key(tagged, facility_marks(reserve, properties), "TL_FACILITY_DIGITS12", salts)
+    tagged = tag_by_key(df, account_marks(credit, audit), "ACCOUNT_NUMBER", salts)
+    tagged = tag_by_key(tagged, facility_marks(reserve, properties, audit), "TL_FACILITY_DIGITS12", salts)
     a = F.col("PRODUCT_BUCKET").isin(LAL_PRODUCTS) & (F.col("IS_LAL_NFP") | F.col("_in_credit"))
     b = F.col("PRODUCT_BUCKET").isin(TL_PRODUCTS) & F.col("_in_reserve")
     return tagged.withColumn("IS_NTC", F.coalesce(a | b, F.lit(False))).drop("_in_credit", "_in_reserve")
@@ -230,32 +240,50 @@ def apply_flags(df: DataFrame) -> DataFrame:
     return out.withColumns({"FLAG_LIST": flag_list("FLAGS"), "QUALIFIED": F.col("FLAG_COUNT") > 0}).drop(*inputs, *hits)
 
 
+# lookup: (key of the loans, products in scope)
+LOOKUPS = {
+    "credit": ("ACCOUNT_NUMBER", LAL_PRODUCTS),
+    "reserve": ("TL_FACILITY_DIGITS12", TL_PRODUCTS),
+    "property": ("TL_FACILITY_DIGITS12", TL_PRODUCTS),
+}
+
+
+def lookup_keys(credit: DataFrame, reserve: DataFrame, properties: DataFrame) -> dict[str, DataFrame]:
+    """The keys each lookup knows, as a frame ``key``."""
+    return {
+        "credit": credit.select(strip_dash_pad12("ACCOUNT_NUMBER").alias("key")),
+        "reserve": reserve.select(pad12("FACILITY_ACCOUNT_NUMBER").alias("key")),
+        "property": properties.select(pad12("FACILITY_ID").alias("key")),
+    }
+
+
+def rate_rows(counts: DataFrame) -> DataFrame:
+    """One row ``total_<lookup>, matched_<lookup>, ...`` as a row per lookup with the share."""
+    parts = [F.struct(F.lit(n).alias("lookup"), F.coalesce(f"total_{n}", F.lit(0)).alias("total"), F.coalesce(f"matched_{n}", F.lit(0)).alias("matched")) for n in LOOKUPS]
+    rate = F.try_divide(F.col("matched") * F.lit(100.0), F.col("total")).alias("join_rate_pct")
+    return counts.select(F.explode(F.array(*parts)).alias("p")).select("p.*").select("*", rate)
+
+
 def join_rates(df: DataFrame, credit: DataFrame, reserve: DataFrame, properties: DataFrame) -> DataFrame:
     """Per lookup: rows in scope, rows whose key the lookup knows, and the share.
 
-    Rows are counted per key before the join, so both sides hold a key once and none is hot.
+    The loans are read once: each is counted under the keys it looks up, per (lookup, key), before that meets the lookups in one
+    join. Both sides hold a key once and none is hot.
     """
-    plans = [
-        ("credit", credit.select(strip_dash_pad12("ACCOUNT_NUMBER").alias("key")), "ACCOUNT_NUMBER", LAL_PRODUCTS),
-        ("reserve", reserve.select(pad12("FACILITY_ACCOUNT_NUMBER").alias("key")), "TL_FACILITY_DIGITS12", TL_PRODUCTS),
-        ("property", properties.select(pad12("FACILITY_ID").alias("key")), "TL_FACILITY_DIGITS12", TL_PRODUCTS),
-    ]
-    audits = []
-    for name, keys, key, scope in plans:
-        in_scope = df.filter(F.col("PRODUCT_BUCKET").isin(scope))
-        per_key = in_scope.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-        hit = per_key.join(keys.distinct().withColumn("_hit", F.lit(True)), "key", "left")
-        total = F.coalesce(F.sum("n"), F.lit(0))
-        matched = F.coalesce(F.sum(F.when(F.col("_hit"), F.col("n"))), F.lit(0))
-        audits.append(
-            hit.agg(
-                F.lit(name).alias("lookup"),
-                total.alias("total"),
-                matched.alias("matched"),
-                F.try_divide(matched * F.lit(100.0), total).alias("join_rate_pct"),
-            )
-        )
-    return reduce(DataFrame.unionByName, audits)
+    wanted = [F.when(F.col("PRODUCT_BUCKET").isin(scope), F.struct(F.lit(n).alias("lookup"), F.col(key).alias("key"))) for n, (key, scope) in LOOKUPS.items()]
+    per_key = df.select(F.explode(F.array_compact(F.array(*wanted))).alias("w")).groupBy("w.lookup", "w.key").agg(F.count(F.lit(1)).alias("n"))
+    keys = [rows.distinct().select(F.lit(n).alias("lookup"), "key", F.lit(True).alias("_hit")) for n, rows in lookup_keys(credit, reserve, properties).items()]
+    hit = per_key.join(reduce(DataFrame.unionByName, keys), ["lookup", "key"], "left")
+    sums = [F.sum(F.when(F.col("lookup") == n, F.col("n"))).alias(f"total_{n}") for n in LOOKUPS]
+    sums += [F.sum(F.when((F.col("lookup") == n) & F.col("_hit"), F.col("n"))).alias(f"matched_{n}") for n in LOOKUPS]
+    return rate_rows(hit.agg(*sums))
+
+
+def join_rate_metrics() -> list[Column]:
+    """The counts behind :func:`join_rates` as aggregates over loans tagged with ``audit``, to be observed while they are written."""
+    scope = {n: F.col("PRODUCT_BUCKET").isin(products) for n, (_, products) in LOOKUPS.items()}
+    totals = [F.count_if(scope[n]).alias(f"total_{n}") for n in LOOKUPS]
+    return totals + [F.count_if(scope[n] & F.col(KNOWN[n])).alias(f"matched_{n}") for n in LOOKUPS]
 
 
 def flag_counts(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Quarterly patch files arriving over time: each micro-batch heals the quarters it touches."""
+"""Quarterly patch files arriving over time: each micro-batch heals the quarters it touches and puts them in place together."""
 
 from __future__ import annotations
 
@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quarterdeck.operators.flows import ENTITY, PERIOD
 from quarterdeck.operators.heal import heal
 from quarterdeck.sources.callreport import cache_schema
-from quarterdeck.session import materialize
-from quarterdeck.sources.sinks import by_period
+from quarterdeck.sources import versions
 
 
 def patch_stream(spark: SparkSession, landing: str, fields: Sequence[str]) -> DataFrame:
@@ -20,39 +19,35 @@ def patch_stream(spark: SparkSession, landing: str, fields: Sequence[str]) -> Da
     return spark.readStream.schema(schema).option("header", True).csv(landing).select("*", landed.alias("_landed"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether an earlier batch has written there, asked of the path's own file system."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+def healed_panel(spark: SparkSession, panel_path: str, out_path: str, fields: Sequence[str]) -> DataFrame:
+    """The panel as healed so far: committed quarters from ``out_path``, all others from the panel."""
+    panel = spark.read.parquet(panel_path)
+    schema = versions.columns(panel.schema, fields)
+    fresh = panel.join(versions.latest_versions(spark, out_path).select(PERIOD), PERIOD, "left_anti")
+    return fresh.unionByName(versions.read(spark, out_path, schema), allowMissingColumns=True)
+
+
+def heal_batch(spark: SparkSession, batch: DataFrame, panel_path: str, out_path: str, fields: Sequence[str], mark: str) -> bool:
+    """Heal the quarters a batch touches and commit them together under ``mark``; False where that is done already."""
+    # of repeated rows the later file's value counts, the larger one within a file; a cell it leaves empty is no value
+    last = lambda f: F.max(F.when(F.col(f).isNotNull(), F.struct("_landed", f))).getField(f).alias(f)
+    patch = batch.groupBy(ENTITY, PERIOD).agg(*[last(f) for f in fields])
+    quarters = patch.select(PERIOD).distinct()
+    panel = healed_panel(spark, panel_path, out_path, fields)
+    healed = heal(panel.join(quarters, PERIOD, "left_semi"), patch, fields)
+    return versions.commit(spark, out_path, healed, healed.select(PERIOD).distinct(), mark)
 
 
 def heal_stream(spark: SparkSession, landing: str, panel_path: str, out_path: str, checkpoint: str, fields: Sequence[str]):
-    """Write the healed rows of every quarter a batch brings, replacing that quarter's partition.
+    """Heal the quarters that landed files bring, a commit for each batch (see ``versions``); read with :func:`healed_panel`.
 
-    A quarter that an earlier batch healed goes on from its healed rows, so a later file for it loses nothing. The new
-    rows are written to the shared folder first, because they are read from the partitions they replace. A replayed
-    batch leaves the same rows. The panel is pruned to the batch's quarters by a semi-join on the period.
+    A quarter that an earlier batch healed goes on from its healed rows, so a later file for it loses nothing. A batch that
+    failed is made again as a whole, and one that was committed before its stream noted it is not made twice. The panel is pruned to the
+    batch's quarters by a semi-join on the period.
     """
 
-    def run(batch: DataFrame, _epoch: int) -> None:
-        # of repeated rows the later file's value counts, the larger one within a file; a cell it leaves empty is no value
-        last = lambda f: F.max(F.when(F.col(f).isNotNull(), F.struct("_landed", f))).getField(f).alias(f)
-        patch = batch.groupBy(ENTITY, PERIOD).agg(*[last(f) for f in fields])
-        spark = batch.sparkSession
-        panel, quarters = spark.read.parquet(panel_path), patch.select(PERIOD).distinct()
-        if _exists(spark, out_path):
-            done = spark.read.schema(panel.schema).parquet(out_path)
-            fresh = panel.join(done.select(PERIOD).distinct(), PERIOD, "left_anti")
-            panel = fresh.unionByName(done, allowMissingColumns=True)
-        touched = panel.join(quarters, PERIOD, "left_semi")
-        healed = materialize(heal(touched, patch, fields), "healed")
-        (
-            by_period(healed, PERIOD)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PERIOD)
-            .parquet(out_path)
-        )
+    def run(batch: DataFrame, epoch: int) -> None:
+        heal_batch(batch.sparkSession, batch, panel_path, out_path, fields, f"{checkpoint}#{epoch}")
 
     return (
         patch_stream(spark, landing, fields)

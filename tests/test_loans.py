@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from plan_nodes import ran
 from quarterdeck.functions import keys, missing
 from quarterdeck.functions.names import find_column, find_role, normalize_names
 from quarterdeck.operators import matrix, tagging, tracker
@@ -157,3 +158,26 @@ def test_tracker(spark):
     assert left == ["FA_COMBINED"]
     heat = {(r["QUARTER"], r["flag"]): r["yes_count"] for r in tracker.flag_heatmap(combined, left).collect()}
     assert heat == {("2024Q1", "FA_COMBINED"): 1, ("2024Q2", "FA_COMBINED"): 0}
+
+
+def test_join_rates_read_the_loans_once(spark, sf, folder):
+    """Alone in one pass; in the run while the loans are written. A hot empty key and keys without a lookup count like any other."""
+    parts = shapes.loan_extract(spark, sf), shapes.credit_lookup(spark, sf), shapes.reserve_lookup(spark, sf), shapes.property_lookup(spark, sf)
+    parts[0].write.parquet(f"{folder}/loans")
+    extract = spark.read.parquet(f"{folder}/loans")
+    alone = tagging.join_rates(tagging.clean_extract(extract), *parts[1:])
+    want = {r["lookup"]: tuple(r)[1:] for r in alone.collect()}
+    scans = [t for n, t in ran(alone) if n.startswith("Scan parquet") and "PRODUCT_BUCKET" in t]
+    assert len(scans) == 1 and set(want) == {"credit", "reserve", "property"}
+    plain = tagging.clean_extract(extract).select("PRODUCT_BUCKET", "ACCOUNT_NUMBER", "TL_FACILITY_DIGITS12").collect()
+    keys_of = {n: {r["key"] for r in rows.collect()} for n, rows in tagging.lookup_keys(*parts[1:]).items()}
+    for name, (key, scope) in tagging.LOOKUPS.items():
+        found = [r[key] for r in plain if r["PRODUCT_BUCKET"] in scope]
+        hits = sum(k is not None and k in keys_of[name] for k in found)
+        assert want[name] == (len(found), hits, pytest.approx(hits * 100 / len(found)))
+    run = loan_run.write_tagged(extract, *parts[1:], f"{folder}/tagged", "parquet")
+    assert {r["lookup"]: tuple(r)[1:] for r in run.collect()} == want
+    written = spark.read.parquet(f"{folder}/tagged")
+    assert not set(tagging.KNOWN.values()) & set(written.columns) and written.count() == len(plain)
+    empty = [p.limit(0) for p in parts]
+    assert {tuple(r) for r in tagging.join_rates(tagging.clean_extract(empty[0]), *empty[1:]).collect()} == {(n, 0, 0, None) for n in tagging.LOOKUPS}

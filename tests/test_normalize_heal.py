@@ -186,3 +186,18 @@ def test_npl_and_equity_mix(spark):
         (3.0, 15.0, 0.02, 0.01, 0.5, 0.25, 20.0, 0.0, 30.0),
         (-6.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),
     ]
+
+
+def test_status_is_counted_while_the_healed_rows_are_written(spark):
+    """One run of the heal join: what comes back reads the written rows only."""
+    df = spark.createDataFrame([(1, DAY, None), (2, DAY, 3.0), (3, DAY, None)], "CERT long, REPDTE date, RCONJ466 double").withColumn("RCFDJ466", F.lit(None).cast("double"))
+    patch = spark.createDataFrame([(1, DAY, 9.0)], "CERT long, REPDTE date, RCONJ466 double")
+    done = heal.heal_with_status(df, patch)
+    assert "Join" not in done._jdf.queryExecution().optimizedPlan().toString()
+    want = {1: (9.0, 1, "SUCCESS"), 2: (3.0, 1, "SUCCESS"), 3: (None, 0, "MISSING_DATA")}
+    assert {r["CERT"]: (r["RCONJ466"], r["RIC_SOURCE_AVAILABLE"], r["RIC_Source_Status"]) for r in done.collect()} == want
+    lazy = heal.heal_status(heal.heal(df, patch))
+    assert {r["CERT"]: (r["RCONJ466"], r["RIC_SOURCE_AVAILABLE"], r["RIC_Source_Status"]) for r in lazy.collect()} == want
+    for rows in (df.filter("false"), df.withColumn("RCONJ466", F.lit(None).cast("double"))):
+        assert {r["RIC_Source_Status"] for r in heal.heal_with_status(rows, patch.filter("false")).collect()} == ({"NO_FIELDS"} if rows.count() else set())
+    assert [r["RIC_Source_Status"] for r in heal.heal_with_status(df.drop("RCONJ466", "RCFDJ466"), patch.drop("RCONJ466")).collect()] == ["NO_FIELDS"] * 3

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.operators import eventtext, quality
 from quarterdeck.session import materialize, scratch_path
-from quarterdeck.sources import callreport, delimited, jsonrows, lines, sinks
+from quarterdeck.sources import callreport, delimited, jsonrows, lines, sinks, versions
 from quarterdeck.streaming import landing
 
 
@@ -210,14 +210,58 @@ def test_patch_stream_heals_touched_quarters(spark, folder):
     spark.createDataFrame(rows, "CERT long, REPDTE date, LNLS double").write.partitionBy("REPDTE").parquet(panel)
     put(drop, "one.csv", "CERT,LNLS,REPDTE\n1,7.0,2024-03-31\n2,8.0,2024-03-31\n")
     run = lambda: landing.heal_stream(spark, drop, panel, out, os.path.join(folder, "ck"), fields).awaitTermination(120)
+    now = lambda: landing.healed_panel(spark, panel, out, fields)
     assert run()
-    assert {(r["CERT"], str(r["REPDTE"]), r["LNLS"]) for r in spark.read.parquet(out).collect()} == {(1, "2024-03-31", 7.0), (2, "2024-03-31", 5.0), (3, "2024-03-31", 0.0)}
+    assert {(r["CERT"], str(r["REPDTE"]), r["LNLS"]) for r in now().filter("REPDTE = '2024-03-31'").collect()} == {(1, "2024-03-31", 7.0), (2, "2024-03-31", 5.0), (3, "2024-03-31", 0.0)}
     put(drop, "two.csv", "CERT,LNLS,REPDTE\n1,9.0,2024-06-30\n")
     assert run()
-    assert spark.read.parquet(out).count() == 4
+    assert now().count() == 4 and now().filter("REPDTE = '2024-06-30'").first()["LNLS"] == 9.0
     put(drop, "three.csv", "CERT,LNLS,REPDTE\n3,6.0,2024-03-31\n")
     assert run()  # a later file for a healed quarter keeps what the first one healed
-    assert {(r["CERT"], r["LNLS"]) for r in spark.read.parquet(out).where("REPDTE = '2024-03-31'").collect()} == {(1, 7.0), (2, 5.0), (3, 6.0)}
+    assert {(r["CERT"], r["LNLS"]) for r in now().where("REPDTE = '2024-03-31'").collect()} == {(1, 7.0), (2, 5.0), (3, 6.0)}
+    assert versions.replaced(spark, out).count() == 1
+
+
+def landed(spark, rows):
+    df = spark.createDataFrame(rows, "CERT long, REPDTE date, LNLS double")
+    return df.withColumn("_landed", F.struct(F.current_timestamp().alias("at"), F.lit("f").alias("name")))
+
+
+def test_a_job_that_dies_leaves_the_old_quarter(spark, folder, monkeypatch):
+    """Killed after its rows are written and before its log is in place: readers see the old rows, and the batch can be made again."""
+    panel, out = (os.path.join(folder, n) for n in ("panel", "out"))
+    day, other = dt.date(2024, 3, 31), dt.date(2024, 6, 30)
+    spark.createDataFrame([(1, day, None), (2, day, 5.0), (1, other, 3.0)], "CERT long, REPDTE date, LNLS double").write.partitionBy("REPDTE").parquet(panel)
+    state = lambda: sorted((r["CERT"], str(r["REPDTE"]), r["LNLS"]) for r in landing.healed_panel(spark, panel, out, ["LNLS"]).collect())
+    heal = lambda rows, mark: landing.heal_batch(spark, landed(spark, rows), panel, out, ["LNLS"], mark)
+    assert heal([(1, day, 7.0)], "s#0")
+    first = state()
+    assert first == [(1, "2024-03-31", 7.0), (1, "2024-06-30", 3.0), (2, "2024-03-31", 5.0)]
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "point", die)
+        with pytest.raises(RuntimeError, match="killed"):
+            heal([(9, day, 1.0), (1, other, 4.0)], "s#1")
+    assert os.path.isdir(f"{out}/rows/version=2") and state() == first
+    assert heal([(1, day, 8.0), (2, other, 4.0)], "s#1") and state() == first  # own values win; the quarters are versions 2 now
+    assert not heal([(1, day, 0.5)], "s#1") and state() == first  # the same batch is not made twice
+    pointers = {str(r["REPDTE"]): r["version"] for r in versions.latest_versions(spark, out).collect()}
+    assert pointers == {"2024-03-31": 2, "2024-06-30": 2}
+    assert heal([], "s#2") and not heal([], "s#2") and state() == first
+
+
+def test_a_reader_that_began_goes_on_with_its_version(spark, folder):
+    root, day = os.path.join(folder, "t"), dt.date(2024, 3, 31)
+    frame = lambda v: spark.createDataFrame([(1, v, day)], "CERT long, v double, REPDTE date")
+    assert versions.read(spark, root, frame(0.0).schema).count() == 0
+    versions.commit(spark, root, frame(1.0), frame(1.0).select("REPDTE"), "a")
+    begun = versions.read(spark, root, frame(0.0).schema)
+    versions.commit(spark, root, frame(2.0), frame(2.0).select("REPDTE"), "b")
+    assert [r["v"] for r in begun.collect()] == [1.0]
+    assert [r["v"] for r in versions.read(spark, root, frame(0.0).schema).collect()] == [2.0]
 
 
 def test_of_two_patch_files_in_one_batch_the_later_counts(spark, folder):
@@ -228,7 +272,7 @@ def test_of_two_patch_files_in_one_batch_the_later_counts(spark, folder):
     put(drop, "a.csv", "CERT,LNLS,REPDTE\n1,7.0,2024-03-31\n2,,2024-03-31\n")
     os.utime(os.path.join(drop, "b.csv"), (1_700_000_000, 1_700_000_000))
     assert landing.heal_stream(spark, drop, panel, out, os.path.join(folder, "ck"), ["LNLS"]).awaitTermination(120)
-    assert {(r["CERT"], r["LNLS"]) for r in spark.read.parquet(out).collect()} == {(1, 7.0), (2, 8.0)}
+    assert {(r["CERT"], r["LNLS"]) for r in landing.healed_panel(spark, panel, out, ["LNLS"]).collect()} == {(1, 7.0), (2, 8.0)}
 
 
 def test_shared_folder_is_used(spark):
