@@ -9,14 +9,14 @@ from quarterdeck.catalog.loans import flagged
 from quarterdeck.catalog.normalization import derived, derived_table
 from quarterdeck.catalog.sql import register, with_ctes
 from quarterdeck.functions.missing import RATIO_POLICIES
-from quarterdeck.operators import composite, dictionary, quality, tagging
+from quarterdeck.operators import composite, dictionary, normalize, quality, tagging
 from quarterdeck.plans.shapes import peer_groups, table
 
 SUBJECT = 1
 # Group ids follow the display order; AFRICA (1) is standard, AMERICA (2) normalised.
 PAIRS = [(ID_BASE + 1, ID_BASE + 2), (ID_BASE + 3, ID_BASE + 4)]
 RULE_COLUMNS = ["TTM_NCO_Rate", "NPL_to_Gross_Loans_Rate", "Norm_NCO_Rate", "Norm_Nonaccrual_Rate", "Norm_Fund_Finance_Composition"]
-CHECK_COLUMNS = [*RULE_COLUMNS, "Excluded_NCO_TTM", "Total_NCO_TTM", "Excluded_Nonaccrual", "Total_Nonaccrual", "Excluded_PD30", "TopHouse_PD30", "Excluded_Balance", "Gross_Loans", "_audit_resi_balance_fallback_used"]
+CHECK_COLUMNS = [*RULE_COLUMNS, "Excluded_NCO_TTM", "Total_NCO_TTM", "Excluded_Nonaccrual", "Total_Nonaccrual", "Excluded_PD30", "TopHouse_PD30", "Excluded_Balance", "Gross_Loans", *normalize.UNSUPPORTED, "_audit_resi_balance_fallback_used"]
 
 
 def with_groups(spark, sf, columns, blank=False):
@@ -28,15 +28,24 @@ def with_groups(spark, sf, columns, blank=False):
 
 
 def formula_validation(spark, sf):
-    specs = [s for s in quality.METRIC_SPECS if not (s.code == "RIC_CRE_Risk_Adj_Coverage")]
-    report = quality.validate_formulas(derived(spark, sf), specs)
-    return report.drop("rel_error")
+    return quality.validate_formulas(derived(spark, sf))
+
+
+GONE = ["SBL_Balance", "RIC_CRE_Cost"]
+
+
+def formula_gaps(spark, sf):
+    """Two columns are missing: the metrics that need them are told, the others are checked."""
+    df = derived(spark, sf).drop(*GONE)
+    return quality.validation_summary(quality.validate_formulas(df)).join(
+        quality.validate_formulas(df).groupBy("metric_code").agg(F.max("missing_dependencies").alias("missing_dependencies")), "metric_code"
+    )
 
 
 def formula_summary(spark, sf):
     """One metric is shifted, so that failures show."""
     df = derived(spark, sf).withColumn("SBL_Composition", F.col("SBL_Composition") + F.when(F.quarter("REPDTE") == 2, 1.5).otherwise(0.0))
-    return quality.validation_summary(quality.validate_formulas(df)).drop("max_abs_error")
+    return quality.validation_summary(quality.validate_formulas(df))
 
 
 def dependency_map(spark, sf):
@@ -121,6 +130,7 @@ def dictionary_export(spark, sf):
 QUERIES = {
     "formula_validation": formula_validation,
     "formula_summary": formula_summary,
+    "formula_gaps": formula_gaps,
     "dependency_map": dependency_map,
     "over_exclusion": over_exclusion,
     "flatline": flatline,
@@ -162,7 +172,16 @@ def formula_sql(specs, source="derived"):
             f"select CERT, REPDTE, '{s.code}' as metric_code, cast({a} as double) as actual, cast({e} as double) as expected, {low} as below_min, {high} as above_max, {neg} as unexpected_negative from {source}"
         )
     return f"""select *, matches and not below_min and not above_max and not unexpected_negative as row_pass from (
-        select *, abs(actual - expected) as abs_error, case when actual is null or expected is null then actual is null and expected is null else abs(actual - expected) <= 1e-10 + 1e-6 * abs(expected) end as matches from ({' union all '.join(parts)}))"""
+        select *, abs(actual - expected) as abs_error, abs(actual - expected) / nullif(abs(expected), 0) as rel_error, cast(null as varchar) as missing_dependencies, case when actual is null or expected is null then actual is null and expected is null else abs(actual - expected) <= 1e-10 + 1e-6 * abs(expected) end as matches from ({' union all '.join(parts)}))"""
+
+
+def summary_sql(report):
+    return f"""select metric_code, count(*) as rows_checked, count(*) filter (not row_pass) as rows_failed, count(*) filter (not matches) as formula_mismatches, count(*) filter (below_min) as below_min,
+        count(*) filter (above_max) as above_max, max(abs_error) as max_abs_error from ({report}) group by 1"""
+
+
+def lost(s):
+    return ", ".join(d for d in s.dependencies if d in GONE)
 
 
 _SHIFTED = "(select * replace (SBL_Composition + case when quarter(REPDTE) = 2 then 1.5 else 0.0 end as SBL_Composition) from derived)"
@@ -209,12 +228,14 @@ _P3 = "select 'RCON' || n_nationkey as code, n_name as name from nation"
 _STRIP = "regexp_replace(k, '^(RCFD|RCON|RIAD|RCFA|RCOA|RCFN|RCFW|RCOW)', '')"
 
 ORACLES = {
-    "formula_validation": with_ctes(formula_sql([s for s in quality.METRIC_SPECS if s.code != "RIC_CRE_Risk_Adj_Coverage"]), "derived"),
-    "formula_summary": with_ctes(
-        f"""select metric_code, count(*) as rows_checked, count(*) filter (not row_pass) as rows_failed, count(*) filter (not matches) as formula_mismatches, count(*) filter (below_min) as below_min, count(*) filter (above_max) as above_max
-            from ({formula_sql(quality.METRIC_SPECS, _SHIFTED)}) group by 1""",
+    "formula_validation": with_ctes(formula_sql(quality.METRIC_SPECS), "derived"),
+    "formula_gaps": with_ctes(
+        summary_sql(formula_sql([s for s in quality.METRIC_SPECS if not lost(s) and s.code not in GONE])).replace("from (", ", cast(null as varchar) as missing_dependencies from (", 1)
+        + "".join(f" union all select '{s.code}', count(*), count(*), 0, 0, 0, null, '{lost(s)}' from derived" for s in quality.METRIC_SPECS if lost(s))
+        + " union all select 'SBL_Balance', count(*), count(*), count(*), 0, 0, null, null from derived",
         "derived",
     ),
+    "formula_summary": with_ctes(summary_sql(formula_sql(quality.METRIC_SPECS, _SHIFTED)), "derived"),
     "dependency_map": with_ctes(
         " union all ".join(f"select '{d}' as dependency, '{m}' as metric_code, count({d}) as filled_rows from derived" for d, m in _DEPS), "derived"
     ),
@@ -231,7 +252,8 @@ ORACLES = {
             union all select 'C_DuplicateComposite', 'DuplicateComposite', 'medium', (select count(*) from ({_DUP}))
             union all select 'D_OutputContamination', 'OutputContamination', 'high', (select count(*) from ({_CONT}))
             union all select 'E_ConsumerLinkage', 'OrphanedMetric', 'low', {_ORPHANS}
-            union all select 'F_UnsupportedMappings', 'UnsupportedMapping__audit_resi_balance_fallback_used', 'low', count(*) from audited where {_LAST} and fallback) where findings > 0""",
+            union all select 'F_UnsupportedMappings', 'UnsupportedMapping__audit_resi_balance_fallback_used', 'low', count(*) from audited where {_LAST} and fallback
+            union all select 'F_UnsupportedMappings', 'UnsupportedMapping_' || unnest(['_audit_unsupported_ndfi_pdna', '_audit_ndfi_nco_unsupported']), 'low', (select count(*) from audited where {_LAST})) where findings > 0""",
         "audited_all",
     ),
     "preflight": with_ctes(_PRE, "sevs"),

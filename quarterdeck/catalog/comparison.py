@@ -9,7 +9,9 @@ from quarterdeck.catalog.normalization import derived, derived_table
 from quarterdeck.catalog.panel import E
 from quarterdeck.catalog.sql import register, with_ctes
 from quarterdeck.operators import compare, composite
-from quarterdeck.plans.shapes import bank_panel, peer_groups
+from quarterdeck.plans.shapes import bank_panel, daily_series, peer_groups
+from quarterdeck.session import scratch_path
+from quarterdeck.sources import sinks
 
 SUBJECT = 1
 PEER = 2
@@ -146,8 +148,21 @@ def ratio_components(spark, sf):
 
 
 def latest_per_entity(spark, sf):
-    df = bank_panel(spark, sf, ["LNLS", "LNRECONS"]).filter("LNRECONS > 0")
-    return compare.latest_per_entity(df).select("CERT", "REPDTE", "LNRECONS")
+    """Each supplier's last day; the days differ."""
+    return compare.latest_per_entity(daily_series(spark, sf), "SeriesID", "DATE").select("SeriesID", "DATE", "VALUE")
+
+
+def latest_partition(spark, sf):
+    """The last quarter of a panel that is laid out by quarter: one folder is read."""
+    path = sinks.write_tables({"panel": bank_panel(spark, sf, ["LNLS", "LNCI"])}, scratch_path(spark, "tables"))["panel"]
+    return sinks.latest_partition(spark, path).select("CERT", "REPDTE", "LNLS", "LNCI")
+
+
+def arg_max_row(spark, sf):
+    """The whole row of the largest loans of each entity, and of all."""
+    df = bank_panel(spark, sf, ["LNLS", "LNCI"])
+    every = compare.arg_max(df, "LNLS", ["CERT"], ["REPDTE", "CERT"]).withColumn("scope", F.lit("entity"))
+    return every.unionByName(compare.arg_max(df, "LNLS", [], ["REPDTE", "CERT"]).withColumn("scope", F.lit("all")))
 
 
 QUERIES = {
@@ -174,6 +189,8 @@ QUERIES = {
     "peer_table": peer_table,
     "ratio_components": ratio_components,
     "latest_per_entity": latest_per_entity,
+    "latest_partition": latest_partition,
+    "arg_max_row": arg_max_row,
 }
 
 register("now", "select * from derived where REPDTE = (select max(REPDTE) from derived)", ("derived",))
@@ -351,5 +368,11 @@ ORACLES = {
         "now",
     ),
     "ratio_components": with_ctes(components_sql(), "now"),
-    "latest_per_entity": with_ctes("select CERT, REPDTE, LNRECONS from panel where LNRECONS > 0 qualify row_number() over (partition by CERT order by REPDTE desc) = 1", "panel"),
+    "latest_per_entity": with_ctes("select * from series qualify DATE = max(DATE) over (partition by SeriesID)", "series"),
+    "latest_partition": with_ctes("select CERT, REPDTE, LNLS, LNCI from panel where REPDTE = (select max(REPDTE) from panel)", "panel"),
+    "arg_max_row": with_ctes(
+        """select CERT, REPDTE, LNLS, LNCI, 'entity' as scope from panel where LNLS is not null qualify row_number() over (partition by CERT order by LNLS desc, REPDTE desc) = 1
+           union all (select CERT, REPDTE, LNLS, LNCI, 'all' from panel where LNLS is not null order by LNLS desc, REPDTE desc, CERT desc limit 1)""",
+        "panel",
+    ),
 }

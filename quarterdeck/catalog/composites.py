@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.catalog.normalization import derived, derived_table
 from quarterdeck.catalog.sql import register, with_ctes
-from quarterdeck.operators import composite
+from quarterdeck.operators import composite, ratios
 from quarterdeck.plans.shapes import bank_panel, peer_groups
 
 METRICS = ["LNLS", "ASSET", "TTM_NCO_Rate", "Past_Due_Rate", "Norm_Gross_Loans", "Norm_NCO_Rate", "RIC_CRE_ACL_Share"]
@@ -39,6 +39,17 @@ def panel_with_composites(spark, sf):
     return both.withColumn("TTM_NCO_Rate", F.round("TTM_NCO_Rate", 9)).withColumn("LNLS", F.round("LNLS", 3))
 
 
+SHARE_INPUTS = ["Total_ACL", "Total_Reg_ACL", "RIC_Calculated_ACL", "RIC_CRE_ACL_Share", "RIC_Constr_ACL_Share", "RIC_Comm_ACL_Share", "RIC_Resi_ACL_Share", "RIC_OthCons_ACL_Share", "RIC_Card_ACL_Share"]
+
+
+def group_shares_with_composites(spark, sf):
+    """Averages have no benchmark of their own."""
+    panel = derived_table(spark, sf, SHARE_INPUTS)
+    extra = composite.composites(panel, peer_groups(spark, sf), SHARE_INPUTS, id_base=ID_BASE).drop("NAME", "group_key", "member_count")
+    df = ratios.group_shares(composite.with_composites(panel, extra))
+    return df.select("CERT", "REPDTE", "is_composite", "ACL_Integrity_Status", F.round("Group_CRE_ACL_Share", 9).alias("Group_CRE_ACL_Share"))
+
+
 def member_audit(spark, sf):
     """Members with a card balance in any quarter count as found."""
     df = bank_panel(spark, sf, ["LNCRCD"]).filter("LNCRCD > 0")
@@ -79,6 +90,7 @@ QUERIES = {
     "composite_weighted": composite_weighted,
     "combined_entity": combined_entity,
     "panel_with_composites": panel_with_composites,
+    "group_shares_with_composites": group_shares_with_composites,
     "member_audit": member_audit,
     "all_members": all_members,
     "coverage_audit": coverage_audit,
@@ -127,8 +139,14 @@ ORACLES = {
         "derived",
     ),
     "panel_with_composites": with_ctes(
-        f"""select CERT, REPDTE, round(LNLS, 3) as LNLS, round(TTM_NCO_Rate, 9) as TTM_NCO_Rate, cast(null as varchar) as NAME from derived
-            union all select cast({ID_BASE} + display_order as bigint), REPDTE, round(avg(LNLS), 3), case when not use_normalized then round(avg(TTM_NCO_Rate), 9) end, 'AVG: ' || group_key {_JOIN} {_BY}""",
+        f"""select CERT, REPDTE, round(LNLS, 3) as LNLS, round(TTM_NCO_Rate, 9) as TTM_NCO_Rate, cast(null as varchar) as NAME, false as is_composite from derived
+            union all select cast({ID_BASE} + display_order as bigint), REPDTE, round(avg(LNLS), 3), case when not use_normalized then round(avg(TTM_NCO_Rate), 9) end, 'AVG: ' || group_key, true {_JOIN} {_BY}""",
+        "derived",
+        "bridge",
+    ),
+    "group_shares_with_composites": with_ctes(
+        f"""select CERT, REPDTE, false as is_composite, ACL_Integrity_Status, round(Group_CRE_ACL_Share, 9) as Group_CRE_ACL_Share from derived
+            union all select cast({ID_BASE} + display_order as bigint), REPDTE, true, 'NO_BENCHMARK', round(avg(RIC_CRE_ACL_Share) + avg(RIC_Constr_ACL_Share), 9) {_JOIN} {_BY}""",
         "derived",
         "bridge",
     ),

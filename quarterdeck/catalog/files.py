@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarterdeck.catalog.loans import flagged
 from quarterdeck.catalog.sql import with_ctes
 from quarterdeck.functions.names import find_column, normalize_names
+from quarterdeck.functions import keys
 from quarterdeck.functions.missing import with_missing
 from quarterdeck.operators import eventtext
 from quarterdeck.plans.shapes import LINE_MEASURES, bank_panel, loan_extract, table
@@ -53,6 +54,24 @@ def schedule_cells(spark, sf):
     return delimited.parse_schedule(spark, path)
 
 
+def crosswalk_build(spark, sf):
+    """A reporter file with ids that are no numbers, zeros and repeats, limited to the customers of one segment."""
+    rows = table(spark, sf, "orders").selectExpr(
+        "if(o_orderkey % 7 = 0, concat('x', o_orderkey), cast(o_orderkey as string)) as IDRSSD", "if(o_orderkey % 5 = 0, 0, o_custkey) as `FDIC Certificate Number`", "o_orderpriority as `Financial Institution Name`"
+    )
+    path = scratch_path(spark, "reporters")
+    rows.unionByName(rows.filter("`FDIC Certificate Number` % 3 = 0")).write.option("header", True).option("sep", "\t").csv(path)
+    wanted = table(spark, sf, "customer").filter("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("CERT"))
+    return callreport.build_crosswalk(spark, path, wanted)
+
+
+def padded_nulls(spark, sf):
+    """Null words that an earlier step has padded with zeros, next to real keys."""
+    word = "case o_orderpriority when '1-URGENT' then 'nan' when '2-HIGH' then 'None' when '3-MEDIUM' then '' when '4-NOT SPECIFIED' then 'NaT00' else cast(o_custkey as string) end"
+    padded = table(spark, sf, "orders").select("o_orderkey", F.lpad(F.expr(word), 12, "0").alias("raw"))
+    return padded.select("o_orderkey", keys.drop_padded_nulls("raw").alias("key"), keys.drop_padded_nulls(F.when(F.col("o_orderkey") % 2 == 0, F.lit("  ")).otherwise(F.col("raw"))).alias("other"))
+
+
 def tagged_sink(spark, sf):
     """The tagged extract written as CSV and loaded again."""
     path = scratch_path(spark, "tagged")
@@ -142,6 +161,8 @@ def event_text_documents(spark, sf):
 
 QUERIES = {
     "typed_csv": typed_csv,
+    "crosswalk_build": crosswalk_build,
+    "padded_nulls": padded_nulls,
     "titled_extract": titled_extract,
     "schedule_cells": schedule_cells,
     "tagged_sink": tagged_sink,
@@ -164,7 +185,11 @@ def clock(i):
     return f"{_DAY} + to_minutes(case o_orderpriority {times} end)"
 
 
+_PADDED = "case o_orderpriority when '1-URGENT' then null when '2-HIGH' then null when '4-NOT SPECIFIED' then null when '3-MEDIUM' then '000000000000' else lpad(cast(o_custkey as varchar), 12, '0') end"
 ORACLES = {
+    "crosswalk_build": """select o_orderkey as IDRSSD, o_custkey as CERT from orders join customer on o_custkey = c_custkey
+        where o_orderkey % 7 <> 0 and o_orderkey % 5 <> 0 and c_mktsegment = 'MACHINERY'""",
+    "padded_nulls": f"select o_orderkey, {_PADDED} as key, case when o_orderkey % 2 <> 0 then {_PADDED} end as other from orders",
     "titled_extract": """select cast(o_orderkey as varchar) as Key, 'C, ' || o_custkey as Customer, case o_orderstatus when 'O' then o_orderpriority || chr(10) || '"' || o_custkey || '"' || chr(10) || chr(10) || 'end'
         when 'F' then o_orderpriority end as Comment from orders union all select 'Key', 'Customer', 'Comment' from range(5) union all select 'Extract', ' as of', null from range(5)""",
     "schedule_cells": "select l_orderkey as IDRSSD, 'RCFD' || l_linenumber as code, max(floor(l_extendedprice))::double as value from lineitem where l_linenumber <= 3 group by l_returnflag, l_orderkey, l_linenumber",

@@ -185,23 +185,29 @@ def _technical(spark, sf):
 
 
 def signals(spark, sf):
-    """The best indicator rotates over the suppliers' return-flag majority, so that every rule is used."""
-    best = {"A": "SMA", "N": "Bollinger Bands", "R": "RSI"}
-    pick = F.create_map(*[F.lit(x) for kv in best.items() for x in kv])
+    """The best indicator rotates over the suppliers' return-flag majority and number, so that every rule is used."""
     share = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("SeriesID")).agg(
         F.max_by("l_returnflag", F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_returnflag")).alias("flag")
     )
-    df = _technical(spark, sf).join(share.select("SeriesID", pick[F.col("flag")].alias("best_technical")), "SeriesID")
+    best = F.expr("case when flag = 'A' or SeriesID % 5 = 0 then if(SeriesID % 2 = 0, 'EMA', 'SMA') when flag = 'N' then 'Bollinger Bands' else 'RSI' end")
+    df = _technical(spark, sf).join(share.select("SeriesID", best.alias("best_technical")), "SeriesID")
     return indicators.select_signals(df).select("SeriesID", "DATE", "best_technical", "signal")
 
 
 def indicator_long(spark, sf):
-    df = r(_technical(spark, sf), *indicators.indicator_columns(), digits=4)
-    return series.indicator_long(df, ["SMA", "RSI", "BB_Width"])
+    """All seven indicators and the value itself, with the attributes of the series that have any."""
+    df = _technical(spark, sf)
+    dimension = df.select("SeriesID").distinct().filter("SeriesID % 10 <> 0").selectExpr(
+        "SeriesID", "if(SeriesID % 2 = 0, 'leading', 'lagging') as Type", "if(SeriesID % 3 = 0, 'short', 'long') as Horizon", "concat('s', SeriesID % 4, '|all') as Sectors"
+    )
+    columns = indicators.indicator_columns()
+    return r(series.indicator_long(df, columns, dimension, "Actual Value"), "Indicator_Value", digits=4)
 
 
 def long_horizon(spark, sf):
-    df = indicators.analysis_fields(indicators.long_horizon(monthly(spark, sf)))
+    """Fields of the long view, with context where a series has levels."""
+    levels = F.expr("case when SeriesID < 30 then map('stress', 80000D, 'recession', 50000D) when SeriesID < 60 then map('Expansion', 60000D, 'curve_inversion', 45000.5D) end")
+    df = indicators.analysis_fields(indicators.long_horizon(monthly(spark, sf)).withColumn("levels", levels), "levels").drop("levels")
     return r(df, "ma_12", "ma_24", "yoy_pct", "trend_slope_pct", "z_36", digits=5)
 
 
@@ -353,9 +359,10 @@ def signal_sql():
       when {v} < BB_Lower and {lv} >= {_L.format('BB_Lower')} then 'Volatility Breakout (Low/Recession)' when {v} < BB_Lower then 'Sustained Low Pressure' else 'Neutral (Range-bound)' end"""
     rs = f"""case when RSI is null then 'Awaiting Data' when RSI > 80 then 'Extreme Overbought (High Momentum)' when RSI > 70 then 'Overbought' when RSI < 20 then 'Extreme Oversold (Low Momentum)' when RSI < 30 then 'Oversold'
       when RSI > avg(RSI) over {rows(5)} and RSI > 50 then 'Gaining Bullish Momentum' when RSI < avg(RSI) over {rows(5)} and RSI < 50 then 'Gaining Bearish Momentum' else 'Neutral Momentum' end"""
-    return f"""select SeriesID, DATE, best_technical, case when not ok then 'Awaiting Data (Insufficient History)' when best_technical = 'SMA' then a when best_technical = 'RSI' then c else b end as signal from (
-      select *, {_ENOUGH} as ok, {sma} as a, {bb} as b, {rs} as c from tech) join (
-      select l_suppkey as SeriesID, case first(l_returnflag order by l_shipdate desc, l_orderkey desc, l_linenumber desc, l_returnflag desc) when 'A' then 'SMA' when 'N' then 'Bollinger Bands' else 'RSI' end as best_technical from lineitem group by 1) using (SeriesID)"""
+    return f"""select SeriesID, DATE, best_technical, case when not ok then 'Awaiting Data (Insufficient History)' when best_technical = 'SMA' then a when best_technical = 'EMA' then d when best_technical = 'RSI' then c else b end as signal from (
+      select *, {_ENOUGH} as ok, {sma} as a, {bb} as b, {rs} as c, {sma.replace('SMA', 'EMA')} as d from tech join (select SeriesID, DATE, EMA from e) using (SeriesID, DATE)) join (
+      select SeriesID, case when flag = 'A' or SeriesID % 5 = 0 then if(SeriesID % 2 = 0, 'EMA', 'SMA') when flag = 'N' then 'Bollinger Bands' else 'RSI' end as best_technical from (
+        select l_suppkey as SeriesID, first(l_returnflag order by l_shipdate desc, l_orderkey desc, l_linenumber desc, l_returnflag desc) as flag from lineitem group by 1)) using (SeriesID)"""
 
 
 _Z = "case when s36 > 0 then abs((v - m36) / nullif(s36, 0)) else 0.0 end"
@@ -466,15 +473,22 @@ ORACLES = {
     "trend_slope": with_ctes(
         f"select SeriesID, DATE, round(case when count(*) over {rows(12)} = 12 then coalesce(regr_slope(VALUE, pos) over {rows(12)} * 12 / nullif(avg(VALUE) over {rows(12)}, 0) * 100, 0.0) else 0.0 end, 6) as slope_pct from known", "known"
     ),
-    "signals": with_ctes(signal_sql(), "tech"),
-    "indicator_long": with_ctes(
-        "select SeriesID, DATE, unnest(['SMA', 'RSI', 'BB_Width']) as Indicator_Name, unnest([round(SMA, 4), round(RSI, 4), round(BB_Width, 4)]) as Indicator_Value from tech", "tech"
+    "signals": with_recursive(ema_sql(6, "known"), signal_sql(), "tech"),
+    "indicator_long": with_recursive(
+        ema_sql(6, "known"),
+        f"""select SeriesID, DATE, Indicator_Name, round(v, 4) as Indicator_Value, case when SeriesID % 10 <> 0 then if(SeriesID % 2 = 0, 'leading', 'lagging') end as Type,
+            case when SeriesID % 10 <> 0 then if(SeriesID % 3 = 0, 'short', 'long') end as Horizon, case when SeriesID % 10 <> 0 then 's' || (SeriesID % 4) || '|all' end as Sectors from (
+            select SeriesID, DATE, unnest(['Actual Value', 'SMA', 'EMA', 'BB_Upper', 'BB_Lower', 'BB_Width', 'RSI', 'ZScore']) as Indicator_Name, unnest([VALUE, SMA, EMA, BB_Upper, BB_Lower, BB_Width, RSI, z]) as v
+            from (select *, coalesce((VALUE - avg(VALUE) over {rows(12)}) / nullif(stddev_samp(VALUE) over {rows(12)}, 0), 0.0) as z from tech) join (select SeriesID, DATE, EMA from e) using (SeriesID, DATE))""",
+        "tech",
     ),
     "long_horizon": with_ctes(
         """select SeriesID, DATE, VALUE, year_ago, round(ma_12, 5) as ma_12, round(yoy_pct, 5) as yoy_pct, round(ma_24, 5) as ma_24, round(trend_slope_pct, 5) as trend_slope_pct, round(z_36, 5) as z_36, percentile_60,
            case when trend_slope_pct > 0.5 then 'upward' when trend_slope_pct < -0.5 then 'downward' when trend_slope_pct is not null then 'sideways' end as trend_direction,
            case when VALUE > ma_12 then 'above' when ma_12 is not null then 'below' end as ma_signal,
-           case when z_36 > 2 then 'extreme high' when z_36 < -2 then 'extreme low' when z_36 > 1 then 'elevated' when z_36 < -1 then 'depressed' end as volatility_status from horizon""",
+           case when z_36 > 2 then 'extreme high' when z_36 < -2 then 'extreme low' when z_36 > 1 then 'elevated' when z_36 < -1 then 'depressed' end as volatility_status,
+           case when SeriesID < 30 then concat_ws('. ', case when VALUE > 80000 then 'Value exceeds stress threshold of 80000.00' end, case when VALUE < 50000 then 'Below recession threshold of 50000.00' end)
+             when SeriesID < 60 then concat_ws('. ', case when VALUE > 60000 then 'In expansion territory (above 60000.00)' end, case when VALUE < 45000.5 then 'Yield curve inverted (below 45000.50)' end) end as benchmark_context from horizon""",
         "horizon",
     ),
     "risk_score": with_ctes(_RISK, "known"),

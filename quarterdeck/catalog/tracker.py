@@ -14,7 +14,7 @@ QUARTERS = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)][:-1]
 
 def deduped(spark, sf):
     df = deal_tracker(spark, sf)
-    date, gross = find_role(df.columns, "date"), find_role(df.columns, "gross")
+    date, gross = find_role(df.columns, "date", "tracker"), find_role(df.columns, "gross")
     return tracker.dedup_latest(df, "TRACKER_FILE_V", "RELATIONSHIP_NAME", date, [gross, "DEAL_ID"])
 
 
@@ -23,8 +23,10 @@ def tracker_dedup(spark, sf):
 
 
 def tracker_flag_heatmap(spark, sf):
+    """Flag columns are those that hold a Y, whatever their names; numbers, dates and keys are not asked."""
     df = deduped(spark, sf)
-    df, flags = tracker.combine_families(df, FLAG_COLUMNS)
+    texts = [c for c, t in df.dtypes if t == "string" and c not in ("BORROWER_KEY", "QUARTER")]
+    df, flags = tracker.combine_families(df, tracker.yes_columns(df, texts))
     return tracker.flag_heatmap(df, flags)
 
 

@@ -46,9 +46,14 @@ ROLE_WORDS = {
 }
 
 
-def find_role(columns: Sequence[str], role: str) -> str | None:
-    """First column holding every word of the strongest rule that matches anything."""
-    for words in ROLE_WORDS[role]:
+def find_role(columns: Sequence[str], role: str, word: str | None = None) -> str | None:
+    """First column holding every word of the strongest rule that matches anything.
+
+    ``word`` makes a rule of its own before all others: the column that has it besides the role's own word, as where a tracker's
+    date column begins with the name of its committee.
+    """
+    rules = ROLE_WORDS[role]
+    for words in ([(word.upper(), *rules[-1])] if word else []) + rules:
         for column in columns:
             if all(word in column.upper() for word in words):
                 return column

@@ -61,6 +61,13 @@ def latest_per_entity(df: DataFrame, entity: str = ENTITY, period: str = PERIOD)
     return df.join(newest, [entity, period], "left_semi")
 
 
+def arg_max(df: DataFrame, value: str, keys: Sequence[str] = (), then: Sequence[str] = ()) -> DataFrame:
+    """The whole row of the largest ``value``, per key or of all; ``then`` decides ties by the larger. An aggregate, so no key is hot."""
+    known = df.filter(F.col(value).isNotNull())
+    best = F.max_by(F.struct(*df.columns), F.struct(value, *then)).alias("r")
+    return known.groupBy(*keys).agg(best).select("r.*").filter(F.col(value).isNotNull())
+
+
 def members_only(df: DataFrame, bridge: DataFrame, group: str, entity: str = ENTITY) -> DataFrame:
     """Rows of one group's members."""
     return df.join(bridge.filter(F.col("group_key") == group).select(entity), entity, "left_semi")

@@ -123,8 +123,9 @@ def combined_entity(
 
 
 def with_composites(df: DataFrame, extra: DataFrame) -> DataFrame:
-    """Panel and synthetic rows in one frame; columns only one side has are NULL on the other."""
-    return df.unionByName(extra, allowMissingColumns=True)
+    """Panel and synthetic rows in one frame, told apart by ``is_composite``; columns only one side has are NULL on the other."""
+    mark = lambda rows, value: rows.withColumn("is_composite", F.lit(value))
+    return mark(df, False).unionByName(mark(extra, True), allowMissingColumns=True)
 
 
 def member_audit(df: DataFrame, bridge: DataFrame, minimum: int = 2, entity: str = ENTITY) -> DataFrame:

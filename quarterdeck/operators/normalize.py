@@ -42,6 +42,8 @@ SEGMENTS = {
 STACK_PREFIXES = {"Nonaccrual": "NA", "PD30": "P3", "PD90": "P9"}
 RESI_PARTS = [["RCON1797", "RCFD1797"], ["RCON5367", "RCFD5367"], ["RCON5368", "RCFD5368"]]
 
+# Audit flags of every row: for the NDFI category no code tells past due and nonaccrual balances, or losses.
+UNSUPPORTED = ["_audit_unsupported_ndfi_pdna", "_audit_ndfi_nco_unsupported"]
 # Excluded categories and the codes of their measures.
 EXCLUSIONS = {
     "CI": {"balance": ["LNCI", "RCON1763", "RCFD1763"], "nco": ["NTCI", "RIAD4638"], "na": ["NACI", "RCON1608", "RCFD1608"], "p3": ["P3CI", "RCON1606", "RCFD1606"], "p9": ["P9CI", "RCON1607", "RCFD1607"]},
@@ -158,6 +160,8 @@ def exclusion_losses(df: DataFrame, exclusions: Mapping[str, Mapping] = EXCLUSIO
         out[f"Excl_{k}_NCO_YTD"] = F.when(balance > 0, loss).otherwise(F.lit(0.0))
         if len(codes) > 1:
             out[f"_{k}_NCO_Gated"] = (balance == 0) & (loss != 0)
+    if "NDFI" in exclusions:
+        out |= {flag: F.lit(True) for flag in UNSUPPORTED}
     return df.withColumns(raw).withColumns(out).drop(*raw)
 
 

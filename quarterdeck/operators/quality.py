@@ -87,36 +87,42 @@ def validate_formulas(
     specs: Sequence[MetricSpec] = tuple(METRIC_SPECS),
     ids: Sequence[str] = (ENTITY, PERIOD),
 ) -> DataFrame:
-    """Recompute every metric whose inputs exist and compare: one row per (ids, metric), in one pass."""
-    gaps = missing_dependencies(df.columns, specs)
-    usable = [s for s in specs if s.code not in gaps and s.code in set(df.columns)]
+    """Recompute every metric and compare: one row per (ids, metric), in one pass.
+
+    Metrics that lack a dependency have rows too: nothing is expected, ``matches`` is NULL, ``missing_dependencies`` names what is
+    not there, and the row does not pass. A metric that is not stored is NULL.
+    """
+    gaps, have = missing_dependencies(df.columns, specs), set(df.columns)
     number = lambda x: F.lit(x).cast("double")
-    staged = df.select(*ids, *[F.col(s.code).cast("double").alias(f"a{i}") for i, s in enumerate(usable)], *[expected_value(s).alias(f"e{i}") for i, s in enumerate(usable)])
+    actual = [(F.col(s.code).cast("double") if s.code in have else number(None)).alias(f"a{i}") for i, s in enumerate(specs)]
+    formula = [(number(None) if s.code in gaps else expected_value(s)).alias(f"e{i}") for i, s in enumerate(specs)]
+    staged = df.select(*ids, *actual, *formula)
     parts = [
         F.struct(
             F.lit(s.code).alias("metric_code"),
             F.col(f"a{i}").alias("actual"),
             F.col(f"e{i}").alias("expected"),
+            F.lit(", ".join(gaps[s.code]) if s.code in gaps else None).cast("string").alias("missing_dependencies"),
             number(s.low).alias("low"),
             number(s.high).alias("high"),
             F.lit(s.allow_negative).alias("neg_ok"),
         )
-        for i, s in enumerate(usable)
+        for i, s in enumerate(specs)
     ]
     long = staged.select(*ids, F.explode(F.array(*parts)).alias("m")).select(*ids, "m.*")
-    a, e = F.col("actual"), F.col("expected")
+    a, e, whole = F.col("actual"), F.col("expected"), F.col("missing_dependencies").isNull()
     checked = long.withColumns(
         {
             "abs_error": F.abs(a - e),
             "rel_error": F.try_divide(F.abs(a - e), F.abs(e)),
-            "matches": is_close(a, e),
-            "below_min": F.coalesce(a < F.col("low"), F.lit(False)),
-            "above_max": F.coalesce(a > F.col("high"), F.lit(False)),
-            "unexpected_negative": F.coalesce((a < 0) & ~F.col("neg_ok"), F.lit(False)),
+            "matches": F.when(whole, is_close(a, e)),
+            "below_min": whole & F.coalesce(a < F.col("low"), F.lit(False)),
+            "above_max": whole & F.coalesce(a > F.col("high"), F.lit(False)),
+            "unexpected_negative": whole & F.coalesce((a < 0) & ~F.col("neg_ok"), F.lit(False)),
         }
     )
-    ok = F.col("matches") & ~F.col("below_min") & ~F.col("above_max") & ~F.col("unexpected_negative")
-    return checked.withColumn("row_pass", ok).drop("low", "high", "neg_ok")
+    ok = whole & F.col("matches") & ~F.col("below_min") & ~F.col("above_max") & ~F.col("unexpected_negative")
+    return checked.withColumn("row_pass", F.coalesce(ok, F.lit(False))).drop("low", "high", "neg_ok")
 
 
 def validation_summary(report: DataFrame) -> DataFrame:

@@ -296,9 +296,11 @@ def publication_dates(df: DataFrame, overrides: DataFrame) -> DataFrame:
     )
 
 
-def indicator_long(df: DataFrame, indicators: Sequence[str], dimension: DataFrame | None = None) -> DataFrame:
-    """Indicator columns as rows, with series attributes when a dimension is given."""
-    long = df.select(ID, DATE, *indicators).unpivot([ID, DATE], list(indicators), "Indicator_Name", "Indicator_Value")
+def indicator_long(df: DataFrame, indicators: Sequence[str], dimension: DataFrame | None = None, actual: str | None = None) -> DataFrame:
+    """Indicator columns as rows, with series attributes when a dimension is given; ``actual`` names rows for the value itself."""
+    names = [*indicators, *([actual] if actual else [])]
+    wide = df.select(ID, DATE, *indicators, *([F.col(VALUE).alias(actual)] if actual else []))
+    long = wide.unpivot([ID, DATE], names, "Indicator_Name", "Indicator_Value")
     return long if dimension is None else long.join(dimension, ID, "left")
 
 

@@ -50,13 +50,9 @@ def schedule_rank(name: str) -> int:
 
 
 def merge_schedules(long: DataFrame, codes: Sequence[str], key: str = "IDRSSD", rank: str = "file_rank") -> DataFrame:
-    """One row per id from (id, code, value, file rank): per field the last file with a value wins."""
-    best = (
-        long.filter(F.col("value").isNotNull() & F.col("code").isin(list(codes)))
-        .groupBy(key, "code")
-        .agg(F.max_by("value", rank).alias("value"))
-    )
-    return best.groupBy(key).pivot("code", list(codes)).agg(F.first("value"))
+    """One row per id from (id, code, value, file rank): per field the last file with a value wins. One aggregate, one shuffle."""
+    last = lambda c: F.max(F.when(F.col("code") == c, F.struct(F.col(rank), F.col("value"))))["value"].alias(c)
+    return long.filter(F.col("value").isNotNull() & F.col("code").isin(list(codes))).groupBy(key).agg(*[last(c) for c in codes])
 
 
 def build_crosswalk(spark: SparkSession, path: str, ids: DataFrame | None = None, sep: str = "\t") -> DataFrame:

@@ -29,11 +29,10 @@ def payload_rows(doc: Column, envelope: Column) -> Column:
 
 
 def flatten_results(df: DataFrame, json_col: str, fields: Sequence[str], keep: Sequence[str] = (), depth: int = 10) -> DataFrame:
-    """Explode nested ``results`` lists; a child's field overrides its parent's.
+    """Explode nested ``results`` lists; a field a child has overrides its parent's, also where the child's is null.
 
-    The plan has a fixed number of passes (``depth``, at most 10), and every node is parsed once
-    per pass. Rows that are already flat pass through. Children that are no objects are
-    skipped; an empty list leaves its row.
+    The plan has a fixed number of passes (``depth``, at most 10). Nodes without the word ``results`` are parsed once, at
+    the end; the others once per pass. Children that are no objects are skipped; an empty list leaves its row.
     """
     if not 1 <= depth <= 10:
         raise ValueError("depth must be between 1 and 10")
@@ -43,12 +42,14 @@ def flatten_results(df: DataFrame, json_col: str, fields: Sequence[str], keep: S
     rows = head.select(
         *keep, *[F.col(f"_p.{f}").alias(f) for f in fields], F.explode(payload_rows(F.col("_doc"), F.col("_p"))).alias("_node")
     )
-    own = [F.coalesce(F.col(f"_p.{f}"), F.col(f)).alias(f) for f in fields]
+    # as a map, which tells a null field from one that is not there
+    own = [F.when(F.coalesce(F.map_contains_key("_p", f), F.lit(False)), F.col("_p")[f]).otherwise(F.col(f)).alias(f) for f in fields]
+    entries = lambda when: F.when(when, F.from_json("_node", "map<string,string>")).alias("_p")
     for _ in range(depth):
-        parsed = rows.select(*keep, *fields, "_node", F.from_json("_node", _fields([*fields, "results"])).alias("_p"))
-        listed = parsed.select(*keep, *own, "_node", _list(F.col("_p.results")).alias("_inner"))
+        parsed = rows.select(*keep, *fields, "_node", entries(F.col("_node").contains('"results"')))
+        listed = parsed.select(*keep, *own, "_node", _list(F.col("_p")["results"]).alias("_inner"))
         children = F.filter("_inner", lambda c: c.startswith("{"))
         kids = F.when(F.coalesce(F.size("_inner"), F.lit(0)) > 0, children).otherwise(F.array("_node"))
         rows = listed.select(*keep, *fields, F.explode(kids).alias("_node"))
-    last = rows.select(*keep, *fields, F.from_json("_node", _fields(fields)).alias("_p"))
+    last = rows.select(*keep, *fields, entries(F.lit(True)))
     return last.select(*keep, *own)

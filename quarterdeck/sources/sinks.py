@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 REQUIRED_TAGS = ["IS_NTC", "IS_OFFICE", "HAS_CREDIT_POLICY_EXCEPTION", "FLAGS", "FLAG_COUNT", "QUALIFIED"]
 # The panel is read by period, so it is stored by period.
@@ -29,6 +30,21 @@ def write_extract(df: DataFrame, path: str, fmt: str = "csv", required: Sequence
     (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(path)
 
 
+def latest_partition(spark: SparkSession, path: str, period: str = "REPDTE") -> DataFrame:
+    """Rows of the last period with any, of a table laid out by period.
+
+    The periods are read from the folders' names, so only the last folder is opened (and the one before it where that one
+    has no row).
+    """
+    table = spark.read.parquet(path)
+    found = {m[1] for f in table.inputFiles() if (m := re.search(rf"/{re.escape(period)}=(\d{{4}}-\d\d-\d\d)/", f))}
+    for day in sorted(found, reverse=True):
+        rows = table.filter(F.col(period) == F.to_date(F.lit(day)))
+        if not rows.isEmpty():
+            return rows
+    return table.filter(F.lit(False))
+
+
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
     """One Parquet table per result under ``root``; returns name -> path."""
     paths = {}

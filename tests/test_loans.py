@@ -56,6 +56,8 @@ def test_names(spark):
     assert find_role(["Product Type", "Product Area"], "product_area") == "Product Area"
     assert find_role(["Gross"], "gross") == "Gross"
     assert find_role(["Booking Date", "Committee Date"], "date") == "Committee Date"
+    assert find_role(["Booking Date", "Committee Date", "Desk Date"], "date", "desk") == "Desk Date"
+    assert find_role(["Booking Date", "Committee Date"], "date", "desk") == "Committee Date" and find_role(["Name"], "date", "desk") is None
     assert find_role(["Gross Margin", "Gross Transaction"], "gross") == "Gross Transaction"
 
 

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from plan_nodes import ran
 from quarterdeck.operators import eventtext, quality
 from quarterdeck.session import materialize, scratch_path
 from quarterdeck.sources import callreport, delimited, jsonrows, lines, sinks, versions
@@ -275,6 +276,32 @@ def test_of_two_patch_files_in_one_batch_the_later_counts(spark, folder):
     assert {(r["CERT"], r["LNLS"]) for r in landing.healed_panel(spark, panel, out, ["LNLS"]).collect()} == {(1, 7.0), (2, 8.0)}
 
 
+def test_a_null_of_a_child_counts(spark):
+    """A key the child has wins, also with null; one it has not keeps the parent's."""
+    payload = {"year": 1, "results": [{"zip": "1", "year": None}, {"zip": "2"}, {"zip": None, "year": 3, "results": [{"x": 1}, {"zip": "4", "year": None, "results": [{"zip": "5"}]}]}]}
+    assert set(flat_rows(spark, payload)) == {("1", None), ("2", "1"), (None, "3"), ("5", None)}
+    assert flat_rows(spark, {"zip": "9", "note": 'says "results"', "year": {"a": 1}}) == [("9", '{"a":1}')]
+
+
+def flat_rows(spark, payload):
+    df = spark.createDataFrame([(json.dumps(payload),)], "doc string")
+    return [tuple(r) for r in jsonrows.flatten_results(df, "doc", ["zip", "year"]).collect()]
+
+
+def test_the_last_folder_is_read(spark, folder):
+    days = [dt.date(2023, 12, 31), dt.date(2024, 3, 31), dt.date(2024, 6, 30)]
+    rows = spark.createDataFrame([(i, d) for d in days for i in range(3)], "CERT long, REPDTE date")
+    path = sinks.write_tables({"panel": rows}, folder)["panel"]
+    got = sinks.latest_partition(spark, path)
+    assert {tuple(r) for r in got.collect()} == {(i, days[-1]) for i in range(3)}
+    scan = next(t for n, t in ran(got) if n.startswith("Scan parquet"))
+    assert "(REPDTE" in scan.split("PartitionFilters: ")[1] and "= 2024-06-30)]" in scan
+    rows.filter("false").drop("REPDTE").coalesce(1).write.parquet(f"{path}/REPDTE=2024-09-30")
+    assert {r["REPDTE"] for r in sinks.latest_partition(spark, path).collect()} == {days[-1]}
+    spark.createDataFrame([(1, days[0])], "CERT long, REPDTE date").filter("CERT > 5").write.parquet(f"{folder}/plain")
+    assert sinks.latest_partition(spark, f"{folder}/plain").count() == 0
+
+
 def test_shared_folder_is_used(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "t").startswith(shared + "/t-")
