@@ -52,13 +52,15 @@ def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def link(groups: DataFrame, verify: Verify, narrow: Narrow | None = None, fits: str = "true") -> DataFrame:
+def link(groups: DataFrame, verify: Verify, narrow: Narrow | None = None, fits: str = "true", sift: Verify | None = None) -> DataFrame:
     """``id, component`` of every id that has a link; ``groups`` comes from ``crowded`` and is read several times, so write it first.
 
     ``fits`` is a condition on members ``x`` and ``y`` of one narrowed bucket, true in one of the buckets that two linked ones share.
+    ``sift`` takes pairs that can be no link away before they are written, from what is cheap to read of both.
     """
+    sift = sift or (lambda pairs: pairs)
     best = groups.where("id != hub.id").groupBy("id").agg(F.min("hub").alias("hub")).select("id", F.col("hub.id").alias("hub"))
-    tested = materialize(_pairs(best, "id", "hub"), "pairs")
+    tested = materialize(sift(_pairs(best, "id", "hub")), "pairs")
     links = materialize(verify(tested), "links")
     found = materialize(connected(links), "components")
     for last in (False, True):
@@ -68,7 +70,7 @@ def link(groups: DataFrame, verify: Verify, narrow: Narrow | None = None, fits:
         if last:
             pairs = _across(materialize(narrow(mixed), "narrowed") if narrow else mixed, found, fits)
         else:
-            pairs = _to_hubs(mixed, found)
+            pairs = sift(_to_hubs(mixed, found))
         fresh = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if fresh.isEmpty():
             continue

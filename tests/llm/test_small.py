@@ -361,3 +361,48 @@ def test_very_large_group_in_chunks(monkeypatch):
         out += hot.add(7, doc, content, np.array([(doc, 0, 3)], passages.PLACE).tobytes())
     out += hot.flush()
     assert {d for b in out for d in b["doc"].to_pylist()} == set(range(30))
+
+
+def test_long_words_that_agree_modulo_a_power_of_two(spark):
+    """Thue-Morse words of 1024 bytes and their opposites have equal sums modulo 2**64."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    w, v = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
+    lead = " ".join(f"q{i}" for i in range(34))
+    docs = table(spark, [(1, f"{lead} {w}"), (2, f"{lead} {v}"), (3, w), (4, v), (5, f"{lead} {w}")])
+    removed = {r["doc_id"]: r["removed"]["n_removed"] for r in window_dedup.remove_repeated_words(docs).collect()}
+    assert removed == {1: 35, 2: 0, 3: 0, 4: 0, 5: 35}
+    same = {r["doc_id"]: r["component_id"] for r in near_dup.components(docs, words=3, similarity=Fraction(85, 100)).collect()}
+    assert same[3] == 3 and same[4] == 4
+
+
+def test_bits_of_lines_bound_their_difference():
+    rng = random.Random(12)
+    for _ in range(200):
+        x = "".join(rng.choice("ab c") for _ in range(rng.randint(8, 400)))
+        y = list(x)
+        for _ in range(rng.randint(0, 6)):
+            y[rng.randrange(len(y))] = rng.choice("abz")
+        y = "".join(y)
+        a, b = lines.line_bits([x, y])
+        differing = sum(bin(int(p ^ q) & (2**64 - 1)).count("1") for p, q in zip(a.tolist(), b.tolist()))
+        one, two = lines.shingle_set(x), lines.shingle_set(y)
+        assert differing <= len(one ^ two)
+        if lines.similar(x, y):
+            assert 9 * differing <= len(x) + len(y) - 14
+        assert len(lines.shingle_hashes(x)) == len(one)
+
+
+def test_lines_of_a_large_band(spark, monkeypatch):
+    """Bands beyond the limit are listed anew by rare shingles: the same result."""
+    rng = random.Random(13)
+    stem = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    own = []
+    for k in range(120):  # a band of many families, each of near copies
+        family = stem[:60] + f"family {k % 24:05d} has its own end {k % 24 * 7919:08d}"
+        own.append(family if k < 24 else family[:50] + rng.choice("xyz") + family[51:])
+    docs = table(spark, list(enumerate(own)))
+    results = []
+    for large in (400, 2):
+        monkeypatch.setattr(lines, "LARGE", large)
+        results.append(sorted((r["doc_id"], r["lines"]["kept"]) for r in lines.remove_repeated_lines(docs).collect()))
+    assert results[0] == results[1] and any(kept == "" for _, kept in results[0])
