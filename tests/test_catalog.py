@@ -9,7 +9,7 @@ from quarterdeck import catalog
 from tools.check_oracle import TABLES, rows_of
 
 QUERIES, SQL = catalog.queries(), catalog.oracle_sql()  # without those of the optional subpackage
-WITHOUT_SQL = {"regression_scores", "regression_coefficients"}
+WITHOUT_SQL = {"regression_scores"}
 SAMPLE = [
     "ytd_to_discrete", "avg_8p_peak_stress", "heal_gated", "exclusions_gated", "reconciliation", "composite_weighted", "blank_low_coverage",
     "kri_ranges", "semi_join_tags_salted", "view_matrices", "flag_overlap", "concentration_above_lowest", "tracker_dedup",
