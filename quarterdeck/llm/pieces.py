@@ -3,8 +3,8 @@
 The dictionary is the piece list of a public model file, read on the driver and broadcast (its size is the vocabulary's). Spaces become
 the marker ``▁``, one marker is put before the text, nothing else is normalised. Pieces hold markers only in front, and no piece holds a
 character outside the dictionary's own, so the best path of a text is the best paths of its units (a run of markers with the characters
-up to the next marker, cut at line feeds when these are in no piece), and each Python worker keeps the paths of the units it met, in a
-bounded cache. The short units of some texts that are not in it go through the trie together, one place at a time. Ties go to the longer last piece. Characters that no path reaches by pieces become their UTF-8 byte pieces.
+up to the next marker, cut at line feeds when these are in no piece), and each Python worker keeps the paths of the units it met, in
+caches bounded by bytes. The short units of some texts that are not in it go through the trie together, one place at a time. Ties go to the longer last piece. Characters that no path reaches by pieces become their UTF-8 byte pieces.
 
 Log scores: the file's pieces are ranked by merge order, not scored by frequency, so ``scores="zipf"`` gives rank r the log probability
 ``-ln(r + 1) - ln(H_n)``; ``scores="file"`` takes the stored scores as they are.
@@ -19,13 +19,17 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
-CACHE_SIZE = 250_000
+CACHE_BYTES = 32 << 20  # of the units after a space; those at the start of a line may take as much
+ENTRY_BYTES = 200  # of a unit in the cache, besides its characters and ids
 CACHED_CHARS = 48
-TOGETHER = 1_000_000  # characters of texts whose units are looked up together
+TOGETHER = 1 << 19  # bytes of texts whose units are looked up together: their different units fit into a cache
 LOT = 8192  # units that go through the trie together
 UNKNOWN_PENALTY = 10.0
 WINDOW = 512  # places of the trie looked at together
@@ -114,7 +118,7 @@ class Pieces:
     def __init__(self, model: dict):
         self.trie, self.score = Trie(*model["trie"]), model["score"].tolist()
         self.bytes, self.plain, self.unknown, self.feeds = model["bytes"], model["plain"], model["unknown"], model["feeds"]
-        self.arrays = [*model["trie"], model["score"], np.array(self.bytes, np.int32)]
+        self.arrays = [*(x.astype(np.int64) for x in model["trie"]), model["score"], np.array(self.bytes, np.int32)]
         self.marked, self.bare = _Units(self, MARK), _Units(self, "")
         self.feed = np.array([self.bytes[10]], np.int32).tobytes()
 
@@ -155,44 +159,48 @@ class Pieces:
         base, check, value, score, bytes_of = self.arrays
         n, sizes = len(units), np.array([len(u) for u in units])
         longest = int(sizes.max())
-        data = np.frombuffer(b"".join(u.ljust(longest, b"\0") for u in units), np.uint8).reshape(n, longest)
-        gain = np.full((n, longest + 1), -np.inf)
-        gain[:, 0] = 0.0
-        start, came = np.zeros((n, longest + 1), np.int32), np.full((n, longest + 1), -1, np.int32)
-
-        def offer(rows: np.ndarray, end, total: np.ndarray, at: int, piece) -> None:
-            better = total > gain[rows, end]
-            place = rows[better], end if np.isscalar(end) else end[better]
-            gain[place], start[place], came[place] = total[better], at, piece if np.isscalar(piece) else piece[better]
+        # Rows are places, so that each step works on whole rows. No UTF-8 text holds the byte that fills up short units.
+        data = np.ascontiguousarray(np.frombuffer(b"".join(u.ljust(longest, b"\xff") for u in units), np.uint8).reshape(n, longest).T)
+        gain = np.full((longest + 1, n), -np.inf)
+        gain[0] = 0.0
+        start, came = np.zeros((longest + 1, n), np.int32), np.full((longest + 1, n), -1, np.int32)
 
         for at in range(longest):
-            rows = np.flatnonzero((sizes > at) & (data[:, at] & 0xC0 != 0x80))
-            first, here = data[rows, at], gain[rows, at]
+            rows = np.flatnonzero((sizes > at) & (data[at] & 0xC0 != 0x80))
+            first, here = data[at][rows], gain[at][rows]
             width = 1 + (first >= 0xC0).astype(np.int64) + (first >= 0xE0) + (first >= 0xF0)
-            single, going, state = np.zeros(len(rows), bool), np.arange(len(rows)), np.zeros(len(rows), np.int32)
+            single, going, unit, state = np.zeros(len(rows), bool), np.arange(len(rows)), rows, np.zeros(len(rows), np.int64)
             for end in range(at, longest):
-                to = base[state] + data[rows[going], end]
-                on = (check[to] == state) & (to != 0) & (sizes[rows[going]] > end)
-                going, state = going[on], to[on]
-                if not len(going):
+                to = base[state] + data[end][unit]
+                on = np.flatnonzero(check[to] == state)
+                if not len(on):
                     break
-                whole = value[state] >= 0
-                some, piece = going[whole], value[state[whole]]
-                single[some] |= width[some] == end + 1 - at
-                offer(rows[some], end + 1, here[some] + score[piece], at, piece)
-            none = np.flatnonzero(~single)
-            offer(rows[none], at + width[none], here[none] + self.unknown, at, -1)
+                going, unit, state = going[on], unit[on], to[on]
+                piece = value[state]
+                whole = np.flatnonzero(piece >= 0)
+                some, ends, piece = going[whole], unit[whole], piece[whole]
+                single[some[width[some] == end + 1 - at]] = True
+                total = here[some] + score[piece]
+                better = np.flatnonzero(total > gain[end + 1][ends])
+                ends = ends[better]
+                gain[end + 1][ends], start[end + 1][ends], came[end + 1][ends] = total[better], at, piece[better]
+            for k in range(1, 5):  # characters that are no piece
+                none = np.flatnonzero(~single & (width == k))
+                total, ends = here[none] + self.unknown, rows[none]
+                if len(none):
+                    better = total > gain[at + k][ends]
+                    gain[at + k][ends[better]], start[at + k][ends[better]], came[at + k][ends[better]] = total[better], at, -1
 
         ids, left, end = np.zeros((n, longest), np.int32), np.full(n, longest), sizes.copy()
         while len(rows := np.flatnonzero(end > 0)):
-            piece, begin = came[rows, end[rows]], start[rows, end[rows]]
+            piece, begin = came[end[rows], rows], start[end[rows], rows]
             known = piece >= 0
             left[rows[known]] -= 1
             ids[rows[known], left[rows[known]]] = piece[known]
             for k in range(1, 5):  # the bytes of a character without a piece, the last first
                 more = rows[~known & (end[rows] - begin >= k)]
                 left[more] -= 1
-                ids[more, left[more]] = bytes_of[data[more, end[more] - k]]
+                ids[more, left[more]] = bytes_of[data[end[more] - k, more]]
             end[rows] = begin
         flat = ids[np.arange(longest) >= left[:, None]].tobytes()
         stop = np.cumsum(longest - left) * 4
@@ -211,17 +219,7 @@ class Pieces:
         self.marked.fill(marked)
         self.bare.fill(bare)
 
-    def encode_all(self, texts) -> list[np.ndarray]:
-        out, lot, size = [], [], 0
-        for text in texts:
-            lot.append(text)
-            size += len(text or "")
-            if size >= TOGETHER:
-                out.extend(self._encode_lot(lot))
-                lot, size = [], 0
-        return out + self._encode_lot(lot)
-
-    def _encode_lot(self, texts: list) -> list[np.ndarray]:
+    def encode_lot(self, texts: list) -> list[np.ndarray]:
         self.look_up([t for t in texts if t])
         return [self.encode(t) for t in texts]
 
@@ -263,28 +261,30 @@ class Pieces:
 
 
 class _Units(dict):
-    """Unit to the bytes of its piece ids."""
+    """Unit to the bytes of its piece ids; emptied where it would take more than ``CACHE_BYTES``."""
 
     def __init__(self, pieces: Pieces, mark: str):
         super().__init__()
-        self.pieces, self.mark = pieces, mark
+        self.pieces, self.mark, self.size = pieces, mark, 0
 
-    def fill(self, units: set[str]) -> None:
-        fresh = units.difference(self)
-        if len(self) + len(fresh) > CACHE_SIZE:
+    def keep(self, units: list[str], ids: list[bytes]) -> None:
+        size = sum(map(len, units)) + sum(map(len, ids)) + ENTRY_BYTES * len(units)
+        if self.size + size > CACHE_BYTES:
             self.clear()
-            fresh = units
-        fresh = sorted((u for u in fresh if 0 < len(u) <= CACHED_CHARS), key=len)[:CACHE_SIZE]
+            self.size = 0
+        self.update(zip(units, ids))
+        self.size += size
+
+    def fill(self, units: set[str]) -> None:
+        fresh = sorted((u for u in units.difference(self) if 0 < len(u) <= CACHED_CHARS), key=len)
         for k in range(0, len(fresh), LOT):
             lot = fresh[k : k + LOT]
-            self.update(zip(lot, self.pieces.best_of_lot([(self.mark + u).encode("utf-8", "replace") for u in lot])))
+            self.keep(lot, self.pieces.best_of_lot([(self.mark + u).encode("utf-8", "replace") for u in lot]))
 
     def __missing__(self, unit: str) -> bytes:
         ids = np.array(self.pieces.best(self.mark + unit)[0], np.int32).tobytes()
         if len(unit) <= CACHED_CHARS:
-            if len(self) >= CACHE_SIZE:
-                self.clear()
-            self[unit] = ids
+            self.keep([unit], [ids])
         return ids
 
 
@@ -302,16 +302,40 @@ def _model(path: str, scores: str) -> dict:
     return read_model(path, scores)
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", scores: str = "zipf") -> DataFrame:
-    """``docs`` with the piece ids of every whole text."""
+def _lots(texts: pa.Array):
+    """Bounds of stretches of texts of some ``TOGETHER`` bytes; a longer text is alone or the last of its stretch."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = (np.flatnonzero(np.diff(ends // TOGETHER)) + 1).tolist()
+    return zip([0, *cuts], [*cuts, len(texts)])
+
+
+def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", scores: str = "zipf", decoded: str | None = None) -> DataFrame:
+    """``docs`` with the piece ids of every whole text, and with the text these stand for if ``decoded`` names a column for it.
+
+    Both come from one pass, in small Arrow batches whatever the texts' lengths. Columns of these names are replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(_model(model_path, scores))
+    made = [T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+    names = {f.name.lower() for f in made}
+    kept = [f.name for f in docs.schema if f.name.lower() not in names]
+    sent = [*kept, *(c for c in docs.columns if c.lower() == text.lower() and c not in kept)]
+    place = [c.lower() for c in sent].index(text.lower())
 
-    @F.pandas_udf("array<int>")
-    def run(texts: pd.Series) -> pd.Series:
+    def run(batches):
         pieces = _pieces(shared)
-        return pd.Series(pieces.encode_all(texts), dtype=object)
-
-    return docs.withColumn(ids, run(F.col(text)))
+        for batch in batches:
+            texts = batch.column(place)
+            for low, high in _lots(texts) if batch.num_rows else ():
+                rows = pieces.encode_lot(texts.slice(low, high - low).to_pylist())
+                ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+                new = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))]
+                if decoded:
+                    new.append(pa.array([pieces.decode(r.tolist()) for r in rows], pa.string()))
+                old = [batch.column(k).slice(low, high - low) for k in range(len(kept))]
+                yield pa.RecordBatch.from_arrays(old + new, names=kept + [f.name for f in made])
+
+    schema = T.StructType([f for f in docs.schema if f.name in kept] + made)
+    return docs.select([F.col(f"`{c}`") for c in sent]).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded", scores: str = "zipf") -> DataFrame:

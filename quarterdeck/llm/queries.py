@@ -74,7 +74,7 @@ def op8_order_minhash(spark, sf):
 def op9_sentence_pieces(spark, sf):
     path = tokenizer_file(PIECES)
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    both = pieces.decode(pieces.encode(docs, path), path)
+    both = pieces.encode(docs, path, decoded="decoded")
     return both.select(
         "doc_id",
         n_bytes().alias("n_bytes"),

@@ -318,13 +318,67 @@ def test_pieces_round_trip_and_best_path(spark):
         assert own.best(word.replace(" ", pieces.MARK))[1] == pytest.approx(best(word.encode()))
 
 
+def _all_cuts(unit, score_of, unknown):
+    """The best score over every way to cut a unit into pieces; only characters that are no piece may go as bytes."""
+    if not unit:
+        return 0.0
+    ways = [score_of[unit[:k]] + _all_cuts(unit[k:], score_of, unknown) for k in range(1, len(unit) + 1) if unit[:k] in score_of]
+    if unit[0] not in score_of:
+        ways.append(unknown + _all_cuts(unit[1:], score_of, unknown))
+    return max(ways)
+
+
+@pytest.mark.parametrize("scores", ["zipf", "file"])
+def test_pieces_against_every_cut_with_bytes_of_unknown_characters(scores):
+    import sentencepiece
+
+    path = queries.tokenizer_file(queries.PIECES)
+    model = pieces.read_model(path, scores)
+    file = sentencepiece.SentencePieceProcessor(model_file=path)
+    normal = [i for i in range(file.get_piece_size()) if not (file.is_byte(i) or file.is_control(i) or file.is_unknown(i))]
+    score_of = {file.id_to_piece(i): float(model["score"][i]) for i in normal}
+    coder = pieces.Pieces(model)
+    for unit in ["▁naïve", "é😀the", "漢字かな", "▁𐍈ing", "\x00a\x01", "😀😀", "▁Straße", "a\u0301b", "▁日本語text"]:
+        ids, gain = coder.best(unit)
+        assert gain == pytest.approx(_all_cuts(unit, score_of, model["unknown"])), unit
+        assert b"".join(model["plain"][i] for i in ids).decode() == unit.replace("▁", " ")
+
+
+def test_pieces_in_one_pass_with_small_caches_and_lots(spark, monkeypatch):
+    """Batches cut into lots, a cache that empties all the time, other columns kept, columns of the same names replaced."""
+    path = queries.tokenizer_file(queries.PIECES)
+    texts = [None, "", "a  b\n c", "é日本🙂 naïve", "the quick brown fox " * 300, "x" * 5000, " lead", "tail ", "the quick", "word%d " * 50]
+    rows = [(k, t, [k, None], "old") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more array<int>, IDS string")
+    both = pieces.encode(docs, path, decoded="decoded")
+    assert both.columns == ["doc_id", "text", "more", "ids", "decoded"]
+    got = {r["doc_id"]: r for r in both.collect()}
+    coder = pieces.Pieces(pieces.read_model(path))
+    for k, t in enumerate(texts):
+        assert (got[k]["text"], got[k]["more"], got[k]["decoded"]) == (t, [k, None], t or "")
+        assert got[k]["ids"] == coder.encode(t).tolist()
+    in_place = pieces.encode(docs.select("doc_id", "text"), path, ids="text").collect()
+    assert {r["doc_id"]: r["text"] for r in in_place} == {k: r["ids"] for k, r in got.items()}
+
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 700)
+    monkeypatch.setattr(pieces, "LOT", 1)
+    small = pieces.Pieces(pieces.read_model(path))
+    assert [x.tolist() for x in small.encode_lot(texts)] == [got[k]["ids"] for k in range(len(texts))]
+    assert len(small.marked) <= 3 and small.marked.size <= 700
+    monkeypatch.setattr(pieces, "TOGETHER", 30)
+    import pyarrow as pa
+
+    cuts = list(pieces._lots(pa.array(texts, pa.string())))
+    assert [c[0] for c in cuts] == [0] + [c[1] for c in cuts[:-1]] and cuts[-1][1] == len(texts) and len(cuts) > 3
+
+
 def test_pieces_of_many_units_are_those_of_each():
     coder = pieces.Pieces(pieces.read_model(queries.tokenizer_file(queries.PIECES)))
     units = ["▁the", "the", "▁Straße###", "漢", "é漢字x", "😀a", "\x00a", "a", "▁" * 3, "zqxj" * 9]
     lot = coder.best_of_lot([u.encode() for u in units])
     assert [np.frombuffer(x, np.int32).tolist() for x in lot] == [coder.best(u)[0] for u in units]
     texts = [None, "", " ", "a  b\n c\n\nd " * 3, "x" * 200, "one\ntwo"]
-    together = coder.encode_all(texts)
+    together = coder.encode_lot(texts)
     other = pieces.Pieces(pieces.read_model(queries.tokenizer_file(queries.PIECES)))
     assert [x.tolist() for x in together] == [other.encode(t).tolist() for t in texts]
 
