@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.native import numbered, with_grams, word_array
-from quarterdeck.llm.passages import NO_ID, keyed
+from quarterdeck.llm.passages import NO_ID, gap, keyed
 from quarterdeck.session import materialize
 
 SHINGLE = 5
@@ -84,7 +84,10 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
     """``doc_id, item_id, similarity, first_word, n_words``: the most similar window of a document for each item it holds."""
     found = contaminated_rows(keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))), items, item_id, item_text)
     best = found.groupBy("_doc", "item_id").agg(F.max(F.struct("similarity", (-F.col("first_word")).alias("at"), "n_words")).alias("best"))
-    own = F.when(F.col("_doc") != NO_ID, F.col("_doc")).alias("doc_id")
+    free, own = gap(docs, doc_id), F.col("_doc")
+    if free is not None:
+        own = F.when(own >= free, own + 1).otherwise(own)
+    own = F.when(F.col("_doc") != NO_ID, own).alias("doc_id")
     return best.select(own, "item_id", "best.similarity", (-F.col("best.at")).alias("first_word"), "best.n_words")
 
 

@@ -82,6 +82,19 @@ def test_repeated_bytes(spark, rows, hot):
     assert collections.Counter(map(tuple, got)) == want
 
 
+def test_null_ids_next_to_the_largest_id(spark):
+    """A null id is larger than every id, the largest long too, and neither row takes the other's removals."""
+    rng = random.Random(5)
+    one, two, three = ("".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(3))
+    top = 2**63 - 1
+    docs = [(top, one + three), (None, "##" + one + "#" + two), (top - 1, two), (top - 2, "." + three)]
+    got = suffix_dedup.remove_repeated_bytes(table(spark, docs)).select("doc_id", "removed.n_removed", "removed.starts").collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == {top: (90, [90]), None: (180, [2, 93]), top - 1: (0, []), top - 2: (0, [])}
+    items = spark.createDataFrame([(1, "zero one two three four five six seven eight nine ten eleven twelve")], "item_id long, text string")
+    words = [(i, items.first()["text"] if i in (top, None) else "none at all") for i in (top, top - 1, None)]
+    assert {r["doc_id"] for r in decontam.contaminated(table(spark, words), items).collect()} == {top, None}
+
+
 @pytest.mark.parametrize("hot", [3, 10**6])
 def test_repeated_words(spark, rows, hot):
     got = window_dedup.remove_repeated_words(table(spark, rows).repartition(4), hot_least=hot).select("doc_id", "text", "removed.n_removed", "removed.kept_sha256").collect()
