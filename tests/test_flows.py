@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from plan_nodes import ran
 from quarterdeck.operators import flows
+from quarterdeck.plans import shapes
 
 
 def quarter(text):
@@ -88,3 +90,17 @@ def test_profile_and_peak_stress(spark):
 def test_duplicate_periods_are_found(spark):
     df = panel(spark, [(1, "2020Q1", 1.0), (1, "2020Q1", 2.0), (2, "2020Q1", 1.0)])
     assert [r["CERT"] for r in flows.assert_unique_periods(df).collect()] == [1]
+
+
+def test_lines_are_dealt_by_group_before_the_wide_aggregate(spark, sf, monkeypatch):
+    """Of a large table no task may hold sums of more groups than its share of rows, and the rows are the same."""
+    panel = lambda: shapes.bank_panel(spark, sf, ["LNLS", "NTLNLS", "P3CI"])
+    plain = sorted(map(tuple, panel().collect()))
+    days = sorted(map(tuple, shapes.daily_series(spark, sf).collect()))
+    monkeypatch.setattr(shapes, "ROWS_A_TASK", 300)
+    for df, want in ((panel(), plain), (shapes.daily_series(spark, sf), days)):
+        assert sorted(map(tuple, df.collect())) == want
+        names = [name for name, _ in ran(df)]  # from the result down to the scan
+        exchanges, aggregates = ([k for k, n in enumerate(names) if n.startswith(kind)] for kind in ("Exchange", "HashAggregate"))
+        assert aggregates and max(exchanges) > max(aggregates)
+        assert df.rdd.getNumPartitions() >= 20
