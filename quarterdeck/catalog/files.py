@@ -10,7 +10,7 @@ from quarterdeck.functions.names import find_column, normalize_names
 from quarterdeck.functions import keys
 from quarterdeck.functions.missing import with_missing
 from quarterdeck.operators import eventtext
-from quarterdeck.plans.shapes import LINE_MEASURES, bank_panel, loan_extract, table
+from quarterdeck.plans.shapes import LINE_MEASURES, bank_panel, dealt, loan_extract, table, tasks
 from quarterdeck.session import scratch_path
 from quarterdeck.sources import callreport, delimited, jsonrows, sinks
 
@@ -23,9 +23,17 @@ def typed_csv(spark, sf):
     return df.select(F.col("LOAN_ID").cast("long").alias("LOAN_ID"), "FACILITY_ID", "IS_LAL_NFP", "SBL_PERC", "CREDIT_LII", "BALANCE", "BOOK_DATE")
 
 
-def _written(rows, path):
-    """Lines ``line`` as text files, one for each ``part``, in order of ``at``."""
-    rows.repartition("part").sortWithinPartitions("part", "at").select("part", "line").write.partitionBy("part").text(path)
+def _written(rows, heads, path, n):
+    """Lines ``line`` as text files of one ``part`` each, in order of ``at``, behind the part's ``heads``.
+
+    Of large tables (``n`` tasks, see ``shapes.tasks``) a part has as many files as keep a file to a task's rows, each with the heads.
+    """
+    pieces, keys = -(-n // 3) if n else 1, ["part", "piece"]
+    body = rows.withColumn("piece", F.pmod(F.xxhash64("at"), F.lit(pieces)))
+    heads = heads.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)).cast("array<long>")))
+    lines = body.unionByName(heads.withColumn("at", F.col("at").cast("long") - 10))
+    lines = lines.repartition(n, *keys) if n else lines.repartition(*keys)
+    lines.sortWithinPartitions(*keys, "at").select(*keys, "line").write.partitionBy(*keys).text(path)
     return path
 
 
@@ -37,20 +45,25 @@ def titled_extract(spark, sf):
     """Customers' orders behind titles, in several files: cells with line breaks, commas and quotes, and rows equal to title and header."""
     orders = table(spark, sf, "orders").select(F.pmod("o_orderkey", F.lit(5)).alias("part"), F.col("o_orderkey").alias("at"), F.expr("""concat_ws(',', o_orderkey, concat('"C, ', o_custkey, '"'),
         case o_orderstatus when 'O' then concat('"', o_orderpriority, '\\n', '""', o_custkey, '""', '\\n\\nend"') when 'F' then o_orderpriority else '' end)""").alias("line"))
-    heads = spark.range(5).select(F.col("id").alias("part"), F.posexplode(F.array(*[F.lit(x) for x in [*_TITLES, _HEAD, _HEAD, _TITLES[0]]])).alias("at", "line"))
-    path = _written(orders.unionByName(heads.withColumn("at", F.col("at").cast("long") - 10)), scratch_path(spark, "titled"))
+    listed = lambda rows: spark.range(5).select(F.col("id").alias("part"), F.posexplode(F.array(*[F.lit(x) for x in rows])).alias("at", "line"))
+    orders = orders.unionByName(listed([_HEAD, _TITLES[0]]).withColumn("at", F.col("at").cast("long") - 5))
+    heads = listed([*_TITLES, _HEAD])
+    path = _written(orders, heads, scratch_path(spark, "titled"), tasks(table(spark, sf, "orders")))
     df = delimited.read_extract(spark, path, skip_rows=3)
     return df.select("Key", "Customer", "Comment")
 
 
 def schedule_cells(spark, sf):
     """Schedules by return flag: codes, descriptions, quoted numbers with thousands commas, cells that are no numbers."""
-    lines = table(spark, sf, "lineitem").groupBy("l_returnflag", "l_orderkey").pivot("l_linenumber", [1, 2, 3]).agg(F.max(F.floor("l_extendedprice")))
+    items = table(spark, sf, "lineitem")
+    n, keys = tasks(items), ["l_returnflag", "l_orderkey"]
+    value = lambda k: F.max(F.when(F.col("l_linenumber") == k, F.floor("l_extendedprice"))).alias(str(k))
+    lines = dealt(items, n, *keys).groupBy(*keys).agg(*[value(k) for k in (1, 2, 3)])
     cell = lambda k: F.coalesce(F.concat(F.lit('"'), F.format_number(F.col(str(k)), 0), F.lit('"')), F.lit("n/a"))
     rows = lines.select(F.col("l_returnflag").alias("part"), F.col("l_orderkey").alias("at"), F.concat_ws("\t", F.concat(F.lit('"'), "l_orderkey", F.lit('"')), cell(1), cell(2), cell(3)).alias("line"))
     head = F.array(F.lit('"IDRSSD"\tRCFD1\t"RCFD2"\trcfd3'), F.lit("id\tone\ttwo\tthree"))
-    heads = lines.select(F.col("l_returnflag").alias("part")).distinct().select("part", F.posexplode(head).alias("at", "line"))
-    path = _written(rows.unionByName(heads.withColumn("at", F.col("at").cast("long") - 10)), scratch_path(spark, "schedules"))
+    heads = items.select(F.col("l_returnflag").alias("part")).distinct().select("part", F.posexplode(head).alias("at", "line"))
+    path = _written(rows, heads, scratch_path(spark, "schedules"), n)
     return delimited.parse_schedule(spark, path)
 
 

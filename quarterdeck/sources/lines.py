@@ -71,7 +71,8 @@ def split_counts(lines: DataFrame, *more: Column) -> DataFrame:
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``value, file, line``: every line with its number in its file, from 0."""
     lines = raw_lines(spark, path)
-    placed = lines.join(split_counts(lines).select(*SPLIT, "_first", "_before"), SPLIT)
+    # one row a split, of some hundred megabytes: lines are not shuffled for it
+    placed = lines.join(F.broadcast(split_counts(lines).select(*SPLIT, "_first", "_before")), SPLIT)
     return placed.select("value", F.col("_file").alias("file"), (F.col("_before") + F.col("_id") - F.col("_first")).alias("line"))
 
 

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from plan_nodes import ran
+from quarterdeck.catalog import files
 from quarterdeck.operators import eventtext, quality
+from quarterdeck.plans import shapes
 from quarterdeck.session import materialize, scratch_path
 from quarterdeck.sources import callreport, delimited, jsonrows, lines, sinks, versions
 from quarterdeck.streaming import landing
@@ -317,3 +319,22 @@ def test_formula_checks(spark):
     got = {r["CERT"]: r for r in quality.validate_formulas(df, [spec], ["CERT"]).collect()}
     assert {k: r["row_pass"] for k, r in got.items()} == {1: True, 2: False, 3: True, 4: False, 5: True}
     assert got[4]["above_max"] and got[4]["matches"]
+
+
+@pytest.mark.parametrize("name", ["schedule_cells", "titled_extract"])
+def test_large_parts_are_written_in_pieces(spark, sf, folder, monkeypatch, name):
+    """No file holds a third of the table, and the rows read back are the same."""
+    want = sorted(map(tuple, files.QUERIES[name](spark, sf).collect()), key=str)
+    monkeypatch.setattr(shapes, "ROWS_A_TASK", 60)
+    monkeypatch.setattr(files, "scratch_path", lambda spark, label: f"{folder}/{label}")
+    got = files.QUERIES[name](spark, sf)
+    sizes = [r["count"] for r in spark.read.text(folder, recursiveFileLookup=True).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 20 and max(sizes) < sum(sizes) / 10
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_numbered_lines_are_not_shuffled(spark, folder):
+    path = put(folder, "n.txt", "a\n" * 50)
+    df = lines.numbered_lines(spark, path)
+    assert df.count() == 50
+    assert "strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
