@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.catalog.sql import register, with_ctes
 from quarterdeck.operators import indicators, series
-from quarterdeck.plans.shapes import LINE_MEASURES, bank_panel, daily_series, table
+from quarterdeck.plans.shapes import LINE_MEASURES, bank_panel, daily_series, dealt, table, tasks
 from quarterdeck.session import materialize
 
 SUBJECT = 1
@@ -196,7 +196,7 @@ def signals(spark, sf):
 
 def indicator_long(spark, sf):
     """All seven indicators and the value itself, with the attributes of the series that have any."""
-    df = _technical(spark, sf)
+    df = dealt(materialize(_technical(spark, sf), "technical"), tasks(table(spark, sf, "lineitem")), "SeriesID")
     dimension = df.select("SeriesID").distinct().filter("SeriesID % 10 <> 0").selectExpr(
         "SeriesID", "if(SeriesID % 2 = 0, 'leading', 'lagging') as Type", "if(SeriesID % 3 = 0, 'short', 'long') as Horizon", "concat('s', SeriesID % 4, '|all') as Sectors"
     )

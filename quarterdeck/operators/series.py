@@ -297,11 +297,18 @@ def publication_dates(df: DataFrame, overrides: DataFrame) -> DataFrame:
 
 
 def indicator_long(df: DataFrame, indicators: Sequence[str], dimension: DataFrame | None = None, actual: str | None = None) -> DataFrame:
-    """Indicator columns as rows, with series attributes when a dimension is given; ``actual`` names rows for the value itself."""
+    """Indicator columns as rows, with series attributes when a dimension is given; ``actual`` names rows for the value itself.
+
+    The attributes are joined to the wide rows, which are as many times fewer as there are indicators.
+    """
     names = [*indicators, *([actual] if actual else [])]
     wide = df.select(ID, DATE, *indicators, *([F.col(VALUE).alias(actual)] if actual else []))
-    long = wide.unpivot([ID, DATE], names, "Indicator_Name", "Indicator_Value")
-    return long if dimension is None else long.join(dimension, ID, "left")
+    if dimension is None:
+        return wide.unpivot([ID, DATE], names, "Indicator_Name", "Indicator_Value")
+    more = [c for c in dimension.columns if c != ID]
+    attributes = dimension.select(ID, F.struct(*more).alias("_more"))
+    long = wide.join(attributes, ID, "left").unpivot([ID, DATE, "_more"], names, "Indicator_Name", "Indicator_Value")
+    return long.select(ID, DATE, "Indicator_Name", "Indicator_Value", *[F.col("_more")[c].alias(c) for c in more])
 
 
 def sector_bridge(dimension: DataFrame, sectors: str = "sectors") -> DataFrame:

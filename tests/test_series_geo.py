@@ -189,3 +189,15 @@ def test_spine_is_one_join_of_each_request(spark, folder):
     assert len(scans) == 1
     joins = [t for n, t in nodes if "Join" in n and "geo_type" in t]
     assert len(joins) == 1 and "geo_value" in joins[0]
+
+
+def test_attributes_are_joined_before_indicators_become_rows(spark):
+    """The join's shuffle carries a row of a series and day, not one for each indicator."""
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 1), 2.0, 3.0), (2, dt.date(2020, 1, 1), None, 4.0)], "SeriesID long, DATE date, VALUE double, SMA double")
+    attributes = spark.createDataFrame([(1, "leading", 7)], "SeriesID long, Type string, Rank long")
+    out = series.indicator_long(df, ["SMA"], attributes, "Actual")
+    assert out.columns == ["SeriesID", "DATE", "Indicator_Name", "Indicator_Value", "Type", "Rank"]
+    day = dt.date(2020, 1, 1)
+    assert {tuple(r) for r in out.collect()} == {(1, day, "SMA", 3.0, "leading", 7), (1, day, "Actual", 2.0, "leading", 7), (2, day, "SMA", 4.0, None, None), (2, day, "Actual", None, None, None)}
+    names = [name for name, _ in ran(out)]  # from the result down
+    assert names.index("Expand") < next(k for k, n in enumerate(names) if "Join" in n)
