@@ -29,9 +29,11 @@ def raw_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _opens(value: Column, sep: str) -> Column:
     """Whether a line that begins outside a quoted cell ends inside one. Quotes count at the start of a cell only; two in one are a character."""
-    edge = "(^|" + re.escape(sep) + ")"
-    rest = F.regexp_replace(value, F.lit(edge + '"[^"]*+(?:""[^"]*+)*+"'), F.lit("$1x"))
-    return rest.rlike(edge + '"')
+    edge = re.escape(sep)
+    plain = f"[^{edge}]" if len(sep) == 1 else f"(?:(?!{edge})[\\s\\S])"
+    # one match from end to end, without backtracking: a cell is quoted up to a closing quote, or does not begin with a quote
+    cell = f'(?:"[^"]*+(?:""[^"]*+)*+"|(?!")){plain}*+'
+    return ~value.rlike(f"\\A{cell}(?:{edge}{cell})*+\\z")
 
 
 def with_effect(lines: DataFrame, sep: str) -> DataFrame:

@@ -338,3 +338,11 @@ def test_numbered_lines_are_not_shuffled(spark, folder):
     df = lines.numbered_lines(spark, path)
     assert df.count() == 50
     assert "strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_open_quotes_take_one_match(spark):
+    """Every line of a quoted file is tested, so no text is built for it; long lines do not recurse."""
+    odd = ['"a', 'a"', 'a,"b', '"a""', '"a"b"c",d', '"a,b",c', ',"', '","', 'x,"a""b"', "", '"', '"a,' * 100_001, '"a,b",' * 100_000]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, value string").withColumn("open", lines._opens(F.col("value"), ","))
+    assert {r["i"] for r in found.where("open").collect()} == {0, 2, 3, 6, 10, 11}
+    assert "regexp_replace" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
