@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plan_nodes import ran
+from quarterdeck.catalog import normalization
 from quarterdeck.operators import flows
 from quarterdeck.plans import shapes
 
@@ -104,3 +105,16 @@ def test_lines_are_dealt_by_group_before_the_wide_aggregate(spark, sf, monkeypat
         exchanges, aggregates = ([k for k, n in enumerate(names) if n.startswith(kind)] for kind in ("Exchange", "HashAggregate"))
         assert aggregates and max(exchanges) > max(aggregates)
         assert df.rdd.getNumPartitions() >= 20
+
+
+def test_a_large_table_is_dealt_whatever_the_number_of_cores(spark, sf, monkeypatch):
+    """More cores than tasks' rows do not send the lines undealt into the aggregate, and a kept plan follows its tables' size."""
+    lines = shapes.table(spark, sf, "lineitem")
+    before = normalization.derived(spark, sf)
+    assert normalization.derived(spark, sf) is before and shapes.tasks(lines) is None
+    rows, cores = lines.count(), spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(shapes, "ROWS_A_TASK", -(-rows // (shapes.DIRECT + 1)))
+    assert shapes.tasks(lines) == max(shapes.DIRECT + 1, cores)
+    assert normalization.derived(spark, sf) is not before
+    monkeypatch.setattr(shapes, "ROWS_A_TASK", -(-rows // (20 * cores)))
+    assert shapes.tasks(lines) >= 19 * cores
