@@ -473,3 +473,18 @@ def test_lines_of_a_large_band(spark, monkeypatch):
         monkeypatch.setattr(lines, "LARGE", large)
         results.append(sorted((r["doc_id"], r["lines"]["kept"]) for r in lines.remove_repeated_lines(docs).collect()))
     assert results[0] == results[1] and any(kept == "" for _, kept in results[0])
+
+
+def test_lines_are_compared_with_many_in_a_row():
+    rng = random.Random(17)
+    stem = "".join(rng.choice("abcdef ") for _ in range(80))
+    some = [stem[:k] + rng.choice("xyz") + stem[k + 1 :] for k in range(0, 80, 5)] + [stem[:k] for k in (4, 7, 8, 40, 62, 66, 70, 80)] + ["--------", "----------"]
+    pairs = [(x, y) for x in some for y in some]
+    assert lines.similar_to_each(*zip(*pairs)) == [lines.similar(x, y) for x, y in pairs]
+
+
+def test_later_links_join_the_components_found(spark):
+    first, later = [(1, 2), (2, 3), (5, 6), (8, 9)], [(3, 6), (9, 10), (11, 12), (12, 10), (1, 3)]
+    frame = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    want = sorted(map(tuple, linking.connected(frame(first + later)).collect()))
+    assert sorted(map(tuple, linking._joined(linking.connected(frame(first)), frame(later)).collect())) == want
