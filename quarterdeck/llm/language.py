@@ -25,6 +25,7 @@ LANGUAGES = 256
 PARTS = 64  # parts of a language that are thinned out side by side
 RIDGE = 1e-2
 ROWS = 128  # texts in one matrix product
+COLUMNS = 4096  # buckets in one product of landmarks
 UNKNOWN = "und"
 
 
@@ -59,20 +60,24 @@ def fit_texts(texts: list[str], langs: list[str], landmarks_per_language: int =
     names = sorted(set(langs))
     if not names:
         return None
-    rows, labels = presence(texts), np.array(langs)
+    labels = np.array(langs)
     chosen = np.concatenate([np.flatnonzero(labels == n)[:landmarks_per_language] for n in names])
-    marks = rows[chosen]
-    inner = marks.astype(np.float64) @ marks.T.astype(np.float64)
+    marks = np.ascontiguousarray(presence([texts[k] for k in chosen]).T)
+    inner = np.zeros((len(chosen), len(chosen)))
+    for start in range(0, BUCKETS, COLUMNS):
+        part = marks[start : start + COLUMNS].astype(np.float64)
+        inner += part.T @ part
     values, vectors = np.linalg.eigh(inner)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    kernel = (rows @ marks.T).astype(np.float64) @ root
+    # a few texts at a time: a row per text is 128 kB, and all of them would be the most that the driver ever holds
+    kernel = np.concatenate([presence(texts[k : k + ROWS]) @ marks for k in range(0, len(texts), ROWS)]).astype(np.float64) @ root
     features = np.hstack([kernel, np.ones((len(kernel), 1))])
     target = np.where(labels[:, None] == np.array(names)[None, :], 1.0, -1.0)
     weight = 1.0 / np.array([np.sum(labels == n) for n in labels])[:, None]  # every language weighs the same
     gram = features.T @ (features * weight) + ridge * len(names) * np.eye(features.shape[1]) / features.shape[1]
     solved = np.linalg.solve(gram, features.T @ (target * weight))
-    return {"names": names, "marks": np.ascontiguousarray(marks.T), "map": (root @ solved[:-1]).astype(np.float32), "bias": solved[-1].astype(np.float32)}
+    return {"names": names, "marks": marks, "map": (root @ solved[:-1]).astype(np.float32), "bias": solved[-1].astype(np.float32)}
 
 
 def score_texts(model: dict | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:

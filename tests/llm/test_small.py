@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import random
+import tracemalloc
 from fractions import Fraction
 
 import numpy as np
@@ -408,6 +409,18 @@ def test_language(spark):
     assert language.fit(docs, F.lit(False)) is None
 
 
+def test_language_fit_holds_a_few_rows_at_a_time():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"] if k % 2 else ["uno", "dos", "tres", "cinco"]) for _ in range(20)) for k in range(600)]
+    langs = ["en" if k % 2 else "es" for k in range(600)]
+    tracemalloc.start()
+    model = language.fit_texts(texts, langs, landmarks_per_language=4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # a row per text would be 79 MB
+    assert language.score_texts(model, texts)[0] == langs
+
+
 def test_empty_tables(spark):
     none = table(spark, [])
     bench = spark.createDataFrame([], "item_id long, text string")
