@@ -12,7 +12,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from quarterdeck.llm import decontam, language, lines, linking, near_dup, order_minhash, passages, pieces, queries, suffix_array, suffix_dedup, token_counts, url_filter, window_dedup
+from quarterdeck.llm import decontam, language, lines, linking, near_dup, order_minhash, passages, pieces, queries, sketch, suffix_array, suffix_dedup, token_counts, url_filter, window_dedup
 
 NO_ID = 1 << 63
 SCHEMA = "doc_id long, text string, key string, bucket long"
@@ -421,6 +421,15 @@ def test_language_fit_holds_a_few_rows_at_a_time():
     assert language.score_texts(model, texts)[0] == langs
 
 
+def test_sketch_of_hashes_that_are_minima():
+    hashes = np.unique(np.random.default_rng(5).integers(0, 1 << 58, 8000, dtype=np.uint64))  # the smallest of many lie at the low end
+    own = sketch.Sketch(16)
+    own.add(hashes)
+    own.add(hashes[:100])
+    tell = sketch.Repeated(list(own.more), 16, hashes[:0], len(hashes)).test(hashes)
+    assert tell[:100].all() and tell[100:].mean() < 0.04  # 0.12 where the first row takes their own first bits
+
+
 def test_empty_tables(spark):
     none = table(spark, [])
     bench = spark.createDataFrame([], "item_id long, text string")
