@@ -430,6 +430,16 @@ def test_sketch_of_hashes_that_are_minima():
     assert tell[:100].all() and tell[100:].mean() < 0.04  # 0.12 where the first row takes their own first bits
 
 
+def test_sketch_of_lines_lets_few_single_lines_through():
+    hashes = np.random.default_rng(6).integers(1, 1 << 63, (2500, 1 + lines.BANDS), dtype=np.uint64)
+    scale = 10  # the maps at a thousandth, and the hashes of 0.5 GB likewise
+    own = sketch.Sketch(lines.SKETCH["bits"] - scale, lines.SKETCH["depth"])
+    own.add(hashes.ravel())
+    tell = sketch.Repeated(list(own.more), own.bits, hashes[:0, 0], hashes.size).test(hashes.ravel())
+    assert own.more.nbytes == sketch.Sketch().more.nbytes >> scale
+    assert tell.reshape(hashes.shape).any(axis=1).mean() < 0.08  # 0.2 with two rows of twice as many cells
+
+
 def test_empty_tables(spark):
     none = table(spark, [])
     bench = spark.createDataFrame([], "item_id long, text string")
