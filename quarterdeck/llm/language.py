@@ -13,7 +13,7 @@ go to the first in order of name. Repeated rows get the same answer.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ LANDMARKS_PER_LANGUAGE = 48
 LANGUAGES = 256
 PARTS = 64  # parts of a language that are thinned out side by side
 RIDGE = 1e-2
-ROWS = 128  # texts in one matrix product
+ROWS = 64  # texts in one matrix product
 COLUMNS = 4096  # buckets in one product of landmarks
 UNKNOWN = "und"
 
@@ -80,7 +80,7 @@ def fit_texts(texts: list[str], langs: list[str], landmarks_per_language: int =
     return {"names": names, "marks": marks, "map": (root @ solved[:-1]).astype(np.float32), "bias": solved[-1].astype(np.float32)}
 
 
-def score_texts(model: dict | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def score_texts(model: dict | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language, score from 0 to 1 (0.5 where the classifier is undecided) of each text."""
     langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
     known = [k for k, t in enumerate(texts) if has_letter(t)] if model else []
@@ -115,10 +115,12 @@ def predict(docs: DataFrame, model: dict | None, text: str = "text", out: str =
     """``docs`` with the predicted language and its score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        langs, scores = score_texts(shared.value, texts.tolist())
-        return pd.DataFrame({"lang": langs, "score": scores})
+    @F.arrow_udf("lang string, score double")
+    def run(texts: pa.Array) -> pa.Array:
+        # the texts of a batch become Python's a few at a time
+        parts = [score_texts(shared.value, texts.slice(k, ROWS).to_pylist()) for k in range(0, len(texts), ROWS)]
+        langs, scores = [x for part, _ in parts for x in part], [x for _, part in parts for x in part]
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     df = docs.withColumn("_language", run(F.col(text)))
     return df.withColumns({out: F.col("_language.lang"), score: F.col("_language.score")}).drop("_language")

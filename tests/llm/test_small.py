@@ -418,7 +418,10 @@ def test_language_fit_holds_a_few_rows_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 40e6  # a row per text would be 79 MB
+    tracemalloc.start()
     assert language.score_texts(model, texts)[0] == langs
+    assert tracemalloc.get_traced_memory()[1] < 14e6  # a product of 128 rows takes 17 MB and more
+    tracemalloc.stop()
 
 
 def test_sketch_of_hashes_that_are_minima():
