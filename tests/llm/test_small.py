@@ -5,13 +5,18 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 import tracemalloc
 from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from plan_nodes import ran
 from quarterdeck.llm import decontam, language, lines, linking, near_dup, order_minhash, passages, pieces, queries, sketch, suffix_array, suffix_dedup, token_counts, url_filter, window_dedup
 
 NO_ID = 1 << 63
@@ -510,6 +515,24 @@ def test_lines_of_a_large_band(spark, monkeypatch):
     assert results[0] == results[1] and any(kept == "" for _, kept in results[0])
 
 
+def test_shingles_of_lines_come_from_one_python_node(spark):
+    """A column function read both by a size and by an explode ran twice, in two workers a task."""
+    own = ["abcdefghijk", "aaaaaaaaaaaa", "short", None, "abcdefghxyz" * 9]
+    frame = spark.createDataFrame([((k, 0, 1), (k, 0, 0), x) for k, x in enumerate(own)], "id struct<doc: long, twin: long, number: int>, c struct<doc: long, twin: long, number: int>, line string")
+    got = lines.shingle_rows(frame)
+    want = sorted((k, len(lines.shingle_set(x)), h) for k, x in enumerate(own) if x and len(x) >= 8 for h in lines.shingle_hashes(x).tolist())
+    assert sorted((r["id"]["doc"], r["n"], r["bucket"]) for r in got.collect()) == want and all(r["c"]["doc"] == r["id"]["doc"] for r in got.collect())
+    again = got.groupBy("bucket").agg(F.count("*"), F.max("n"))
+    again.collect()
+    assert [name for name, _ in ran(again)].count("MapInArrow") == 1 and not [name for name, _ in ran(again) if "EvalPython" in name]
+
+
+def test_line_operator_needs_no_pandas():
+    """Each Python worker would hold pandas, 27 MB, from then on."""
+    code = "import sys; import quarterdeck.llm.lines; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))).returncode == 0
+
+
 def test_lines_are_compared_with_many_in_a_row():
     rng = random.Random(17)
     stem = "".join(rng.choice("abcdef ") for _ in range(80))
